@@ -1,0 +1,5 @@
+"""No streaming operator is needed: every input is a finished table.
+
+The row-wise expressions in ``fitloom.functions`` hold no state, so they also
+apply unchanged to a DataFrame from ``spark.readStream``.
+"""
