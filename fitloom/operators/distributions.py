@@ -10,8 +10,10 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fitloom.operators.joins import kept
+
 MAX_DIM = 4096
-FLUSH_GROUPS = 64
+FLUSH_GROUPS = 64  # groups a task holds at once
 
 
 def mean_vector(df: DataFrame, vec: str) -> DataFrame:
@@ -136,7 +138,7 @@ def frechet_by_class(df: DataFrame, vec: str, group: str) -> DataFrame:
     Moments of all groups in one pass; the small matrices are compared in the tasks, one
     group each, against the moments of the whole, which are the sums over the groups.
     """
-    cells = group_moments(df, vec, group).persist()
+    cells = kept(group_moments(df, vec, group))  # used twice
     whole = cells.groupBy("i", "j").agg(F.sum("s").alias("s"), F.first("c").alias("c")).toPandas()
     _, mu, cov = _unpack(whole)
 

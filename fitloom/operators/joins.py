@@ -7,18 +7,36 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fitloom.operators.rank import ordered_rank
+from fitloom.session import shared_dir
 
 SALTS = 8
+BROADCAST_BYTES = 32 << 20
 MAX_LOCAL_CLASSES = 100_000
 
 
-def attach_by_key(df: DataFrame, table: DataFrame, on: list[str], spread: list[str], how: str = "inner") -> DataFrame:
+def kept(table: DataFrame) -> DataFrame:
+    """A fitted table, computed once and kept in the shared folder."""
+    shared_dir(table.sparkSession)
+    return table.checkpoint()
+
+
+def measured_bytes(table: DataFrame) -> int:
+    """Size of a kept table as text, counted on the cluster."""
+    return table.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+
+
+def attach_by_key(
+    df: DataFrame, table: DataFrame, on: list[str], spread: list[str], how: str = "inner", limit: int = BROADCAST_BYTES
+) -> DataFrame:
     """Join a lookup table that has one row per key to a large, possibly skewed table.
 
-    No broadcast is forced: Spark broadcasts the table when its measured size allows.
-    For the other case the table is repeated per salt, so that rows of one hot key are
-    split over ``SALTS`` tasks; the salt comes from the row identity ``spread``.
+    The lookup is computed once and measured. Up to ``limit`` bytes it is broadcast and
+    the large table stays where it is. Beyond, it is repeated per salt, so that the rows
+    of one hot key are split over ``SALTS`` tasks by their identity ``spread``.
     """
+    table = kept(table)
+    if measured_bytes(table) <= limit:
+        return df.join(F.broadcast(table), on, how)
     salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
     salted = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return df.withColumn("__salt", salt).join(salted, [*on, "__salt"], how).drop("__salt")
@@ -39,7 +57,7 @@ def align_columns(left: DataFrame, right: DataFrame, ids: list[str], suffix: str
 
 def class_index(df: DataFrame, col: str, out: str = "class_idx") -> DataFrame:
     """One row per class name with its 0-based place in sorted order."""
-    names = df.select(col).where(F.col(col).isNotNull()).distinct()
+    names = kept(df.select(col).where(F.col(col).isNotNull()).distinct())
     if names.limit(MAX_LOCAL_CLASSES + 1).count() <= MAX_LOCAL_CLASSES:
         return names.withColumn(out, (F.row_number().over(W.orderBy(col)) - 1).cast("int"))
     return ordered_rank(names, [col], out=out).withColumn(out, (F.col(out) - 1).cast("int"))

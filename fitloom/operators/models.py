@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from fitloom.operators.joins import attach_by_key
+from fitloom.operators.joins import attach_by_key, kept
 from fitloom.operators.metrics import experiment_table
 from fitloom.operators.profile import class_weights
 from fitloom.operators.words import bow_vector, bow_vocabulary, vocabulary_words
@@ -25,10 +25,10 @@ def with_vector(df: DataFrame, array_col: str, out: str = "features") -> DataFra
 
 def with_class_weight(df: DataFrame, label: str, spread: list[str]) -> DataFrame:
     """Inverse class frequency as column ``weight``, scaled to mean 1."""
-    weights = class_weights(df, label)
-    classes = weights.agg(F.count(F.lit(1))).scalar()
-    rows = df.agg(F.count(F.lit(1))).scalar()
-    return attach_by_key(df, weights, [label], spread).withColumn("weight", F.col("weight") * rows / classes)
+    weights = kept(class_weights(df, label))
+    total = weights.agg(F.count(F.lit(1)).alias("classes"), F.sum(F.lit(1.0) / F.col("weight")).alias("rows")).first()
+    scaled = weights.withColumn("weight", F.col("weight") * F.lit(total["rows"] / total["classes"]))
+    return attach_by_key(df, scaled, [label], spread)
 
 
 def fit_l1_regressor(df: DataFrame, cols: list[str], target: str, rounds: int = 10, depth: int = 4, seed: int = 42) -> PipelineModel:
@@ -74,14 +74,14 @@ def fit_text_linear(df: DataFrame, tokens: str, label: str, buckets: int = 1 <<
 
 def config_sweep(df: DataFrame, features: str, label: str, classes: int, split: str, train: str, valid: str, configs: dict[str, tuple[int, ...]], rounds: int = 100, seed: int = 42) -> DataFrame:
     """Fit one dense network per named layer list and report all in one experiment table."""
-    fitting = df.where(F.col(split) == train)
-    scored = None
-    for name, hidden in configs.items():
-        model = fit_mlp_classifier(fitting, features, label, classes, hidden, rounds, seed)
-        rows = model.transform(df.where(F.col(split).isin(train, valid))).select(
-            F.lit(name).alias("config"), split, F.col(label).cast("int").alias("truth"), F.col("prediction").cast("int").alias("guess")
-        )
-        scored = rows if scored is None else scored.unionByName(rows)
+    fitting = df.where(F.col(split) == train).select(features, label).persist()
+    models = [fit_mlp_classifier(fitting, features, label, classes, hidden, rounds, seed) for hidden in configs.values()]
+    fitting.unpersist()
+    rows = df.where(F.col(split).isin(train, valid))
+    for i, model in enumerate(models):  # all models on one scan
+        rows = model.setPredictionCol(f"__p{i}").setRawPredictionCol("").setProbabilityCol("").transform(rows)
+    guesses = [F.struct(F.lit(name).alias("config"), F.col(f"__p{i}").cast("int").alias("guess")) for i, name in enumerate(configs)]
+    scored = rows.select(split, F.col(label).cast("int").alias("truth"), F.inline(F.array(*guesses)))
     return experiment_table(scored, "config", split, train, valid, list(range(classes)))
 
 

@@ -92,7 +92,7 @@ def stratified_split(df: DataFrame, ids: list[str], label: str, train: float = 0
         F.max(F.when(crossed[0], F.col("__k1") - start)).alias("__m1"),
         F.max(F.when(crossed[1], F.col("__k2") - start)).alias("__m2"),
     )
-    marked = attach_by_key(keyed, whole, [c], ids)
+    marked = attach_by_key(keyed, whole, [c], ids)  # one row per class
     at_border = F.coalesce((F.col(b) == F.col("__b1")) | (F.col(b) == F.col("__b2")), F.lit(False))
     in_train = F.coalesce(F.col(b) <= F.col("__w1"), F.lit(False))
     in_valid = F.coalesce(F.col(b) <= F.col("__w2"), F.lit(False))

@@ -50,10 +50,9 @@ def tokenize_pad_truncate(df: DataFrame, tokens: Column, vocab: DataFrame, lengt
     at most ``length`` kept tokens of a row are looked up and put together again.
     """
     first = F.slice(tokens, 1, length)
-    size = vocab.count()
-    if size <= MAX_LITERAL_WORDS:
-        known = {r["word"]: r["idx"] + 2 for r in vocab.select("word", "idx").collect()}
-        lookup = hashed_lookup(known, "int")
+    some = vocab.select("word", "idx").limit(MAX_LITERAL_WORDS + 1).collect()
+    if len(some) <= MAX_LITERAL_WORDS:
+        lookup = hashed_lookup({r["word"]: r["idx"] + 2 for r in some}, "int")
         coded = df.select(*ids, F.transform(first, lambda w: F.coalesce(lookup(w), F.lit(1))).alias("__ids"))
     else:
         each = df.select(*ids, F.posexplode_outer(first).alias("__pos", "word"))

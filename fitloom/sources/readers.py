@@ -33,7 +33,7 @@ def labelled_folder_scan(spark: SparkSession, root: str, glob: str = "*") -> Dat
 
 def with_class_index(df: DataFrame, col: str, ids: list[str], out: str = "class_idx") -> DataFrame:
     """Attach the 0-based place of each row's class among the sorted class names."""
-    return attach_by_key(df, class_index(df, col, out), [col], ids)
+    return attach_by_key(df, class_index(df, col, out), [col], ids, "left")
 
 
 def read_images(spark: SparkSession, root: str) -> DataFrame:
