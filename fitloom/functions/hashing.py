@@ -44,8 +44,14 @@ def uniform(*parts) -> Column:
 
 
 def coin(p: float, *parts) -> Column:
-    """True with probability ``p``."""
-    return uniform(*parts) < F.lit(float(p))
+    """True with probability ``p``: the same event as ``uniform(*parts) < p``.
+
+    Hex digits of one length order like the numbers they stand for, so no draw is parsed.
+    """
+    bound = math.ceil(p * TWO_32)
+    if bound >= TWO_32:
+        return F.lit(True)
+    return digest(*parts) < F.lit(f"{bound:08x}")
 
 
 def gaussian(*parts) -> Column:

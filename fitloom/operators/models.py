@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import PCA, HashingTF, NGram, VectorAssembler
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
@@ -16,6 +16,7 @@ from fitloom.operators.joins import attach_by_key, kept
 from fitloom.operators.metrics import experiment_table
 from fitloom.operators.profile import class_weights
 from fitloom.operators.words import bow_vector, bow_vocabulary, vocabulary_words
+from fitloom.session import spread
 
 
 def with_vector(df: DataFrame, array_col: str, out: str = "features") -> DataFrame:
@@ -31,28 +32,39 @@ def with_class_weight(df: DataFrame, label: str, spread: list[str]) -> DataFrame
     return attach_by_key(df, scaled, [label], spread)
 
 
+def _fit_kept(estimator: Estimator, rows: DataFrame) -> Model:
+    """Fit with the training rows kept on the executors, since every round reads them again."""
+    rows = rows.persist()
+    try:
+        return estimator.fit(rows)
+    finally:
+        rows.unpersist()
+
+
 def fit_l1_regressor(df: DataFrame, cols: list[str], target: str, rounds: int = 10, depth: int = 4, seed: int = 42) -> PipelineModel:
     """Boosted trees under absolute error."""
+    df = spread(df.select(*cols, target))
     gbt = GBTRegressor(labelCol=target, lossType="absolute", maxIter=rounds, maxDepth=depth, seed=seed)
-    return Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features"), gbt]).fit(df)
+    return _fit_kept(Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features"), gbt]), df)
 
 
 def fit_mlp_classifier(df: DataFrame, features: str, label: str, classes: int, hidden: tuple[int, ...] = (100, 100), rounds: int = 100, seed: int = 42) -> Model:
     """Dense network; the input width is read from the first row."""
     width = df.select(features).first()[0].size
+    df = spread(df.select(features, label))
     mlp = MultilayerPerceptronClassifier(
         featuresCol=features, labelCol=label, layers=[width, *hidden, classes], maxIter=rounds, seed=seed
     )
-    return mlp.fit(df)
+    return _fit_kept(mlp, df)
 
 
 def fit_weighted_classifier(df: DataFrame, features: str, label: str, ids: list[str], penalty: float = 0.001, rounds: int = 100) -> Model:
     """Multi-class logistic regression with inverse class frequencies and an L2 penalty."""
-    weighted = with_class_weight(df, label, ids)
+    weighted = with_class_weight(spread(df.select(*ids, features, label)), label, ids)
     lr = LogisticRegression(
         featuresCol=features, labelCol=label, weightCol="weight", regParam=penalty, maxIter=rounds, family="multinomial"
     )
-    return lr.fit(weighted)
+    return _fit_kept(lr, weighted)
 
 
 def fit_bow_classifier(df: DataFrame, tokens: Column, label: str, ids: list[str], size: int = 1000, rounds: int = 100) -> tuple[list[str], Model]:
@@ -69,12 +81,13 @@ def fit_text_linear(df: DataFrame, tokens: str, label: str, buckets: int = 1 <<
         HashingTF(inputCol="__pairs", outputCol="features", numFeatures=buckets),
         LogisticRegression(labelCol=label, maxIter=rounds, family="multinomial"),
     ]
-    return Pipeline(stages=stages).fit(df)
+    return _fit_kept(Pipeline(stages=stages), spread(df.select(tokens, label)))
 
 
 def config_sweep(df: DataFrame, features: str, label: str, classes: int, split: str, train: str, valid: str, configs: dict[str, tuple[int, ...]], rounds: int = 100, seed: int = 42) -> DataFrame:
     """Fit one dense network per named layer list and report all in one experiment table."""
-    fitting = df.where(F.col(split) == train).select(features, label).persist()
+    fitting = df.where(F.col(split) == train).select(features, label)
+    fitting = spread(fitting).persist()
     models = [fit_mlp_classifier(fitting, features, label, classes, hidden, rounds, seed) for hidden in configs.values()]
     fitting.unpersist()
     rows = df.where(F.col(split).isin(train, valid))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -55,7 +56,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[
     few: dict[tuple[int, int], tuple[float, float, int]] = {}
     while open_:
         spans = sorted({(i, *span) for (i, _), span in open_.items()})
-        bins = _bin_counts(values, spans)
+        bins = _bin_counts(df, cols, spans)
         wanted, open_ = open_, {}
         for (i, r), span in wanted.items():
             below = span[2]
@@ -71,8 +72,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[
                 open_[i, r] = (lo, hi, below)
     if few:
         spans = sorted({(i, *span) for (i, _), span in few.items()})
-        hits = [F.when(F.col(f"v{s[0]}").between(s[1], s[2]), F.struct(F.lit(j).alias("s"), F.col(f"v{s[0]}").alias("v"))) for j, s in enumerate(spans)]
-        rows = values.select(F.explode(F.array_compact(F.array(*hits))).alias("h")).select("h.s", "h.v").collect()
+        parts = [df.select(F.lit(j).alias("s"), _raw(cols[k]).alias("v")).where(F.col("v").between(lo, hi)) for j, (k, lo, hi, _) in enumerate(spans)]
+        rows = reduce(DataFrame.unionAll, parts).collect()
         inside = {s: sorted(r["v"] for r in rows if r["s"] == j) for j, s in enumerate(spans)}
         for (i, r), span in few.items():
             found[i, r] = inside[i, *span][r - span[2]]
@@ -87,21 +88,25 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[
     return out
 
 
-def _bin_counts(values: DataFrame, spans: list[tuple]) -> dict[tuple, list[tuple]]:
-    """Per span (column, lo, hi, below): (count, min, max) of its non-empty bins in order."""
-    hits = []
+def _raw(name: str) -> Column:
+    return F.col(f"`{name}`").cast("double")
+
+
+def _bin_counts(df: DataFrame, cols: list[str], spans: list[tuple]) -> dict[tuple, list[tuple]]:
+    """Per span (column, lo, hi, below): (count, min, max) of its non-empty bins in order.
+
+    Each span reads its one column, with its bounds pushed to the scan; all run as one job.
+    """
+    parts = []
     for j, (i, lo, hi, _) in enumerate(spans):
-        v = F.col(f"v{i}")
+        v = F.col("v")
         place = (v / F.lit(2.0) - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2) * F.lit(float(BINS))
         b = F.least(F.floor(place), F.lit(BINS - 1)).cast("int")
-        hits.append(F.when(v.between(lo, hi), F.struct(F.lit(j).alias("s"), b.alias("b"), v.alias("v"))))
-    rows = (
-        values.select(F.explode(F.array_compact(F.array(*hits))).alias("h"))
-        .groupBy("h.s", "h.b").agg(F.count(F.lit(1)).alias("n"), F.min("h.v").alias("lo"), F.max("h.v").alias("hi"))
-        .orderBy("s", "b").collect()
-    )
+        inside = df.select(_raw(cols[i]).alias("v")).where(v.between(lo, hi))
+        counted = inside.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        parts.append(counted.select(F.lit(j).alias("s"), "b", "n", "lo", "hi"))
     out: dict[tuple, list[tuple]] = {s: [] for s in spans}
-    for r in rows:
+    for r in sorted(reduce(DataFrame.unionAll, parts).collect(), key=lambda r: (r["s"], r["b"])):
         out[spans[r["s"]]].append((r["n"], r["lo"], r["hi"]))
     return out
 

@@ -93,11 +93,10 @@ class Cut:
         """True for the first ``k`` rows: a plain filter, no shuffle."""
         if self.k <= 0:
             return F.lit(False)
-        key = order_key(self.seed, list(self.ids))
-        tie = F.struct(*[F.col(i) for i in self.ids]) <= F.struct(
-            *[F.lit(v).cast(t).alias(i) for i, v, t in zip(self.ids, self.row, self.types)]
+        here = F.struct(order_key(self.seed, list(self.ids)).alias("k"), *[F.col(i) for i in self.ids])
+        return here <= F.struct(
+            F.lit(self.key).alias("k"), *[F.lit(v).cast(t).alias(i) for i, v, t in zip(self.ids, self.row, self.types)]
         )
-        return (key < self.key) | ((key == self.key) & tie)
 
 
 def find_cuts(df: DataFrame, ids: list[str], seed: int, sizes) -> tuple[int, list[Cut]]:
@@ -106,8 +105,7 @@ def find_cuts(df: DataFrame, ids: list[str], seed: int, sizes) -> tuple[int, lis
     A first pass counts rows per key prefix; a bucket that holds a cut is refined by
     further digits until few rows are left. Only counts and single keys reach the driver.
     """
-    key = order_key(seed, ids)
-    keyed = df.select(*ids, key.alias("__key"))
+    keyed = df.select(*ids, order_key(seed, ids).alias("__key"))
     types = tuple(dict(keyed.dtypes)[i] for i in ids)
     names, ends = _prefix_counts(keyed, "")
     n = int(ends[-1]) if len(ends) else 0
@@ -137,6 +135,5 @@ def _prefix_counts(keyed: DataFrame, prefix: str) -> tuple[list[str], np.ndarray
     """Sorted prefixes one level below ``prefix`` and running counts; at most BUCKETS rows."""
     if prefix:
         keyed = keyed.where(F.col("__key").startswith(prefix))
-    rows = keyed.groupBy(F.substring("__key", 1, len(prefix) + DIGITS).alias("p")).count().toPandas()
-    rows = rows.sort_values("p")
-    return rows["p"].tolist(), rows["count"].cumsum().to_numpy()
+    rows = keyed.groupBy(F.substring("__key", 1, len(prefix) + DIGITS).alias("p")).count().toArrow().sort_by("p")
+    return rows["p"].to_pylist(), rows["count"].to_numpy().cumsum()

@@ -17,7 +17,8 @@ def bow_vocabulary(df: DataFrame, tokens: Column, size: int = 1000, min_len: int
     Counts are combined before the shuffle, so a word that makes up a third of all text
     costs one row per task.
     """
-    counts = df.select(F.explode(tokens).alias("word")).where(F.length("word") >= min_len)
+    # an outer explode: an inner one makes Catalyst compute the tokens once more to filter by their size
+    counts = df.select(F.explode_outer(tokens).alias("word")).where(F.length("word") >= min_len)
     top = counts.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(size)
     return top.select("word", "n", (F.row_number().over(W.orderBy("word")) - 1).cast("int").alias("idx"))
 

@@ -11,7 +11,7 @@ from fitloom.operators import metrics, splits
 from fitloom.plans.evaluation import SQL_EXPERIMENT, scored_configs
 from fitloom.plans.registry import EMB, SQL_PRICE_CODE, query, r6, rounded, sql_r6, sql_rank
 from fitloom.plans.vectors import _SQL_PX, images
-from fitloom.session import scratch_path
+from fitloom.session import scratch_path, spread
 from fitloom.sources import readers, writers
 from fitloom.sources.readers import table
 
@@ -88,7 +88,7 @@ def write_image_files(rows, path: str) -> None:
 def image_decode_scan(spark, d):
     path = scratch_path(spark, "images")
     labels = table(spark, d, "embeddings").select("vec_id", "label")
-    write_image_files(images(spark, d).join(labels, "vec_id"), path)
+    write_image_files(spread(images(spark, d).join(labels, "vec_id")), path)
     good, bad = readers.decode_images(readers.read_images(spark, path))
 
     def plane(c):

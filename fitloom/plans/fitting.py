@@ -11,7 +11,7 @@ from fitloom.functions import text as tx
 from fitloom.functions.classes import price_class_code
 from fitloom.operators import encode, metrics, models, splits, words
 from fitloom.plans.registry import LINE_IDS, query, rating, rounded
-from fitloom.session import scratch_path
+from fitloom.session import scratch_path, spread
 from fitloom.sources.readers import table
 
 
@@ -64,7 +64,7 @@ def fit_weighted_classifier(spark, d):
 
 
 def _rated_tokens(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", rating(F.col("lang")).alias("label"), tx.content_words(F.col("text")).alias("tokens"))
+    docs = spread(table(spark, d, "documents").select("doc_id", "lang", "text")).select("doc_id", rating(F.col("lang")).alias("label"), tx.content_words(F.col("text")).alias("tokens"))
     return splits.holdout_split(docs, ["doc_id"], 0.15)
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from fitloom.functions import text as tx
 from fitloom.operators import augment, splits, words
 from fitloom.plans.registry import SQL_RATING, query, rating, sql_key, sql_rank, sql_uniform
+from fitloom.session import spread
 from fitloom.sources.readers import table
 
 
@@ -33,7 +34,7 @@ def _sql_content(x: str) -> str:
 
 
 def _docs(spark, d):
-    return table(spark, d, "documents")
+    return spread(table(spark, d, "documents").select("doc_id", "text", "lang"))
 
 
 def _tokens(col="text"):
@@ -42,7 +43,7 @@ def _tokens(col="text"):
 
 @query("html_to_text", f"SELECT page_id, {_sql_html('html')} AS text FROM pages")
 def html_to_text(spark, d):
-    return table(spark, d, "pages").select("page_id", tx.html_to_text(F.col("html")).alias("text"))
+    return spread(table(spark, d, "pages").select("page_id", "html")).select("page_id", tx.html_to_text(F.col("html")).alias("text"))
 
 
 @query("letters_only", f"SELECT doc_id, {_sql_letters('text')} AS text FROM documents")
@@ -68,7 +69,7 @@ def join_tokens(spark, d):
 
 @query("review_to_words", f"SELECT page_id, array_to_string({_sql_content(_sql_html('html'))}, ' ') AS words FROM pages")
 def review_to_words(spark, d):
-    return table(spark, d, "pages").select("page_id", tx.review_to_words(F.col("html")).alias("words"))
+    return spread(table(spark, d, "pages").select("page_id", "html")).select("page_id", tx.review_to_words(F.col("html")).alias("words"))
 
 
 _SQL_HELD = f"SELECT *, {sql_rank(42, 'doc_id')} AS k, count(*) OVER () AS n FROM documents"

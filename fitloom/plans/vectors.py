@@ -7,6 +7,7 @@ from fitloom.functions import vectors as vx
 from fitloom.functions.hashing import uniform
 from fitloom.operators import profile, sequences
 from fitloom.plans.registry import EMB, entries, query, r6, rounded, sql_entries, sql_gauss, sql_r6, sql_rank, sql_uniform
+from fitloom.session import spread
 from fitloom.sources.readers import gaussian_latents, noise_schedule, table
 
 MAX_LEN = sequences.MAX_SEGMENT
@@ -88,7 +89,7 @@ _SQL_SCHEDULE = (
 
 def _vectors(spark, d):
     emb = table(spark, d, "embeddings")
-    return emb.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
+    return spread(emb.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v")))
 
 
 def _stepped(spark, d, terms):

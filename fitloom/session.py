@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "12g") -> SparkSession:
@@ -44,6 +44,21 @@ def shared_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+SPREAD_BYTES = 1 << 30
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly work on a small input.
+
+    A file with one row group is read by one task. Inputs estimated below ``SPREAD_BYTES``
+    are dealt out to all cores; larger ones come in enough pieces and stay where they are.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > SPREAD_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder; never reused, so nothing is overwritten."""
     return f"{shared_dir(spark)}/fitloom/{name}-{uuid.uuid4().hex}"
