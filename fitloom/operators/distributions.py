@@ -24,28 +24,28 @@ def mean_vector(df: DataFrame, vec: str) -> DataFrame:
 
 
 def group_moments(df: DataFrame, vec: str, group: str | None = None) -> DataFrame:
-    """(grp, i, j, s): sums of centred products for i <= j, centred sums at j = -1, the
-    row count at i = j = -1; all relative to the overall mean, which comes in column ``c``.
+    """(grp, i, j, s, n): sums of centred products for i <= j, centred sums at j = -1, and the
+    row count; all relative to the overall mean, whose i-th entry comes as column ``c``.
 
     Each task adds up one upper triangle per group and hands on only those cells, so the
     shuffle grows with tasks x groups x dimensions squared and not with the rows.
     """
     key = F.lit("").alias("grp") if group is None else F.col(group).cast("string").alias("grp")
-    rows = df.select(key, F.col(vec).cast("array<double>").alias("v"))
+    rows = df.select(key, F.col(vec).cast("array<double>").alias("v")).where(F.col("v").isNotNull())
     centre = [r["mean"] for r in mean_vector(rows, "v").orderBy("pos").collect()]
     dim = len(centre)
     if dim > MAX_DIM:
         raise ValueError(f"{dim} dimensions; reduce them with extract_features first")
     c = np.array(centre)
     ii, jj = np.triu_indices(dim)
-    cell_i = np.concatenate([ii, np.arange(dim), [-1]]).astype("int32")
-    cell_j = np.concatenate([jj, np.full(dim, -1), [-1]]).astype("int32")
+    cell_i = np.concatenate([ii, np.arange(dim)]).astype("int32")
+    cell_j = np.concatenate([jj, np.full(dim, -1)]).astype("int32")
 
     def cells(name, state):
         n, s, gram = state
-        values = np.concatenate([gram[ii, jj], s, [float(n)]])
-        names = pa.array([name] * len(values), pa.string())
-        return pa.RecordBatch.from_arrays([names, pa.array(cell_i), pa.array(cell_j), pa.array(values)], ["grp", "i", "j", "s"])
+        values = pa.array(np.concatenate([gram[ii, jj], s]))
+        names, counts = pa.array([name] * len(values), pa.string()), pa.array([n] * len(values), pa.int64())
+        return pa.RecordBatch.from_arrays([names, pa.array(cell_i), pa.array(cell_j), values, counts], ["grp", "i", "j", "s", "n"])
 
     def partial(batches):
         held: dict = {}
@@ -64,8 +64,8 @@ def group_moments(df: DataFrame, vec: str, group: str | None = None) -> DataFram
         for name, state in held.items():
             yield cells(name, state)
 
-    sums = rows.mapInArrow(partial, "grp string, i int, j int, s double").groupBy("grp", "i", "j").agg(F.sum("s").alias("s"))
-    return sums.withColumn("c", F.when((F.col("j") == -1) & (F.col("i") >= 0), F.get(_constant(centre), F.col("i"))))
+    cells_of = rows.mapInArrow(partial, "grp string, i int, j int, s double, n bigint").groupBy("grp", "i", "j")
+    return cells_of.agg(F.sum("s").alias("s"), F.sum("n").alias("n")).withColumn("c", F.get(_constant(centre), F.col("i")))
 
 
 def _constant(values: list[float]):
@@ -75,8 +75,8 @@ def _constant(values: list[float]):
 def _unpack(cells: pd.DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
     """Cells of one group -> count, mean, sample covariance."""
     i, j, s = (cells[k].to_numpy() for k in ("i", "j", "s"))
-    n = float(s[(i == -1)][0])
-    at = (j == -1) & (i >= 0)
+    n = float(cells["n"].iloc[0])
+    at = j == -1
     order = np.argsort(i[at])
     shift, centre = s[at][order], cells["c"].to_numpy()[at][order]
     gram = np.zeros((len(shift), len(shift)))
@@ -90,9 +90,8 @@ def _unpack(cells: pd.DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
 
 def covariance_matrix(df: DataFrame, vec: str) -> DataFrame:
     """Sample covariance in long form (i, j, cov) for all i and j."""
-    sums = group_moments(df, vec)
-    n = sums.where(F.col("i") == -1).select("s").scalar()
-    cov = sums.where(F.col("j") >= 0).select("i", "j", (F.col("s") / (n - 1.0)).alias("cov"))
+    sums = group_moments(df, vec).where(F.col("j") >= 0)
+    cov = sums.select("i", "j", (F.col("s") / (F.col("n") - F.lit(1.0))).alias("cov"))
     both = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j", "cov"))).otherwise(
         F.array(F.struct("i", "j", "cov"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"), F.col("cov")))
     )
@@ -139,7 +138,7 @@ def frechet_by_class(df: DataFrame, vec: str, group: str) -> DataFrame:
     group each, against the moments of the whole, which are the sums over the groups.
     """
     cells = kept(group_moments(df, vec, group))  # used twice
-    whole = cells.groupBy("i", "j").agg(F.sum("s").alias("s"), F.first("c").alias("c")).toPandas()
+    whole = cells.groupBy("i", "j").agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.first("c").alias("c")).toPandas()
     _, mu, cov = _unpack(whole)
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:

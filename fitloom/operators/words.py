@@ -38,7 +38,7 @@ def bow_counts(df: DataFrame, tokens: Column, words: list[str], ids: list[str])
     """(ids, idx, n) for every vocabulary word that occurs in a row; unknown words are skipped."""
     counted = bow_vector(df.select(*ids, tokens.alias("__t")), F.col("__t"), words)
     return (
-        counted.select(*ids, F.posexplode(vector_to_array("counts")).alias("idx", "n"))
+        counted.select(*ids, F.posexplode_outer(vector_to_array("counts")).alias("idx", "n"))
         .where(F.col("n") > 0)
         .withColumn("n", F.col("n").cast("bigint"))
     )

@@ -36,7 +36,8 @@ def rounded(df: DataFrame, *cols: str) -> DataFrame:
 
 def entries(df: DataFrame, ids: list[str], vec: str, kind: str = "double") -> DataFrame:
     """One row per array entry (ids, pos, value)."""
-    out = df.select(*ids, F.posexplode(vec).alias("pos", "value"))
+    # outer, since for an inner one Catalyst computes the array once more to filter by its size
+    out = df.select(*ids, F.posexplode_outer(vec).alias("pos", "value")).where(F.col("pos").isNotNull())
     return out.withColumn("value", r6("value")) if kind == "double" else out
 
 

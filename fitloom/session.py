@@ -45,6 +45,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 SPREAD_BYTES = 1 << 30
+PIECE_BYTES = 1 << 15
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -56,7 +57,7 @@ def spread(df: DataFrame) -> DataFrame:
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size > SPREAD_BYTES:
         return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(min(df.sparkSession.sparkContext.defaultParallelism, 1 + size // PIECE_BYTES))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -17,9 +17,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def csv_scan(spark: SparkSession, path: str, schema: StructType | str, drop: tuple[str, ...] = ()) -> DataFrame:
-    """CSV with a header line under an explicit schema; a stray index column can be dropped."""
-    return spark.read.csv(path, header=True, schema=schema, escape='"', multiLine=False).drop(*drop)
+def csv_scan(spark: SparkSession, path: str, schema: StructType | str, drop: tuple[str, ...] = (), multi_line: bool = False) -> DataFrame:
+    """CSV with a header line under an explicit schema; a stray index column can be dropped.
+
+    ``multi_line`` is for quoted values with line breaks; such a file is read by one task,
+    so large tables should come as many files.
+    """
+    return spark.read.csv(path, header=True, schema=schema, escape='"', multiLine=multi_line).drop(*drop)
 
 
 def labelled_folder_scan(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:

@@ -147,3 +147,9 @@ def test_csv_drops_the_stray_column(spark):
     spark.createDataFrame([(0, 1.5, 'a "b", c')], "i int, x double, s string").coalesce(1).write.csv(path, header=True, escape='"')
     df = readers.csv_scan(spark, path, "i int, x double, s string", drop=("i",))
     assert df.columns == ["x", "s"] and df.first()["s"] == 'a "b", c'
+
+
+def test_csv_with_line_breaks_in_quotes(spark):
+    path = scratch_path(spark, "csv")
+    spark.createDataFrame([("two\nlines", 3)], "review string, rating int").write.csv(path, header=True, escape='"')
+    assert readers.csv_scan(spark, path, "review string, rating int", multi_line=True).first() == ("two\nlines", 3)
