@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fitloom.functions.text import drop_words, misspell_words, replace_words
-from fitloom.operators.splits import cap_rows
+from fitloom.operators.rank import find_cuts
 
 
 @dataclass(frozen=True)
@@ -50,22 +50,28 @@ CAPPED, LARGEST = 3, 4
 
 
 def _augment(df: DataFrame, text: str, row_id: str, label: str, edits: WordEdits, mix: dict, last_class_only: bool) -> DataFrame:
+    """Rows and their edited copies from one scan; column ``edit`` is "none" for the rows.
+
+    Two small passes before it count the two classes of the cap and find its last row.
+    """
     sizes = df.agg(
         F.count_if(F.col(label) == LARGEST).alias("largest"), F.count_if(F.col(label) == CAPPED).alias("capped")
     ).first()
     room = max(sizes["largest"] - sizes["capped"], 0)
-    out = df.withColumn("edit", F.lit("none"))
-    by_kind: dict[str, list[int]] = {}
-    for c, kinds in mix.items():
-        for kind in kinds:
-            if c != CAPPED and not last_class_only:
-                by_kind.setdefault(kind, []).append(c)
-    for kind, classes in by_kind.items():
-        out = out.unionByName(augmented(df.where(F.col(label).isin(classes)), text, row_id, kind, edits))
-    capped = df.where(F.col(label) == CAPPED)
+    within = F.lit(True)
     if room < sizes["capped"]:
-        capped = cap_rows(capped, [row_id], room, edits.seed)
-    return out.unionByName(augmented(capped, text, row_id, mix[CAPPED][0], edits))
+        _, (cut,) = find_cuts(df.where(F.col(label) == CAPPED), [row_id], edits.seed, lambda n: [room])
+        within = cut.holds()
+    kinds = F.array(F.lit("none"))
+    for c, copies in mix.items():
+        if c == CAPPED or not last_class_only:
+            here = F.col(label) == c
+            here = here & within if c == CAPPED else here
+            kinds = F.when(here, F.array(F.lit("none"), *[F.lit(x) for x in copies])).otherwise(kinds)
+    new = F.col(text)
+    for kind in sorted({x for copies in mix.values() for x in copies}):
+        new = F.when(F.col("edit") == kind, edits.edit(kind, F.col(text), F.col(row_id))).otherwise(new)
+    return df.withColumn("edit", F.explode(kinds)).withColumn(text, new)
 
 
 def augment_minority(df: DataFrame, text: str, row_id: str, label: str, edits: WordEdits, last_class_only: bool = False) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -66,47 +66,38 @@ def fraction_split(df: DataFrame, ids: list[str], fractions: list[float], seed:
 def stratified_split(df: DataFrame, ids: list[str], label: str, train: float = 0.7, valid: float = 0.2, seed: int = 42, out: str = "split") -> DataFrame:
     """Per class: round-half-even shares for train and validate, the rest is test.
 
-    Counts per (class, key prefix) locate the bucket in which a class is cut; only the
-    rows of those buckets are numbered. All other rows are decided by their prefix.
+    Two passes over ids and labels find each class's two border rows: counts per (class,
+    key prefix) name the bucket of a border, and only such buckets are numbered. The data
+    itself is read once and compared with the border rows of its class.
     """
     c, b, k = "__class", "__bucket", "__key"
-    keyed = df.withColumn(c, F.coalesce(F.col(label).cast("string"), F.lit("\x00")))
-    keyed = keyed.withColumn(k, order_key(seed, ids)).withColumn(b, F.substring(k, 1, DIGITS))
     by_class = W.partitionBy(c)
+    keyed = df.select(*ids, _class_text(label).alias(c), order_key(seed, ids).alias(k)).withColumn(b, F.substring(k, 1, DIGITS))
     counts = keyed.groupBy(c, b).count().select(
-        c, b, "count",
-        F.sum("count").over(by_class).alias("__n"),
-        F.sum("count").over(by_class.orderBy(b)).alias("__end"),
+        c, b, F.col("count"), F.sum("count").over(by_class).alias("n"), F.sum("count").over(by_class.orderBy(b)).alias("end")
     )
-    first = F.bround(F.col("__n") * F.lit(train), 0).cast("bigint")
-    second = first + F.bround(F.col("__n") * F.lit(valid), 0).cast("bigint")
-    borders = counts.select(c, b, "count", "__end", first.alias("__k1"), second.alias("__k2"))
-    start = F.col("__end") - F.col("count")
-    crossed = [(start < F.col(kk)) & (F.col("__end") > F.col(kk)) for kk in ("__k1", "__k2")]
-    # of a class: the last bucket wholly before each border; and the buckets that are cut
-    whole = borders.groupBy(c).agg(
-        F.max(F.when(F.col("__end") <= F.col("__k1"), F.col(b))).alias("__w1"),
-        F.max(F.when(F.col("__end") <= F.col("__k2"), F.col(b))).alias("__w2"),
-        F.max(F.when(crossed[0], F.col(b))).alias("__b1"),
-        F.max(F.when(crossed[1], F.col(b))).alias("__b2"),
-        F.max(F.when(crossed[0], F.col("__k1") - start)).alias("__m1"),
-        F.max(F.when(crossed[1], F.col("__k2") - start)).alias("__m2"),
+    first = F.bround(F.col("n") * F.lit(train), 0).cast("bigint")
+    second = first + F.bround(F.col("n") * F.lit(valid), 0).cast("bigint")
+    at = F.explode(F.array(F.struct(F.lit(1).alias("which"), first.alias("k")), F.struct(F.lit(2).alias("which"), second.alias("k"))))
+    start = F.col("end") - F.col("count")
+    borders = (
+        counts.withColumn("at", at).where((start < F.col("at.k")) & (F.col("at.k") <= F.col("end")))
+        .select(c, b, F.col("at.which").alias("__which"), (F.col("at.k") - start).alias("__m"))
+    )  # two rows per class
+    place = F.row_number().over(W.partitionBy(c, b, "__which").orderBy(k, *ids))
+    found = attach_by_key(keyed, borders, [c, b], ids).withColumn("__place", place).where(F.col("__place") == F.col("__m"))
+    row = F.struct(F.col(k).alias("k"), *ids)
+    cuts = found.groupBy(c).agg(
+        F.max(F.when(F.col("__which") == 1, row)).alias("__cut1"), F.max(F.when(F.col("__which") == 2, row)).alias("__cut2")
     )
-    marked = attach_by_key(keyed, whole, [c], ids)  # one row per class
-    at_border = F.coalesce((F.col(b) == F.col("__b1")) | (F.col(b) == F.col("__b2")), F.lit(False))
-    in_train = F.coalesce(F.col(b) <= F.col("__w1"), F.lit(False))
-    in_valid = F.coalesce(F.col(b) <= F.col("__w2"), F.lit(False))
-    by_prefix = F.when(in_train, "train").when(in_valid, "validate").otherwise("test")
-    place = F.row_number().over(W.partitionBy(c, b).orderBy(k, *ids))
-    by_place = (
-        F.when(in_train | ((F.col(b) == F.col("__b1")) & (F.col("__place") <= F.col("__m1"))), "train")
-        .when(in_valid | ((F.col(b) == F.col("__b2")) & (F.col("__place") <= F.col("__m2"))), "validate")
-        .otherwise("test")
-    )
-    clear = marked.where(~at_border).withColumn(out, by_prefix)
-    near = marked.where(at_border).withColumn("__place", place).withColumn(out, by_place)
-    cols = [*df.columns, out]
-    return clear.select(*cols).unionByName(near.select(*cols))
+    marked = attach_by_key(df.withColumn(c, _class_text(label)), cuts, [c], ids, "left")
+    here = F.struct(order_key(seed, ids).alias("k"), *ids)
+    part = F.when(here <= F.col("__cut1"), "train").when(here <= F.col("__cut2"), "validate").otherwise("test")
+    return marked.withColumn(out, part).select(*df.columns, out)
+
+
+def _class_text(label: str) -> Column:
+    return F.coalesce(F.col(label).cast("string"), F.lit("\x00"))
 
 
 def index_within_class(df: DataFrame, ids: list[str], label: str, seed: int = 42, out: str = "idx") -> DataFrame:
@@ -144,3 +135,8 @@ def cap_rows(df: DataFrame, ids: list[str], k: int, seed: int = 42) -> DataFrame
     """The first ``k`` rows in seeded order; a negative ``k`` gives none."""
     _, (cut,) = find_cuts(df, ids, seed, lambda n: [k])
     return df.where(cut.holds())
+
+
+def collate_batches(df: DataFrame, ids: list[str], size: int, collate, schema: str, seed: int = 42, drop_last: bool = False) -> DataFrame:
+    """The user's ``collate(pandas frame) -> pandas frame`` on each batch of ``size`` rows."""
+    return assign_batches(df, ids, size, seed, drop_last).groupBy("batch").applyInPandas(collate, schema)

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fitloom.functions.text import MAX_LITERAL_WORDS, attention_mask, hashed_lookup, pad_ids
+from fitloom.operators.joins import attach_by_key
 
 
 def bow_vocabulary(df: DataFrame, tokens: Column, size: int = 1000, min_len: int = 2) -> DataFrame:
@@ -57,7 +58,8 @@ def tokenize_pad_truncate(df: DataFrame, tokens: Column, vocab: DataFrame, lengt
         coded = df.select(*ids, F.transform(first, lambda w: F.coalesce(lookup(w), F.lit(1))).alias("__ids"))
     else:
         each = df.select(*ids, F.posexplode_outer(first).alias("__pos", "word"))
-        found = each.join(vocab.select("word", (F.col("idx") + 2).alias("__id")), "word", "left")
+        table = vocab.select("word", (F.col("idx") + 2).alias("__id"))
+        found = attach_by_key(each, table, ["word"], [*ids, "__pos"], "left")
         pair = F.when(F.col("__pos").isNotNull(), F.struct("__pos", F.coalesce("__id", F.lit(1)).alias("id")))
         gathered = found.groupBy(*ids).agg(F.sort_array(F.collect_list(pair)).alias("__p"))
         coded = gathered.select(*ids, F.transform("__p", lambda p: p["id"]).alias("__ids"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fitloom.functions.classes import price_class_code
 from fitloom.operators import metrics, splits
+from fitloom.operators.joins import kept
 from fitloom.plans.evaluation import SQL_EXPERIMENT, scored_configs
 from fitloom.plans.registry import EMB, SQL_PRICE_CODE, query, r6, rounded, sql_r6, sql_rank
 from fitloom.plans.vectors import _SQL_PX, images
@@ -133,7 +134,7 @@ def write_labelled_text(spark, d):
 @query("write_experiment_report", SQL_EXPERIMENT)
 def write_experiment_report(spark, d):
     path = scratch_path(spark, "report")
-    report = metrics.experiment_table(scored_configs(spark, d), "config", "split", "train", "holdout", [0, 1, 2])
+    report = kept(metrics.experiment_table(scored_configs(spark, d), "config", "split", "train", "holdout", [0, 1, 2]))
     first, rest = report.where("config = 'x0.8'"), report.where("config <> 'x0.8'")
     writers.write_experiment_report(first, path)
     writers.write_experiment_report(rest, path, append=True)

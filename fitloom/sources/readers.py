@@ -26,6 +26,12 @@ def csv_scan(spark: SparkSession, path: str, schema: StructType | str, drop: tup
     return spark.read.csv(path, header=True, schema=schema, escape='"', multiLine=multi_line).drop(*drop)
 
 
+def read_sequences(spark: SparkSession, path: str, seq: str = "seq", label: str | None = "label") -> DataFrame:
+    """Ragged numeric records from Parquet: an array column and, unless for scoring, a class code."""
+    schema = f"`{seq}` array<double>" + (f", `{label}` int" if label else "")
+    return spark.read.schema(schema).parquet(path)
+
+
 def labelled_folder_scan(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """(path, class_name, class_idx) of the files below ``root/<class>/``; contents stay unread."""
     files = (

@@ -144,3 +144,11 @@ def test_class_index_beyond_the_local_limit(spark, monkeypatch):
     assert {tuple(r) for r in class_index(df, "c").collect()} == want
     monkeypatch.setattr(joins, "MAX_LOCAL_CLASSES", 1)
     assert {tuple(r) for r in class_index(df, "c").collect()} == want
+
+
+def test_collate_sees_whole_batches(spark):
+    def sizes(pdf):
+        return pdf.groupby("batch", as_index=False).agg(n=("k", "size"))
+
+    got = splits.collate_batches(ids(spark, 70, 3), ["k"], 32, sizes, "batch bigint, n bigint").collect()
+    assert {tuple(r) for r in got} == {(0, 32), (1, 32), (2, 6)}

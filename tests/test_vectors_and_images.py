@@ -153,3 +153,10 @@ def test_csv_with_line_breaks_in_quotes(spark):
     path = scratch_path(spark, "csv")
     spark.createDataFrame([("two\nlines", 3)], "review string, rating int").write.csv(path, header=True, escape='"')
     assert readers.csv_scan(spark, path, "review string, rating int", multi_line=True).first() == ("two\nlines", 3)
+
+
+def test_read_sequences(spark):
+    path = scratch_path(spark, "sequences")
+    spark.createDataFrame([([1.0, 2.0], 3), ([5.0], 0)], "seq array<double>, label int").write.parquet(path)
+    assert {(tuple(r["seq"]), r["label"]) for r in readers.read_sequences(spark, path).collect()} == {((1.0, 2.0), 3), ((5.0,), 0)}
+    assert readers.read_sequences(spark, path, label=None).columns == ["seq"]
