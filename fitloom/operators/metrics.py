@@ -46,7 +46,7 @@ def confusion(df: DataFrame, truth: Column, guess: Column, by: tuple[str, ...] =
 
 def precision_per_class(df: DataFrame, truth: Column, guess: Column, classes: list[int]) -> DataFrame:
     """TP / (TP + FP) of each listed class, 0 where the class is never predicted."""
-    named = df.sparkSession.createDataFrame([(c,) for c in classes], "label int")
+    named = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in classes])).alias("label"))
     scored = (
         confusion(df, truth, guess).groupBy(F.col("guess").alias("label"))
         .agg(F.sum(F.when(F.col("truth") == F.col("guess"), F.col("n")).otherwise(0)).alias("tp"), F.sum("n").alias("all"))

@@ -90,18 +90,13 @@ def image_decode_scan(spark, d):
     path = scratch_path(spark, "images")
     labels = table(spark, d, "embeddings").select("vec_id", "label")
     write_image_files(spread(images(spark, d).join(labels, "vec_id")), path)
-    good, bad = readers.decode_images(readers.read_images(spark, path))
+    seen = readers.decode_images(readers.read_images(spark, path))
 
     def plane(c):
         return F.aggregate(F.filter("pixels", lambda x, i: i % 3 == c), F.lit(0.0), lambda a, x: a + x).cast("bigint")
 
     name = F.element_at(F.split("path", "/"), -1).alias("file")
-    seen = good.select(name, F.lit(True).alias("readable"), "height", "width", plane(0).alias("red"), plane(1).alias("green"), plane(2).alias("blue"))
-    lost = bad.select(
-        name, F.lit(False).alias("readable"), *[F.lit(None).cast("int").alias(c) for c in ("height", "width")],
-        *[F.lit(None).cast("bigint").alias(c) for c in ("red", "green", "blue")],
-    )
-    return seen.unionByName(lost)
+    return seen.select(name, "readable", "height", "width", plane(0).alias("red"), plane(1).alias("green"), plane(2).alias("blue"))
 
 
 @query("write_predictions_fixed", f"SELECT printf('%.6f', ({SQL_PRICE_CODE.format(x='o_totalprice')})::DOUBLE) AS value FROM orders")

@@ -53,9 +53,11 @@ def read_images(spark: SparkSession, root: str) -> DataFrame:
 
 @F.pandas_udf(ArrayType(DoubleType()))
 def _rgb(data: pd.Series, channels: pd.Series) -> pd.Series:
-    """Stored blue-green-red (or grey) bytes -> interleaved red-green-blue."""
+    """Stored blue-green-red (or grey) bytes -> interleaved red-green-blue; NULL if there are none."""
 
     def one(raw, c):
+        if c <= 0:
+            return None
         px = np.frombuffer(raw, np.uint8).reshape(-1, c)
         px = np.repeat(px, 3, axis=1) if c == 1 else px[:, 2::-1]
         return px.astype("float64").ravel()
@@ -63,14 +65,18 @@ def _rgb(data: pd.Series, channels: pd.Series) -> pd.Series:
     return pd.Series([one(raw, c) for raw, c in zip(data, channels)])
 
 
-def decode_images(images: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(path, height, width, pixels) of the readable images, and the paths of the others."""
+def decode_images(images: DataFrame) -> DataFrame:
+    """(path, readable, height, width, pixels) of every file, from one scan.
+
+    Files that cannot be decoded stay in as rows that are not readable, so that they can
+    be skipped and reported.
+    """
     good = F.col("image.height") > 0
-    decoded = images.where(good).select(
-        F.col("image.origin").alias("path"), F.col("image.height").alias("height"), F.col("image.width").alias("width"),
+    return images.select(
+        F.col("image.origin").alias("path"), good.alias("readable"),
+        F.when(good, F.col("image.height")).alias("height"), F.when(good, F.col("image.width")).alias("width"),
         _rgb("image.data", "image.nChannels").alias("pixels"),
     )
-    return decoded, images.where(~good).select(F.col("image.origin").alias("path"))
 
 
 def gaussian_latents(rows: DataFrame, row_id: Column, dim: int, seed: int = 42) -> DataFrame:
