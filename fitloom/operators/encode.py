@@ -22,16 +22,24 @@ def filter_by_class(df: DataFrame, label: str, value, cols: list[str]) -> DataFr
     return df.where(F.col(label) == F.lit(value)).select(*cols)
 
 
-def one_hot_levels(df: DataFrame, cols: list[str]) -> dict[str, list[str]]:
-    """Sorted levels of each column without the first; the fitted state of one-hot encoding."""
-    levels = {}
-    for c in cols:
-        col = F.col(f"`{c}`")
-        found = df.select(col.alias("v")).where(col.isNotNull()).distinct().limit(MAX_LEVELS + 1).collect()
-        if len(found) > MAX_LEVELS:
-            raise ValueError(f"{c} has more than {MAX_LEVELS} levels: index it with class_index")
-        levels[c] = sorted(r["v"] for r in found)[1:]
-    return levels
+def one_hot_levels(df: DataFrame, cols: list[str]) -> dict[str, list]:
+    """Sorted levels of each column without the first; the fitted state of one-hot encoding.
+
+    Columns of one type are read in one scan; repeated levels are combined before the shuffle.
+    """
+    kinds = dict(df.dtypes)
+    levels: dict[str, list] = {}
+    for kind in dict.fromkeys(kinds[c] for c in cols):
+        named = [c for c in cols if kinds[c] == kind]
+        cell = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").alias("v")) for i, c in enumerate(named)]))
+        found = df.select(cell.alias("c")).select("c.i", "c.v").where(F.col("v").isNotNull()).distinct()
+        rows = found.limit(len(named) * MAX_LEVELS + 1).collect()
+        for i, c in enumerate(named):
+            values = sorted(r["v"] for r in rows if r["i"] == i)
+            if len(values) > MAX_LEVELS or len(rows) > len(named) * MAX_LEVELS:
+                raise ValueError(f"{named} have more than {MAX_LEVELS} levels: index them with class_index")
+            levels[c] = values[1:]
+    return {c: levels[c] for c in cols}
 
 
 def one_hot_apply(df: DataFrame, levels: dict[str, list]) -> DataFrame:

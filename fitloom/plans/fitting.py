@@ -29,13 +29,11 @@ def fit_l1_regressor(spark, d):
 
 def _priced(spark, d):
     """Orders with customer, encoded and scaled on the training part, price class as label."""
-    orders = table(spark, d, "orders").join(
-        table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_acctbal", "c_mktsegment"), "o_custkey"
-    )
-    rows = orders.select(
-        "o_orderkey", price_class_code(F.col("o_totalprice")).cast("double").alias("label"), "c_acctbal", "c_mktsegment", "o_orderpriority", "o_orderstatus"
-    )
-    parts = splits.holdout_split(rows, ["o_orderkey"], 0.3)
+    parts = splits.holdout_split(table(spark, d, "orders"), ["o_orderkey"], 0.3)
+    customers = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_acctbal", "c_mktsegment")
+    parts = spread(parts.join(customers, "o_custkey").select(
+        "o_orderkey", "split", price_class_code(F.col("o_totalprice")).cast("double").alias("label"), "c_acctbal", "c_mktsegment", "o_orderpriority", "o_orderstatus"
+    ))
     train = parts.where("split = 'train'")
     coded = encode.one_hot_apply(parts, encode.one_hot_levels(train, ["c_mktsegment", "o_orderpriority", "o_orderstatus"]))
     scaled = encode.standard_scale_fit(train, ["c_acctbal"]).apply(coded)

@@ -51,10 +51,11 @@ PIECE_BYTES = 1 << 15
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores for costly work on a small input.
 
-    A file with one row group is read by one task. Inputs estimated below ``SPREAD_BYTES``
-    are dealt out to all cores; larger ones come in enough pieces and stay where they are.
+    A file with one row group is read by one task. Inputs below ``SPREAD_BYTES`` are dealt
+    out to all cores; larger ones come in enough pieces and stay where they are.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     if size > SPREAD_BYTES:
         return df
     return df.repartition(min(df.sparkSession.sparkContext.defaultParallelism, 1 + size // PIECE_BYTES))

@@ -109,3 +109,12 @@ def test_odd_column_names(spark):
     assert profile.describe(df, ["Size(sqf)"]).first()["mean"] == 2.0
     assert encode.one_hot_apply(df, encode.one_hot_levels(df, ["Hall.Type"])).columns == ["Size(sqf)", "Hall.Type_y"]
     assert encode.standard_scale_fit(df, ["Size(sqf)"]).mean == {"Size(sqf)": 2.0}
+
+
+def test_one_hot_of_mixed_types_and_too_many_levels(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "b", "x"), (2, "a", "y"), (3, "a", None)], "n int, s string, t string")
+    assert encode.one_hot_levels(df, ["n", "s", "t"]) == {"n": [2, 3], "s": ["b"], "t": ["y"]}
+    monkeypatch.setattr(encode, "MAX_LEVELS", 2)
+    with pytest.raises(ValueError):
+        encode.one_hot_levels(df, ["n"])
+    assert encode.one_hot_levels(df, ["s"]) == {"s": ["b"]}
