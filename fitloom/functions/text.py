@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import zlib
 
 from pyspark.sql import Column
@@ -77,38 +78,37 @@ def escape_line(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, "[\\r\\n]", " "), "([,/])", "/$1")
 
 
-# Largest dictionary put into a plan as a literal; a larger one has to be a table.
+# Words in one literal of a plan; larger dictionaries take several.
 MAX_LITERAL_WORDS = 50_000
 
 
 def _literal(rows: list[list], kind: str) -> Column:
-    """Constant array<array<kind>>, parsed in one go."""
+    """Constant array<array<kind>>.
 
-    def cell(v):
-        if isinstance(v, str):
-            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-        return str(v)
-
-    parts = [f"cast(array({', '.join(map(cell, r))}) as array<{kind}>)" for r in rows]
-    return F.expr(f"array({', '.join(parts)})")
+    Written as one JSON text, which the optimizer turns into a single literal; an array
+    expression with a node per word would be walked by every analysis rule.
+    """
+    return F.from_json(F.lit(json.dumps(rows, ensure_ascii=False)), f"array<array<{kind}>>")
 
 
 def hashed_lookup(mapping: dict, kind: str):
-    """A function ``word column -> mapped value or NULL`` with constant cost per word.
+    """A function ``word column -> mapped value or NULL`` with constant cost per word."""
+    names = sorted(mapping)
+    parts = [names[i : i + MAX_LITERAL_WORDS] for i in range(0, len(names), MAX_LITERAL_WORDS)] or [[]]
+    lookups = [_one_lookup({w: mapping[w] for w in part}, kind) for part in parts]
+    return lambda word: F.coalesce(*[look(word) for look in lookups])
 
-    The dictionary becomes a literal array of small maps, addressed by crc32, since a
-    single map literal would be searched from its start for every word.
-    """
-    if len(mapping) > MAX_LITERAL_WORDS:
-        raise ValueError(f"{len(mapping)} words: join a word table instead")
+
+def _one_lookup(mapping: dict, kind: str):
+    """The dictionary as a literal array of short shelves, addressed by crc32, since a map
+    literal would be searched from its start for every word."""
     n = 1
     while n < len(mapping):
         n *= 2
     shelves: list[list[str]] = [[] for _ in range(n)]
-    for word in sorted(mapping):
+    for word in mapping:
         shelves[zlib.crc32(word.encode()) % n].append(word)
-
-    words = _literal([[w for w in s] for s in shelves], "string")
+    words = _literal(shelves, "string")
     values = _literal([[mapping[w] for w in s] for s in shelves], kind)
 
     def lookup(word: Column) -> Column:

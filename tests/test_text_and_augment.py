@@ -71,10 +71,13 @@ def test_lookup_with_quotes_and_many_words(spark):
     assert got == {**mapping, "absent": None}
 
 
-def test_lookup_refuses_a_large_dictionary(monkeypatch):
+def test_lookup_in_several_literals(spark, monkeypatch):
     monkeypatch.setattr(tx, "MAX_LITERAL_WORDS", 2)
-    with pytest.raises(ValueError):
-        tx.hashed_lookup({"a": "1", "b": "2", "c": "3"}, "string")
+    mapping = {"a": "1", "b": "2", "c": "3", "d": "4", "e": "5"}
+    look = tx.hashed_lookup(mapping, "string")
+    rows = spark.createDataFrame([(w,) for w in "abcdef"], "w string").select("w", look(F.col("w")).alias("v")).collect()
+    assert {r["w"]: r["v"] for r in rows} == {**mapping, "f": None}
+    assert spark.range(1).select(tx.hashed_lookup({}, "string")(F.lit("a")).alias("v")).first()["v"] is None
 
 
 EDITS = augment.WordEdits(synonyms={"good": "fine"}, antonyms={"good": "bad"}, share=1.0)
