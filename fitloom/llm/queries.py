@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fitloom.llm import decontaminate, packing, warc
+from fitloom.llm import decontaminate, lsh_forest, packing, warc
 from fitloom.llm.store import saved
 from fitloom.session import scratch_path
 from fitloom.sources.readers import table
@@ -36,6 +36,11 @@ def op5(spark, folder):
     return packing.pack(table(spark, folder, "documents"), tokenizer_path()).drop("ids")
 
 
+@query("op8_near_dedup")
+def op8(spark, folder):
+    return lsh_forest.near_duplicates(table(spark, folder, "documents"))
+
+
 @query(
     "op9_warc",
     """

@@ -15,7 +15,7 @@ import pyarrow as pa
 SLICE_BYTES = 1 << 20
 
 
-def _mixed(seed: int, n: int) -> np.ndarray:
+def numbers(seed: int, n: int) -> np.ndarray:
     """``n`` fixed pseudo-random 64-bit numbers."""
     return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
 
@@ -30,8 +30,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-BYTE_VALUE = _mixed(11, 256)
-GRAM_FACTOR = _mixed(12, 64) | np.uint64(1)
+BYTE_VALUE = numbers(11, 256)
+GRAM_FACTOR = numbers(12, 64) | np.uint64(1)
 BASE = np.uint64(0xD6E8FEB86659FD93)
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
@@ -84,7 +84,7 @@ class Words:
     def whole(self, row: int) -> int:
         """Hash of all words of a row together; differs from any n-gram of another length."""
         h = self.hashes[self.first[row] : self.first[row + 1]]
-        factors = GRAM_FACTOR[: len(h)] if len(h) <= len(GRAM_FACTOR) else _mixed(12, len(h)) | np.uint64(1)
+        factors = GRAM_FACTOR[: len(h)] if len(h) <= len(GRAM_FACTOR) else numbers(12, len(h)) | np.uint64(1)
         return int(mix(np.array([np.add.reduce(h * factors) + np.uint64(len(h))], np.uint64))[0])
 
 
