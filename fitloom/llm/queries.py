@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fitloom.llm import decontaminate, lsh_forest, packing, warc
+from fitloom.llm import decontaminate, lsh_forest, packing, secret_crf, warc
 from fitloom.llm.store import saved
 from fitloom.session import scratch_path
 from fitloom.sources.readers import table
@@ -36,6 +36,20 @@ def op5(spark, folder):
     return packing.pack(table(spark, folder, "documents"), tokenizer_path()).drop("ids")
 
 
+def _joined(spans: str):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+
+@query("op7_secrets")
+def op7(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = secret_crf.scan(docs, secret_crf.fit(docs))
+    counts = {f"n_{k}": F.size(F.expr(f"filter(base, s -> s.kind = '{k}')")).cast("bigint") for k in secret_crf.KINDS[:3]}
+    return found.select(
+        "doc_id", *[c.alias(n) for n, c in counts.items()], F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("found").alias("spans")
+    )
+
+
 @query("op8_near_dedup")
 def op8(spark, folder):
     return lsh_forest.near_duplicates(table(spark, folder, "documents"))
