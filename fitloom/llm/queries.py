@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fitloom.llm import decontaminate, lsh_forest, packing, secret_crf, warc
+from fitloom.llm import decontaminate, lsh_forest, packing, secret_crf, warc, weak_quality
 from fitloom.llm.store import saved
 from fitloom.session import scratch_path
 from fitloom.sources.readers import table
@@ -36,6 +36,17 @@ def op5(spark, folder):
     return packing.pack(table(spark, folder, "documents"), tokenizer_path()).drop("ids")
 
 
+def ratings(spark, folder):
+    """Ratings of documents: bad if of low quality or toxic."""
+    return table(spark, folder, "labels").select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+
+
+@query("op6_quality")
+def op6(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return weak_quality.score(docs, weak_quality.fit(docs, ratings(spark, folder))).drop("text")
+
+
 def _joined(spans: str):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
 
