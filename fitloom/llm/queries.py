@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fitloom.llm import decontaminate, lsh_forest, packing, secret_crf, warc, weak_quality
+from fitloom.llm import decontaminate, license_align, lsh_forest, packing, secret_crf, url_rules, warc, weak_quality
 from fitloom.llm.store import saved
 from fitloom.session import scratch_path
 from fitloom.sources.readers import table
@@ -31,6 +31,20 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+@query("op1_url_rules")
+def op1(spark, folder):
+    """Pages are labelled by the ratings of the documents of the same number."""
+    return url_rules.judge(table(spark, folder, "pages"), ratings(spark, folder), URL_RULES)
+
+
+@query("op2_licenses")
+def op2(spark, folder):
+    return license_align.scan(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query("op5_pack")
 def op5(spark, folder):
     return packing.pack(table(spark, folder, "documents"), tokenizer_path()).drop("ids")
