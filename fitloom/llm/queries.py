@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fitloom.llm import decontaminate, learned_ann, license_align, lsh_forest, packing, secret_crf, url_rules, warc, weak_quality
+from fitloom.llm import decontaminate, learned_ann, license_align, lsh_forest, packing, secret_crf, substring_index, url_rules, warc, weak_quality
 from fitloom.llm.store import saved
 from fitloom.session import scratch_path
 from fitloom.sources.readers import table
@@ -45,6 +45,11 @@ def op2(spark, folder):
     return license_align.scan(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+@query("op3_repeats")
+def op3(spark, folder):
+    return substring_index.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 @query("op4_neighbours")
 def op4(spark, folder):
     return learned_ann.search(table(spark, folder, "embeddings"))

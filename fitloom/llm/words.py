@@ -44,7 +44,8 @@ LOWER[65:91] += 32
 _powers: list[np.ndarray] = []
 
 
-def _power_tables(n: int) -> list[np.ndarray]:
+def powers(n: int) -> list[np.ndarray]:
+    """At least ``n`` powers of the base and of its inverse."""
     if not _powers or len(_powers[0]) < n:
         n = max(n, SLICE_BYTES + 1)
         out = []
@@ -132,7 +133,7 @@ def split(
     last = offsets[1:][offsets[1:] > offsets[:-1]] - 1
     end[last] = ~gap[last]
     start, stop = np.flatnonzero(begin), np.flatnonzero(end) + 1
-    power, inverse = _power_tables(len(data) + 1)
+    power, inverse = powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(BYTE_VALUE[fold][data] * power[: len(data)], out=sums[1:])
     hashes = mix((sums[stop] - sums[start]) * inverse[start] + (stop - start).astype(np.uint64))
