@@ -193,10 +193,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     near = saved(_neighbours(members, least, parts), "near")
 
-    # rounds: each class's best pair, then the best of those that still lead elsewhere, then all that still do
+    # first each class's best pair, then all that still lead elsewhere
     roots = None
     tested = None
-    for whole in (False, False, True):
+    for whole in (False, True):
         open_ = near if roots is None else _crossing(near, roots).join(tested, ["a", "b"], "left_anti")
         if not whole:
             ends = open_.select(F.col("a").alias("node"), "a", "b", "agree").union(open_.select(F.col("b").alias("node"), "a", "b", "agree"))
@@ -210,15 +210,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     placed = saved(_place(members.select("region", "rep", "n", "sketch"), roots, "rep", "root"), "placed")
     split_ = saved(placed.groupBy("region").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("region"), "apart")
     apart = saved(placed.join(split_, "region"), "apart-members")
+    values = F.transform(F.sequence(F.lit(0), F.lit(HASHES - 1)), lambda i: F.substring("sketch", i * 4 + 1, F.lit(4)))
+    apart = apart.select("region", "rep", "n", "root", values.alias("values"))
     x, y = apart.alias("x"), apart.alias("y")
+    agree = F.size(F.filter(F.zip_with("x.values", "y.values", lambda a, b: a == b), lambda same: same))
     close = (
         (F.col("x.region") == F.col("y.region")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.root") != F.col("y.root"))
-        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
+        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent) & (agree >= least)
     )
-    rest = x.join(y, close).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    sketches = classes.select("rep", "sketch")
-    rest = rest.join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b")
-    rest = saved(rest.mapInArrow(_agreeing(least), "a bigint, b bigint"), "rest")
+    rest = x.join(y, close).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    rest = saved(rest.join(tested, ["a", "b"], "left_anti"), "rest")
     roots = _joined(roots, saved(_confirmed(rest, texts, percent), "links"))
 
     named = _place(classes.select("digest", "rep"), roots, "rep", "component_id").select("digest", "component_id")
@@ -230,15 +231,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
 
 
-def _agreeing(least: int):
-    def run(batches):
-        for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), ">u4").reshape(-1, HASHES) for c in ("sa", "sb"))
-            yield batch.select(["a", "b"]).filter(pa.array((a == b).sum(axis=1) >= least))
-
-    return run
-
-
 def _crossing(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs whose ends are in different components so far."""
     return _place(_place(pairs, roots, "a", "ra"), roots, "b", "rb").where("ra <> rb").drop("ra", "rb")

@@ -85,5 +85,6 @@ def test_components_of_a_path(spark):
     order = list(range(n))
     random.Random(1).shuffle(order)
     links = spark.createDataFrame([(order[i], order[i + 1]) for i in range(n - 1)], "a long, b long")
-    got = {r.node: r.root for r in components(links).collect()}
-    assert got == dict.fromkeys(range(1, n), 0)
+    for local in (0, 1000):
+        got = {r.node: r.root for r in components(links, local).collect()}
+        assert got == dict.fromkeys(range(1, n), 0)
