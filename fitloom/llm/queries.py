@@ -105,7 +105,7 @@ def op9(spark, folder):
     files = scratch_path(spark, "warc")
     rows = saved(warc.write_monolithic(table(spark, folder, "pages"), files), "warc-rows")
     done = saved(warc.normalise(warc.revisits(rows), files), "warc-archives")
-    return warc.read_members(done.repartition("archive"), files)
+    return warc.read_members(done, files)
 
 
 

@@ -152,6 +152,11 @@ def revisits(rows: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
     )
 
 
+def apart(rows: DataFrame) -> DataFrame:
+    """Rows dealt by archive to as many tasks: few bytes here, but each archive is much work."""
+    return rows.repartition(max(1, rows.select("archive").distinct().count()), "archive")
+
+
 def normalise(decided: DataFrame, folder: str) -> DataFrame:
     """Rewrite each archive of ``decided`` (archive, seq, refers_to): every record its own gzip member.
 
@@ -181,7 +186,7 @@ def normalise(decided: DataFrame, folder: str) -> DataFrame:
         index.close()
         return pd.DataFrame({"archive": [name.replace("raw-", "members-")], "n": [len(frame)]})
 
-    return decided.select("archive", "seq", "refers_to").groupBy("archive").applyInPandas(run, "archive string, n bigint")
+    return apart(decided.select("archive", "seq", "refers_to")).groupBy("archive").applyInPandas(run, "archive string, n bigint")
 
 
 def read_members(archives: DataFrame, folder: str) -> DataFrame:
@@ -211,4 +216,4 @@ def read_members(archives: DataFrame, folder: str) -> DataFrame:
                 yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
 
     kind = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
-    return archives.select("archive").mapInPandas(run, kind)
+    return apart(archives.select("archive")).mapInPandas(run, kind)
