@@ -25,7 +25,7 @@ GRAPH_NEIGHBOURS = 16
 HIDDEN = 128
 EPOCHS = 150
 TARGET = 0.95
-BLOCK_ROWS = 1000
+BLOCK_ROWS = 20_000
 QUERY_ROWS = 2000
 
 
