@@ -89,9 +89,9 @@ def _unpack(cells: pd.DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
 
 
 def covariance_matrix(df: DataFrame, vec: str) -> DataFrame:
-    """Sample covariance in long form (i, j, cov) for all i and j."""
+    """Sample covariance in long form (i, j, cov) for all i and j; NaN for a single row."""
     sums = group_moments(df, vec).where(F.col("j") >= 0)
-    cov = sums.select("i", "j", (F.col("s") / (F.col("n") - F.lit(1.0))).alias("cov"))
+    cov = sums.select("i", "j", F.coalesce(F.try_divide(F.col("s"), F.col("n") - F.lit(1.0)), F.lit(float("nan"))).alias("cov"))
     both = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j", "cov"))).otherwise(
         F.array(F.struct("i", "j", "cov"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"), F.col("cov")))
     )
