@@ -4,9 +4,11 @@ Documents with the same set are one class. A signature has ``HASHES`` values; tr
 by the signature rotated to its own place, and classes that agree on the first ``DEPTH`` values there
 share a region. In each order a class is compared with its next neighbours, those of the longest
 common prefix, however dense the region is, and with the first class of its region there; most dense
-groups get connected by these. Then every pair of a region whose classes are still in different
-components is compared, so no region is capped and a pair is only ever missed when it shares
-no region at all (at a similarity of 0.85: about 1 in 100,000).
+groups get connected by these. A region whose classes are still in different components takes the
+class that leads most of them as its pivot; each set is written as its differences from the pivot's,
+and only sets that share one of their rarest differences can still be linked and are compared. So no
+region is capped, no group is expanded into all its pairs, and a pair is only ever missed when it
+shares no region at all (at a similarity of 0.85: about 1 in 100,000).
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fitloom.llm.components import components
@@ -164,6 +167,73 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
+GROUP_ROWS = 10_000
+
+
+def _differences(groups: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The shingles in which each class of a group (pivot, rep, root) differs from the pivot's set, one per row.
+
+    For sets i and j that lack d and add a of the pivot's shingles let cost = 100 * d + percent * a and
+    room = (100 - percent) * size of the pivot's set. A set is linked with the pivot when cost <= room,
+    else it is far; i and j are linked when (100 + percent) * differences they share is at least
+    cost(i) + cost(j) - room. So two sets that are not both linked with the pivot share a difference, and
+    it is among the first ``reach`` of either in any common order: ``reach`` towards far sets, ``wide``
+    towards sets linked with the pivot. A row without element says that the set is linked with the pivot.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                names = [part.column(i).to_pylist() for i in range(3)]
+                out = []
+                for pivot, rep, root, base, own in zip(*names, shingle_sets(part.column(3)), shingle_sets(part.column(4))):
+                    lost, new = np.setdiff1d(base, own, True), np.setdiff1d(own, base, True)
+                    cost, room = 100 * len(lost) + percent * len(new), (100 - percent) * len(base)
+                    far = cost > room
+                    size = len(lost) + len(new)
+                    reach = size + 1 - -(-(cost + 1) // (100 + percent))
+                    wide = size + 1 - -(-(cost - room) // (100 + percent)) if far else 0
+                    if max(reach, wide) > 0:
+                        out.append((pivot, rep, root, len(own), far, reach, wide, np.concatenate((lost, new)).astype(np.int64)))
+                    if not far:
+                        out.append((pivot, rep, root, len(own), far, reach, wide, None))
+                if not out:
+                    continue
+                times = [1 if r[-1] is None else len(r[-1]) for r in out]
+                cols = [pa.array(np.repeat(np.array([r[i] for r in out]), times)) for i in range(7)]
+                elements = pa.chunked_array([pa.nulls(1, pa.int64()) if r[-1] is None else pa.array(r[-1]) for r in out])
+                table = pa.table([*cols, elements], names=["pivot", "rep", "root", "n", "far", "reach", "wide", "element"])
+                yield from table.combine_chunks().to_batches(100_000)
+
+    salts = groups.groupBy("pivot").agg((F.count(F.lit(1)) / GROUP_ROWS + 1).cast("int").alias("salts"))
+    bases = salts.join(texts.select(F.col("rep").alias("pivot"), F.col("text").alias("base")), "pivot")
+    bases = bases.select("pivot", "base", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    dealt = groups.join(salts, "pivot").withColumn("salt", F.pmod(F.xxhash64("rep"), F.col("salts")).cast("int"))
+    both = dealt.join(texts, "rep").join(bases, ["pivot", "salt"]).select("pivot", "rep", "root", "base", "text")
+    schema = "pivot bigint, rep bigint, root bigint, n bigint, far boolean, reach bigint, wide bigint, element bigint"
+    return both.mapInArrow(run, schema)
+
+
+def _sharing(diffs: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of classes of different roots that share one of their rarest differences from a pivot."""
+    rows = diffs.where("element is not null")
+    often = rows.groupBy("pivot", "element").agg(F.count(F.lit(1)).alias("often"))
+    inside = W.partitionBy("pivot", "rep").orderBy("often", "element")
+    ranked = rows.join(often, ["pivot", "element"]).withColumn("rank", F.row_number().over(inside))
+    first = saved(ranked.where("often > 1 and rank <= greatest(reach, wide)").drop("often"), "rarest")
+    x, y = first.where("far").alias("x"), first.alias("y")
+    both_far = F.col("y.far") & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.rank") <= F.col("x.reach"))
+    one_far = ~F.col("y.far") & (F.col("x.rank") <= F.col("x.wide"))
+    close = (
+        (F.col("x.pivot") == F.col("y.pivot")) & (F.col("x.element") == F.col("y.element")) & (F.col("x.root") != F.col("y.root"))
+        & (F.col("y.rank") <= F.col("y.reach")) & (both_far | one_far)
+        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
+    )
+    pairs = x.join(y, close).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
+    return pairs.distinct()
+
+
 def _place(nodes: DataFrame, roots: DataFrame, node: str, out: str) -> DataFrame:
     at = roots.select(F.col("node").alias(node), F.col("root").alias("__root"))
     return nodes.join(at, node, "left").withColumn(out, F.coalesce("__root", node)).drop("__root")
@@ -207,20 +277,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         roots = _joined(roots, saved(_confirmed(pairs, texts, percent), "links"))
 
     # the rest, exactly: pairs of one region that are still apart
-    placed = saved(_place(members.select("region", "rep", "n", "sketch"), roots, "rep", "root"), "placed")
-    split_ = saved(placed.groupBy("region").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("region"), "apart")
-    apart = saved(placed.join(split_, "region"), "apart-members")
-    values = F.transform(F.sequence(F.lit(0), F.lit(HASHES - 1)), lambda i: F.substring("sketch", i * 4 + 1, F.lit(4)))
-    apart = apart.select("region", "rep", "n", "root", values.alias("values"))
-    x, y = apart.alias("x"), apart.alias("y")
-    agree = F.size(F.filter(F.zip_with("x.values", "y.values", lambda a, b: a == b), lambda same: same))
-    close = (
-        (F.col("x.region") == F.col("y.region")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.root") != F.col("y.root"))
-        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent) & (agree >= least)
+    placed = saved(_place(members.select("region", "rep"), roots, "rep", "root"), "placed")
+    held = placed.groupBy("region", "root").count()
+    pivots = held.groupBy("region").agg(
+        F.max(F.struct("count", (-F.col("root")).alias("least"))).alias("m"), F.count(F.lit(1)).alias("roots")
     )
-    rest = x.join(y, close).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    rest = saved(rest.join(tested, ["a", "b"], "left_anti"), "rest")
-    roots = _joined(roots, saved(_confirmed(rest, texts, percent), "links"))
+    pivots = saved(pivots.where("roots > 1").select("region", (-F.col("m.least")).alias("pivot")), "pivots")
+    groups = saved(placed.join(pivots, "region").select("pivot", "rep", "root").distinct(), "groups")
+    diffs = saved(_differences(groups, texts, percent), "differences")
+    rest = saved(_sharing(diffs, percent).join(tested, ["a", "b"], "left_anti"), "rest")
+    own = diffs.where("element is null and root <> pivot").select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b"))
+    roots = _joined(roots, saved(_confirmed(rest, texts, percent).union(own), "links"))
 
     named = _place(classes.select("digest", "rep"), roots, "rep", "component_id").select("digest", "component_id")
     out = rows.select("id", "n", "digest").join(saved(named, "named"), "digest", "left")
