@@ -43,8 +43,8 @@ def attach_by_key(
 
 
 def label_lookup(df: DataFrame, names: DataFrame, code: str, spread: list[str]) -> DataFrame:
-    """Attach the class name (and whatever else ``names`` holds) to each class code."""
-    return attach_by_key(df, names, [code], spread)
+    """Attach the class name (and whatever else ``names`` holds) to each class code; NULL for an unknown code."""
+    return attach_by_key(df, names, [code], spread, "left")
 
 
 def align_columns(left: DataFrame, right: DataFrame, ids: list[str], suffix: str = "_r", drop: tuple[str, ...] = ()) -> DataFrame:

@@ -190,8 +190,9 @@ def distribution_profile(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     )
 
 
-def max_sequence_length(df: DataFrame, seq: str) -> DataFrame:
-    return df.agg(F.max(F.size(seq)).alias("max_len"))
+def max_sequence_length(df: DataFrame, owner: str) -> DataFrame:
+    """Most rows of one owner; the sequences themselves are not built."""
+    return df.groupBy(owner).count().agg(F.max("count").alias("max_len"))
 
 
 def class_amount(df: DataFrame, label: str) -> DataFrame:

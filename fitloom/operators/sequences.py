@@ -2,56 +2,130 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fitloom.functions.vectors import last_index, pad_right
-from fitloom.operators.rank import ordered_rank
+from fitloom.operators.joins import attach_by_key
 from fitloom.operators.splits import assign_batches
 
-MAX_SEGMENT = 4096
+SEGMENT_VALUES = 4096
 
 
-def build_sequences(df: DataFrame, owner: str, order: list[str], value: str, extra: str | None = None, max_len: int = MAX_SEGMENT) -> DataFrame:
-    """(owner, segment, seq): the values of each owner in order.
+def sequence_totals(df: DataFrame, owner: str, order: list[str], value: str, extra: str | None = None) -> DataFrame:
+    """(owner, length, last) of each owner's values in order; ``extra`` adds that column's first value.
 
-    A sequence longer than ``max_len`` goes on in the next segment, so one record stays
-    small however much one owner holds, and no value is left out. ``extra`` adds the
-    column's first value in the segment.
+    One aggregate, combined before the shuffle, so a hot owner costs one row per task.
+    """
+    at = F.struct(*order)
+    more = [F.min_by(extra, at).alias(extra)] if extra else []
+    last = F.max_by(F.col(value).cast("double"), at).alias("last")
+    return df.groupBy(owner).agg(F.count(F.lit(1)).alias("length"), last, *more)
+
+
+def _number(df: DataFrame, col: str) -> Column:
+    kind = dict(df.dtypes)[col]
+    if kind.startswith(("timestamp", "date")):
+        return F.col(col).cast("timestamp").cast("double")
+    if kind == "string":
+        raise ValueError(f"{col}: the first order column has to be a number or a time")
+    return F.col(col).cast("double")
+
+
+def build_sequences(
+    df: DataFrame, owner: str, order: list[str], value: str, extra: str | None = None, segment_values: int = SEGMENT_VALUES
+) -> DataFrame:
+    """(owner, segment, start, length, last, seq): the values of each owner in order.
+
+    ``length``, ``last`` and ``extra`` (that column's first value) tell of the whole sequence, in
+    every record. A sequence of more than ``segment_values`` values is stored as records over equal
+    spans of the first order column, so that a hot owner is no single group; ``start`` is the place
+    of a record's first value in the sequence, and no value is left out. Rows of a long sequence
+    that agree in the first order column stay in one record. The order has to be unique per owner.
     """
     cols = list(dict.fromkeys([owner, *order, value, *([extra] if extra else [])]))
-    ranked = ordered_rank(df.select(*cols), order, by=(owner,), out="__rank")
-    place = F.struct("__rank", F.col(value).cast("double").alias("v"), *([F.col(extra).alias("x")] if extra else []))
-    grouped = ranked.groupBy(owner, F.floor((F.col("__rank") - 1) / F.lit(max_len)).cast("int").alias("segment")).agg(
-        F.sort_array(F.collect_list(place)).alias("__p")
+    df = df.select(*cols)
+    first = _number(df, order[0])
+    spans = df.groupBy(owner).agg(F.min(first).alias("lo"), F.max(first).alias("hi"), F.count(F.lit(1)).alias("n"))
+    spans = spans.where(F.col("n") > segment_values).select(owner, F.struct("lo", "hi", "n").alias("__span"))
+    rows = attach_by_key(df, spans, [owner], order, "left")
+    pieces = F.ceil(F.col("__span.n") / F.lit(segment_values))
+    part = F.try_divide(first - F.col("__span.lo"), F.col("__span.hi") - F.col("__span.lo"))
+    rows = rows.withColumn("segment", F.coalesce(F.least(F.floor(part * pieces), pieces - 1), F.lit(0)).cast("int"))
+
+    place = [F.col(o).alias(f"o{i}") for i, o in enumerate(order)]
+    place = F.struct(*place, F.col(value).cast("double").alias("v"), *([F.col(extra).alias("x")] if extra else []))
+    grouped = rows.groupBy(owner, "segment").agg(F.sort_array(F.collect_list(place)).alias("__p"))
+
+    # what single records of long sequences cannot know: sums and ends over small partial rows
+    at = F.struct(*order)
+    more = [F.min_by(extra, at).alias("x")] if extra else []
+    parts = rows.where("__span is not null").groupBy(owner, "segment").agg(F.count(F.lit(1)).alias("n"), F.max_by(F.col(value).cast("double"), at).alias("v"), *more)
+    whole = W.partitionBy(owner).orderBy("segment")
+    both = whole.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    parts = parts.select(
+        owner, "segment",
+        F.struct(
+            (F.sum("n").over(whole) - F.col("n")).alias("start"), F.sum("n").over(both).alias("length"), F.last("v").over(both).alias("last"),
+            *([F.first("x").over(both).alias("x")] if extra else []),
+        ).alias("__of"),
     )
-    out = [owner, "segment", F.transform("__p", lambda p: p["v"]).alias("seq")]
+    held = attach_by_key(grouped, parts, [owner, "segment"], [owner, "segment"], "left")
+    long, final = F.col("__of").isNotNull(), F.element_at("__p", -1)
+    out = [
+        owner, "segment",
+        F.when(long, F.col("__of.start")).otherwise(F.lit(0)).alias("start"),
+        F.when(long, F.col("__of.length")).otherwise(F.size("__p")).cast("bigint").alias("length"),
+        F.when(long, F.col("__of.last")).otherwise(final["v"]).alias("last"),
+        F.transform("__p", lambda p: p["v"]).alias("seq"),
+    ]
     if extra:
-        out.append(F.get("__p", F.lit(0))["x"].alias(extra))
-    return grouped.select(*out)
+        out.append(F.when(long, F.col("__of.x")).otherwise(F.get("__p", F.lit(0))["x"]).alias(extra))
+    return held.select(*out)
 
 
-def pad_to_max(df: DataFrame, seq: str) -> DataFrame:
-    """Right-pad every sequence with 0 to the longest one; keeps the last true index."""
-    longest = df.agg(F.max(F.size(seq))).scalar()
-    return df.withColumn("last_idx", last_index(F.col(seq))).withColumn(seq, pad_right(F.col(seq), longest))
+def _pad_ends(df: DataFrame, seq: str, longest: Column, segments: bool) -> DataFrame:
+    """Pad whole sequences, or the last record of each stored sequence, to ``longest``."""
+    if not segments:
+        return df.withColumn("last_idx", last_index(F.col(seq))).withColumn(seq, pad_right(F.col(seq), longest))
+    ends = F.col("start") + F.size(seq) == F.col("length")
+    padded = F.when(ends, pad_right(F.col(seq), (longest - F.col("start")).cast("int"))).otherwise(F.col(seq))
+    return df.withColumn("last_idx", (F.col("length") - 1).cast("int")).withColumn(seq, padded)
 
 
-def pad_batch(df: DataFrame, ids: list[str], seq: str, size: int, seed: int = 42, drop_last: bool = False) -> DataFrame:
-    """Right-pad every sequence to the longest one of its batch."""
-    batched = assign_batches(df, ids, size, seed, drop_last)
-    longest = F.max(F.size(seq)).over(W.partitionBy("batch"))  # at most ``size`` rows each
-    return (
-        batched.withColumn("__len", longest).withColumn("last_idx", last_index(F.col(seq)))
-        .withColumn(seq, pad_right(F.col(seq), F.col("__len"))).drop("__len")
-    )
+def pad_to_max(df: DataFrame, seq: str, segments: bool = False) -> DataFrame:
+    """Right-pad every sequence with 0 to the longest one; keeps the last true index.
+
+    ``segments`` is for the records of ``build_sequences``.
+    """
+    longest = df.agg(F.max("length" if segments else F.size(seq))).scalar()
+    return _pad_ends(df, seq, longest, segments)
+
+
+def pad_batch(
+    df: DataFrame, ids: list[str], seq: str, size: int, seed: int = 42, drop_last: bool = False, segments: bool = False
+) -> DataFrame:
+    """Right-pad every sequence to the longest one of its batch of ``size`` sequences.
+
+    ``segments`` is for the records of ``build_sequences``; all records of an owner are in its batch.
+    """
+    longest = W.partitionBy("batch")  # at most ``size`` rows each
+    if not segments:
+        batched = assign_batches(df, ids, size, seed, drop_last).withColumn("__len", F.max(F.size(seq)).over(longest))
+    else:
+        heads = assign_batches(df.where("start = 0").select(*ids, "length"), ids, size, seed, drop_last)
+        batched = df.join(heads.select(*ids, "batch", F.max("length").over(longest).alias("__len")), ids)
+    return _pad_ends(batched, seq, F.col("__len"), segments).drop("__len")
 
 
 def gather_by_step(df: DataFrame, schedule: DataFrame, step: str, terms: list[str]) -> DataFrame:
-    """Schedule values of each row's step; the schedule has one row per step."""
+    """Schedule values of each row's step; the schedule has one row per step.
+
+    A row whose step is not in the schedule stays, with NULL terms.
+    """
     table = schedule.select(F.col("t").alias(step), *terms)
-    return df.join(table, step, "inner")
+    return df.join(table, step, "left")
 
 
 def interleave(df: DataFrame, ids: list[str], first: str, second: str) -> DataFrame:

@@ -10,23 +10,35 @@ from fitloom.plans.registry import EMB, entries, query, r6, rounded, sql_entries
 from fitloom.session import spread
 from fitloom.sources.readers import gaussian_latents, noise_schedule, table
 
-MAX_LEN = sequences.MAX_SEGMENT
 # Fixed value: class codes of the stand-in for labelled sequences, in alphabetical order.
 EVENT_CODES = {"click": 0, "error": 1, "purchase": 2, "signup": 3, "view": 4}
 
 
-def _sequences(spark, d):
-    seqs = sequences.build_sequences(table(spark, d, "events"), "user_id", ["ts", "event_id"], "value", "event_type")
+def _events(spark, d):
+    return table(spark, d, "events").select("user_id", "ts", "event_id", "value", "event_type")
+
+
+def _label(rows):
     code = F.lit(None).cast("int")
     for name, c in EVENT_CODES.items():
         code = F.when(F.col("event_type") == name, c).otherwise(code)
-    return seqs.withColumn("label", code).drop("event_type")
+    return rows.withColumn("label", code).drop("event_type")
+
+
+def _sequences(spark, d):
+    return _label(sequences.build_sequences(_events(spark, d), "user_id", ["ts", "event_id"], "value", "event_type"))
+
+
+def _values(records, ids):
+    """One row per value, with its place in the whole sequence."""
+    out = entries(records, [*ids, "start"], "seq")
+    return out.withColumn("pos", (F.col("start") + F.col("pos")).cast("int")).drop("start")
 
 
 _SQL_SEQ = (
-    "SELECT user_id, ((k - 1) // " + str(MAX_LEN) + ")::INTEGER AS segment, list(value ORDER BY k) AS v, "
+    "SELECT user_id, list(value ORDER BY k) AS v, "
     "(CASE first(event_type ORDER BY k) " + " ".join(f"WHEN '{n}' THEN {c}" for n, c in EVENT_CODES.items()) + " END)::INTEGER AS label FROM "
-    "(SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events) GROUP BY ALL"
+    "(SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events) GROUP BY user_id"
 )
 
 
@@ -34,44 +46,43 @@ def _sql_pad(length: str) -> str:
     return f"list_concat(v, list_transform(range({length} - len(v)), lambda x: 0.0::DOUBLE))"
 
 
-@query("sequence_scan", sql_entries(_SQL_SEQ, "user_id, segment, label"))
+@query("sequence_scan", sql_entries(_SQL_SEQ, "user_id, label"))
 def sequence_scan(spark, d):
-    return entries(_sequences(spark, d), ["user_id", "segment", "label"], "seq")
+    return _values(_sequences(spark, d), ["user_id", "label"])
 
 
-@query("max_sequence_length", f"SELECT max(len(v))::INTEGER AS max_len FROM ({_SQL_SEQ})")
+@query("max_sequence_length", "SELECT max(n) AS max_len FROM (SELECT count(*) AS n FROM events GROUP BY user_id)")
 def max_sequence_length(spark, d):
-    return profile.max_sequence_length(_sequences(spark, d), "seq")
+    return profile.max_sequence_length(_events(spark, d), "user_id")
 
 
 @query(
     "pad_to_max",
     sql_entries(
-        f"WITH s AS ({_SQL_SEQ}) SELECT user_id, segment, (len(v) - 1)::INTEGER AS last_idx, {_sql_pad('(SELECT max(len(v)) FROM s)')} AS v FROM s",
-        "user_id, segment, last_idx",
+        f"WITH s AS ({_SQL_SEQ}) SELECT user_id, (len(v) - 1)::INTEGER AS last_idx, {_sql_pad('(SELECT max(len(v)) FROM s)')} AS v FROM s",
+        "user_id, last_idx",
     ),
 )
 def pad_to_max(spark, d):
-    return entries(sequences.pad_to_max(_sequences(spark, d), "seq"), ["user_id", "segment", "last_idx"], "seq")
+    return _values(sequences.pad_to_max(_sequences(spark, d), "seq", segments=True), ["user_id", "last_idx"])
 
 
 @query(
     "pad_batch",
     sql_entries(
-        f"WITH s AS ({_SQL_SEQ}), b AS (SELECT *, ({sql_rank(42, 'user_id', 'segment')} - 1) // 32 AS batch FROM s) "
-        f"SELECT user_id, segment, batch, (len(v) - 1)::INTEGER AS last_idx, {_sql_pad('max(len(v)) OVER (PARTITION BY batch)')} AS v FROM b",
-        "user_id, segment, batch, last_idx",
+        f"WITH s AS ({_SQL_SEQ}), b AS (SELECT *, ({sql_rank(42, 'user_id')} - 1) // 32 AS batch FROM s) "
+        f"SELECT user_id, batch, (len(v) - 1)::INTEGER AS last_idx, {_sql_pad('max(len(v)) OVER (PARTITION BY batch)')} AS v FROM b",
+        "user_id, batch, last_idx",
     ),
 )
 def pad_batch(spark, d):
-    padded = sequences.pad_batch(_sequences(spark, d), ["user_id", "segment"], "seq", 32)
-    return entries(padded, ["user_id", "segment", "batch", "last_idx"], "seq")
+    padded = sequences.pad_batch(_sequences(spark, d), ["user_id"], "seq", 32, segments=True)
+    return _values(padded, ["user_id", "batch", "last_idx"])
 
 
-@query("gather_last", f"SELECT user_id, segment, label, v[len(v)] AS last FROM ({_SQL_SEQ})")
+@query("gather_last", f"SELECT user_id, label, v[len(v)] AS last FROM ({_SQL_SEQ})")
 def gather_last(spark, d):
-    seqs = _sequences(spark, d)
-    return seqs.select("user_id", "segment", "label", vx.gather(F.col("seq"), vx.last_index(F.col("seq"))).alias("last"))
+    return _label(sequences.sequence_totals(_events(spark, d), "user_id", ["ts", "event_id"], "value", "event_type")).select("user_id", "label", "last")
 
 
 # --- noise schedule ---

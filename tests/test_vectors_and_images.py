@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fitloom.functions import pixels as px
 from fitloom.functions import vectors as vx
 from fitloom.functions.hashing import coin, gaussian, uniform
-from fitloom.operators import sequences
+from fitloom.operators import profile, sequences
 from fitloom.plans.exchange import write_image_files
 from fitloom.session import scratch_path
 from fitloom.sources import readers
@@ -63,11 +63,27 @@ def test_schedule(spark):
 def test_sequences_go_on_in_segments(spark, parts):
     rows = [(u, t, float(10 * u + t)) for u, n in [(1, 5), (2, 1), (3, 12)] for t in range(n)]
     df = spark.createDataFrame(rows[::-1], "u int, t int, v double").repartition(parts)
-    got = {(r["u"], r["segment"]): r["seq"] for r in sequences.build_sequences(df, "u", ["t"], "v", max_len=5).collect()}
+    built = sequences.build_sequences(df, "u", ["t"], "v", "t", segment_values=5)
+    got = {(r["u"], r["start"]): (r["length"], r["last"], r["t"], r["seq"]) for r in built.collect()}
     assert got == {
-        (1, 0): [10.0, 11.0, 12.0, 13.0, 14.0], (2, 0): [20.0], (3, 0): [30.0, 31.0, 32.0, 33.0, 34.0],
-        (3, 1): [35.0, 36.0, 37.0, 38.0, 39.0], (3, 2): [40.0, 41.0],
+        (1, 0): (5, 14.0, 0, [10.0, 11.0, 12.0, 13.0, 14.0]), (2, 0): (1, 20.0, 0, [20.0]), (3, 0): (12, 41.0, 0, [30.0, 31.0, 32.0, 33.0]),
+        (3, 4): (12, 41.0, 0, [34.0, 35.0, 36.0, 37.0]), (3, 8): (12, 41.0, 0, [38.0, 39.0, 40.0, 41.0]),
     }
+    totals = sequences.sequence_totals(df, "u", ["t"], "v", "t").collect()
+    assert {tuple(r) for r in totals} == {(1, 5, 14.0, 0), (2, 1, 20.0, 0), (3, 12, 41.0, 0)}
+    assert profile.max_sequence_length(df, "u").first()["max_len"] == 12
+
+
+def test_padding_of_stored_records(spark):
+    rows = [(u, t, 1.0) for u, n in [(1, 3), (2, 11)] for t in range(n)]
+    built = sequences.build_sequences(spark.createDataFrame(rows, "u int, t int, v double"), "u", ["t"], "v", segment_values=4)
+    for padded in (sequences.pad_to_max(built, "seq", segments=True), sequences.pad_batch(built, ["u"], "seq", 2, segments=True)):
+        whole = {}
+        for r in sorted(padded.collect(), key=lambda r: (r["u"], r["start"])):
+            assert len(whole.setdefault(r["u"], [])) == r["start"]
+            whole[r["u"]] += r["seq"]
+            assert r["last_idx"] == {1: 2, 2: 10}[r["u"]]
+        assert whole == {1: [1.0] * 3 + [0.0] * 8, 2: [1.0] * 11}
 
 
 def test_padding(spark):
