@@ -11,9 +11,14 @@ from fitloom.functions.hashing import coin, let, uniform
 
 
 def _remap(px: Column, n: int, source) -> Column:
-    """New array of ``n`` entries, entry i taken from ``px[source(i)]``."""
+    """New array of ``n`` entries, entry i taken from ``px[source(i)]``; an image of another size is an error."""
     cells = F.sequence(F.lit(0), F.lit(n - 1))
-    return let(px, lambda p: F.transform(cells, lambda i: F.get(p, source(i).cast("int"))))
+
+    def moved(p):
+        wrong = F.raise_error(F.concat(F.lit(f"image of {n} values expected, not "), F.size(p).cast("string")))
+        return F.when(p.isNotNull() & (F.size(p) != n), wrong).when(p.isNotNull(), F.transform(cells, lambda i: F.get(p, source(i).cast("int"))))
+
+    return let(px, moved)
 
 
 def _div(i: Column, n: int) -> Column:

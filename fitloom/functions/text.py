@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,8 +27,8 @@ haven't isn isn't ma mightn mightn't mustn mustn't needn needn't shan shan't
 shouldn shouldn't wasn wasn't weren weren't won won't wouldn wouldn't
 """.split()
 
-# The five basic entities; the ampersand has to come last.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+# What may stand between an ampersand and the rest of a text: a number or a name, ended by ";".
+ENTITY = "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 HIDDEN = "(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
 TAG = "(?s)<[^>]*>"
@@ -35,14 +36,32 @@ BLANKS = "[ \\t\\r\\n\\f]+"
 
 
 def html_to_text(html: Column, joiner: str = "", decode: bool = True) -> Column:
-    """Visible text: hidden bodies and tags out, basic entities decoded, blanks folded."""
+    """Visible text: hidden bodies and tags out, character entities decoded, blanks folded."""
     text = F.regexp_replace(F.regexp_replace(html, HIDDEN, ""), TAG, joiner)
     if decode:
-        for entity, char in ENTITIES:
-            text = F.replace(text, F.lit(entity), F.lit(char))
+        text = decode_entities(text)
     return F.trim(F.regexp_replace(text, BLANKS, " "))
 
 
+def decode_entities(text: Column) -> Column:
+    """Named (HTML 4) and numeric entities as characters, each once; what is none of them stays.
+
+    The text is cut at every ampersand, so a decoded ampersand never begins another entity.
+    """
+    named = hashed_lookup(name2codepoint | {"apos": 39}, "int")
+
+    def one(part, i):
+        name = F.regexp_extract(part, ENTITY, 1)
+        digits = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10)).when(name.startswith("#"), F.substr(name, F.lit(2)))
+        code = F.coalesce(digits.cast("int"), named(name))
+        real = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        rest = F.substr(part, F.length(name) + 2)
+        return F.when(i == 0, part).when(real, F.concat(char, rest)).otherwise(F.concat(F.lit("&"), part))
+
+    return F.array_join(F.transform(F.split(text, "&"), one), "")
+
+
 def letters_only(text: Column) -> Column:
     return F.regexp_replace(text, "[^a-zA-Z]", " ")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fitloom.functions.text import drop_words, misspell_words, replace_words
 from fitloom.operators.rank import find_cuts
+from fitloom.operators.splits import reset_index
 
 
 @dataclass(frozen=True)
@@ -84,9 +85,15 @@ def augment_full(df: DataFrame, text: str, row_id: str, label: str, edits: WordE
     return _augment(df, text, row_id, label, edits, FULL_MIX, last_class_only)
 
 
-def append_rows(*frames: DataFrame) -> DataFrame:
-    """All rows of all frames, columns matched by name."""
-    out = frames[0]
+def append_rows(*frames: DataFrame, ids: list[str] | None = None, out: str = "idx", seed: int = 42) -> DataFrame:
+    """All rows of all frames, columns matched by name.
+
+    With ``ids``, unique in each frame, the rows get a fresh consecutive 0-based index ``out`` in
+    place of ids that repeat between the frames.
+    """
+    if ids is not None:
+        frames = tuple(f.withColumn("__frame", F.lit(i)) for i, f in enumerate(frames))
+    united = frames[0]
     for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+        united = united.unionByName(f)
+    return united if ids is None else reset_index(united, ["__frame", *ids], seed, out).drop("__frame")

@@ -152,9 +152,10 @@ def sorted_class_counts(spark, d):
 
 @query(
     "append_rows",
-    "SELECT doc_id, lang, 'first' AS part FROM documents UNION ALL SELECT doc_id, upper(lang), 'second' FROM documents",
+    "WITH u AS (SELECT doc_id, lang, 'first' AS part, 0 AS frame FROM documents UNION ALL SELECT doc_id, upper(lang), 'second', 1 FROM documents) "
+    f"SELECT doc_id, lang, part, {sql_rank(42, 'frame', 'doc_id')} - 1 AS idx FROM u",
 )
 def append_rows(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "lang")
     second = docs.select(F.upper("lang").alias("lang"), F.lit("second").alias("part"), "doc_id")
-    return augment.append_rows(docs.withColumn("part", F.lit("first")), second)
+    return augment.append_rows(docs.withColumn("part", F.lit("first")), second, ids=["doc_id"])

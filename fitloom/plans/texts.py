@@ -1,5 +1,7 @@
 """Text cleaning, bag of words, token ids and augmentation."""
 
+from html.entities import name2codepoint
+
 from pyspark.sql import functions as F
 
 from fitloom.functions import text as tx
@@ -13,12 +15,20 @@ def _sql_list(items) -> str:
     return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in items) + "]"
 
 
+def _sql_entities(x: str) -> str:
+    names = "MAP {" + ", ".join(f"'{n}': {c}" for n, c in (name2codepoint | {"apos": 39}).items()) + "}"
+    name = f"regexp_extract(p, '{tx.ENTITY}', 1)"
+    code = (
+        f"CASE WHEN lower({name}[1:2]) = '#x' THEN ('0x' || {name}[3:])::INTEGER WHEN {name}[1:1] = '#' THEN {name}[2:]::INTEGER "
+        f"ELSE {names}[{name}] END"
+    )
+    parts = f"list_transform(string_split({x}, '&'), lambda p, i: CASE WHEN i = 1 THEN p ELSE coalesce(chr(nullif({code}, 0)) || p[length({name}) + 2:], '&' || p) END)"
+    return f"array_to_string({parts}, '')"
+
+
 def _sql_html(x: str) -> str:
     out = f"regexp_replace(regexp_replace({x}, '{tx.HIDDEN}', '', 'g'), '{tx.TAG}', '', 'g')"
-    for entity, char in tx.ENTITIES:
-        char = char.replace("'", "''")
-        out = f"replace({out}, '{entity}', '{char}')"
-    return f"trim(regexp_replace({out}, '{tx.BLANKS}', ' ', 'g'))"
+    return f"trim(regexp_replace({_sql_entities(out)}, '{tx.BLANKS}', ' ', 'g'))"
 
 
 def _sql_letters(x: str) -> str:

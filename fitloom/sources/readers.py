@@ -17,13 +17,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def csv_scan(spark: SparkSession, path: str, schema: StructType | str, drop: tuple[str, ...] = (), multi_line: bool = False) -> DataFrame:
+def csv_scan(
+    spark: SparkSession, path: str, schema: StructType | str, drop: tuple[str, ...] = (), multi_line: bool = True, mode: str = "FAILFAST"
+) -> DataFrame:
     """CSV with a header line under an explicit schema; a stray index column can be dropped.
 
-    ``multi_line`` is for quoted values with line breaks; such a file is read by one task,
-    so large tables should come as many files.
+    Quoted values may hold line breaks; then each file is read by one task, so large tables should
+    come as many files, or without line breaks and ``multi_line=False``. A header with other names
+    and a cell of another type are errors; ``mode="PERMISSIVE"`` makes such cells NULL.
     """
-    return spark.read.csv(path, header=True, schema=schema, escape='"', multiLine=multi_line).drop(*drop)
+    read = spark.read.options(header=True, escape='"', multiLine=multi_line, enforceSchema=False, mode=mode)
+    return read.schema(schema).csv(path).drop(*drop)
 
 
 def read_sequences(spark: SparkSession, path: str, seq: str = "seq", label: str | None = "label") -> DataFrame:

@@ -27,6 +27,12 @@ def test_html(spark, html, plain):
     assert one(spark, html, tx.html_to_text) == plain
 
 
+def test_entities(spark):
+    html = "<p>caf&eacute;&nbsp;ol&#233; it&#8217;s&#x21; A&amp;lt;B &copy; &middot; R&D; &nosuch; &#0; &#55296; a & b&</p>"
+    assert one(spark, html, tx.html_to_text) == "caf\u00e9\u00a0ol\u00e9 it\u2019s! A&lt;B \u00a9 \u00b7 R&D; &nosuch; &#0; &#55296; a & b&"
+    assert one(spark, "<b>room</b>&nbsp;&copy;&middot;good", tx.review_to_words) == "room good"
+
+
 def test_review_to_words(spark):
     assert one(spark, "<b>The</b> Room wasn't good, 10/10 would NOT stay!", tx.review_to_words) == "room good would stay"
     assert one(spark, "!!! 123", tx.review_to_words) == ""
@@ -126,3 +132,9 @@ def test_append_matches_names(spark):
     a = spark.createDataFrame([(1, "x")], "i int, s string")
     b = spark.createDataFrame([("y", 2)], "s string, i int")
     assert {tuple(r) for r in augment.append_rows(a, b, a).collect()} == {(1, "x"), (2, "y")}
+
+
+def test_append_with_a_fresh_index(spark):
+    a = spark.createDataFrame([(1, "x"), (2, "y")], "i int, s string")
+    rows = augment.append_rows(a, a.limit(0), a, ids=["i"]).collect()
+    assert sorted(r["idx"] for r in rows) == [0, 1, 2, 3] and sorted(r["i"] for r in rows) == [1, 1, 2, 2]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fitloom.functions import pixels as px
 from fitloom.functions import vectors as vx
 from fitloom.functions.hashing import coin, gaussian, uniform
-from fitloom.operators import profile, sequences
+from fitloom.operators import joins, profile, sequences
 from fitloom.plans.exchange import write_image_files
 from fitloom.session import scratch_path
 from fitloom.sources import readers
@@ -169,7 +169,33 @@ def test_csv_drops_the_stray_column(spark):
 def test_csv_with_line_breaks_in_quotes(spark):
     path = scratch_path(spark, "csv")
     spark.createDataFrame([("two\nlines", 3)], "review string, rating int").write.csv(path, header=True, escape='"')
-    assert readers.csv_scan(spark, path, "review string, rating int", multi_line=True).first() == ("two\nlines", 3)
+    assert readers.csv_scan(spark, path, "review string, rating int").first() == ("two\nlines", 3)
+
+
+def test_csv_errors_are_loud(spark):
+    path = scratch_path(spark, "csv")
+    spark.createDataFrame([("3", "x"), ("bad", "y")], "rating string, review string").coalesce(1).write.csv(path, header=True)
+    for schema in ("review string, rating string", "rating int, review string"):
+        with pytest.raises(Exception):
+            readers.csv_scan(spark, path, schema).collect()
+    kept = readers.csv_scan(spark, path, "rating int, review string", mode="PERMISSIVE").collect()
+    assert {tuple(r) for r in kept} == {(3, "x"), (None, "y")}
+
+
+def test_images_of_another_size_are_errors(spark):
+    for n in (8, 2):
+        with pytest.raises(Exception, match="4 values expected"):
+            arr(spark, [1.0] * n, lambda v: px.hflip(v, 2, 2, 1))
+    assert arr(spark, None, lambda v: px.hflip(v, 2, 2, 1)) is None
+
+
+def test_unknown_codes_and_steps_stay(spark):
+    names = spark.createDataFrame([(1, "a")], "c int, n string")
+    got = joins.label_lookup(spark.createDataFrame([(1, 1), (2, 9)], "i int, c int"), names, "c", ["i"]).select("i", "n").collect()
+    assert {tuple(r) for r in got} == {(1, "a"), (2, None)}
+    steps = spark.createDataFrame([(0, 0.5)], "t int, beta double")
+    got = sequences.gather_by_step(spark.createDataFrame([(1, 0), (2, 7)], "i int, t int"), steps, "t", ["beta"]).collect()
+    assert {(r["i"], r["beta"]) for r in got} == {(1, 0.5), (2, None)}
 
 
 def test_read_sequences(spark):
