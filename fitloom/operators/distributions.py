@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 from fitloom.operators.joins import kept
 
-MAX_DIM = 4096
-FLUSH_GROUPS = 64  # groups a task holds at once
+HELD_CELLS = 1 << 25  # sums a task holds before it hands all of them on: 256 MB
 
 
 def mean_vector(df: DataFrame, vec: str) -> DataFrame:
@@ -28,21 +27,20 @@ def group_moments(df: DataFrame, vec: str, group: str | None = None) -> DataFram
     row count; all relative to the overall mean, whose i-th entry comes as column ``c``.
 
     Each task adds up one upper triangle per group and hands on only those cells, so the
-    shuffle grows with tasks x groups x dimensions squared and not with the rows.
+    shuffle grows with tasks x groups x dimensions squared and not with the rows, as long as
+    the groups of a task fit into ``HELD_CELLS``; else it hands on what it holds and goes on.
     """
     key = F.lit("").alias("grp") if group is None else F.col(group).cast("string").alias("grp")
     rows = df.select(key, F.col(vec).cast("array<double>").alias("v")).where(F.col("v").isNotNull())
     centre = [r["mean"] for r in mean_vector(rows, "v").orderBy("pos").collect()]
     dim = len(centre)
-    if dim > MAX_DIM:
-        raise ValueError(f"{dim} dimensions; reduce them with extract_features first")
     c = np.array(centre)
-    ii, jj = np.triu_indices(dim)
-    cell_i = np.concatenate([ii, np.arange(dim)]).astype("int32")
-    cell_j = np.concatenate([jj, np.full(dim, -1)]).astype("int32")
 
     def cells(name, state):
         n, s, gram = state
+        ii, jj = np.triu_indices(dim)
+        cell_i = np.concatenate([ii, np.arange(dim)]).astype("int32")
+        cell_j = np.concatenate([jj, np.full(dim, -1)]).astype("int32")
         values = pa.array(np.concatenate([gram[ii, jj], s]))
         names, counts = pa.array([name] * len(values), pa.string()), pa.array([n] * len(values), pa.int64())
         return pa.RecordBatch.from_arrays([names, pa.array(cell_i), pa.array(cell_j), values, counts], ["grp", "i", "j", "s", "n"])
@@ -59,8 +57,9 @@ def group_moments(df: DataFrame, vec: str, group: str | None = None) -> DataFram
                 name = None if pd.isna(name) else name
                 n, s, gram = held.get(name, (0, 0.0, 0.0))
                 held[name] = (n + len(y), s + y.sum(axis=0), gram + y.T @ y)
-                if len(held) > FLUSH_GROUPS:
-                    yield cells(name, held.pop(name))
+                if len(held) * dim * (dim + 1) > HELD_CELLS:
+                    while held:
+                        yield cells(*held.popitem())
         for name, state in held.items():
             yield cells(name, state)
 
@@ -98,28 +97,22 @@ def covariance_matrix(df: DataFrame, vec: str) -> DataFrame:
     return cov.select(F.inline(both))
 
 
-def frechet(mu1: np.ndarray, cov1: np.ndarray, mu2: np.ndarray, cov2: np.ndarray, eps: float = 1e-6) -> float:
+def frechet(mu1: np.ndarray, cov1: np.ndarray, mu2: np.ndarray, cov2: np.ndarray) -> float:
     """|mu1 - mu2|^2 + tr cov1 + tr cov2 - 2 tr sqrt(cov1 cov2) of two small moment sets.
 
-    The trace of the root is the sum of the roots of the eigenvalues of the product.
+    With R the symmetric root of cov1, the last trace is that of the root of R cov2 R, which is
+    symmetric and has no negative eigenvalues beyond rounding, also for singular covariances.
     """
-    mu1, mu2 = np.atleast_1d(mu1), np.atleast_1d(mu2)
+    gap = np.atleast_1d(mu1) - np.atleast_1d(mu2)
     cov1, cov2 = np.atleast_2d(cov1), np.atleast_2d(cov2)
-    if mu1.shape != mu2.shape or cov1.shape != cov2.shape:
+    if cov1.shape != cov2.shape:
         raise ValueError("the two sets differ in their dimensions")
-    product = cov1 @ cov2
-    if not np.isfinite(product).all():
+    if not np.isfinite([cov1, cov2]).all():
         raise ValueError("covariances are not finite: a set has fewer than two rows")
-    values = np.linalg.eigvals(product)
-    if not np.isfinite(values).all():
-        ridge = np.eye(len(cov1)) * eps
-        values = np.linalg.eigvals((cov1 + ridge) @ (cov2 + ridge))
-    roots = np.sqrt(values.astype(complex))
-    if abs(roots.sum().imag) > 1e-3 * max(1.0, abs(roots.sum().real)):
-        raise ValueError(f"imaginary component {roots.imag.max()}")
-    root_trace = np.sqrt(np.clip(values.real, 0.0, None)).sum()
-    gap = mu1 - mu2
-    return float(gap @ gap + np.trace(cov1) + np.trace(cov2) - 2.0 * root_trace)
+    values, axes = np.linalg.eigh(cov1)
+    root = (axes * np.sqrt(np.clip(values, 0.0, None))) @ axes.T
+    spectrum = np.linalg.eigvalsh(root @ cov2 @ root)
+    return float(gap @ gap + np.trace(cov1) + np.trace(cov2) - 2.0 * np.sqrt(np.clip(spectrum, 0.0, None)).sum())
 
 
 def frechet_distance(first: DataFrame, second: DataFrame, vec: str) -> DataFrame:

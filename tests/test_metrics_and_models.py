@@ -104,7 +104,7 @@ def test_frechet_closed_form_and_errors():
 
 
 def test_frechet_by_class_and_group_flush(spark, monkeypatch):
-    monkeypatch.setattr(ds, "FLUSH_GROUPS", 1)
+    monkeypatch.setattr(ds, "HELD_CELLS", 1)
     x = np.random.default_rng(3).normal(size=(180, 4))
     got = {r["grp"]: (r["n"], r["distance"]) for r in ds.frechet_by_class(vectors(spark, x), "v", "g").collect()}
     for g in range(3):
