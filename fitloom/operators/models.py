@@ -16,7 +16,6 @@ from fitloom.operators.joins import attach_by_key, kept
 from fitloom.operators.metrics import experiment_table
 from fitloom.operators.profile import class_weights
 from fitloom.operators.words import bow_vector, bow_vocabulary, vocabulary_words
-from fitloom.session import spread
 
 
 def with_vector(df: DataFrame, array_col: str, out: str = "features") -> DataFrame:
@@ -43,24 +42,23 @@ def _fit_kept(estimator: Estimator, rows: DataFrame) -> Model:
 
 def fit_l1_regressor(df: DataFrame, cols: list[str], target: str, rounds: int = 10, depth: int = 4, seed: int = 42) -> PipelineModel:
     """Boosted trees under absolute error."""
-    df = spread(df.select(*cols, target))
     gbt = GBTRegressor(labelCol=target, lossType="absolute", maxIter=rounds, maxDepth=depth, seed=seed)
-    return Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features"), gbt]).fit(df)
+    return Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features"), gbt]).fit(df.select(*cols, target))
 
 
-def fit_mlp_classifier(df: DataFrame, features: str, label: str, classes: int, hidden: tuple[int, ...] = (100, 100), rounds: int = 100, seed: int = 42) -> Model:
-    """Dense network; the input width is read from the first row."""
+def _mlp(df: DataFrame, features: str, label: str, classes: int, hidden: tuple[int, ...], rounds: int, seed: int) -> MultilayerPerceptronClassifier:
+    """Dense network for ``df``; the input width is read from the first row."""
     width = df.select(features).first()[0].size
-    df = spread(df.select(features, label))
-    mlp = MultilayerPerceptronClassifier(
-        featuresCol=features, labelCol=label, layers=[width, *hidden, classes], maxIter=rounds, seed=seed
-    )
-    return _fit_kept(mlp, df)
+    return MultilayerPerceptronClassifier(featuresCol=features, labelCol=label, layers=[width, *hidden, classes], maxIter=rounds, seed=seed)
+
+
+def fit_mlp_classifier(df: DataFrame, features: str, label: str, classes: int, hidden: tuple[int, ...] = (100, 100), rounds: int = 100, seed: int = 42) -> Model:
+    return _fit_kept(_mlp(df, features, label, classes, hidden, rounds, seed), df.select(features, label))
 
 
 def fit_weighted_classifier(df: DataFrame, features: str, label: str, ids: list[str], penalty: float = 0.001, rounds: int = 100) -> Model:
     """Multi-class logistic regression with inverse class frequencies and an L2 penalty."""
-    weighted = with_class_weight(spread(df.select(*ids, features, label)), label, ids)
+    weighted = with_class_weight(df.select(*ids, features, label), label, ids)
     lr = LogisticRegression(
         featuresCol=features, labelCol=label, weightCol="weight", regParam=penalty, maxIter=rounds, family="multinomial"
     )
@@ -81,15 +79,16 @@ def fit_text_linear(df: DataFrame, tokens: str, label: str, buckets: int = 1 <<
         HashingTF(inputCol="__pairs", outputCol="features", numFeatures=buckets),
         LogisticRegression(labelCol=label, maxIter=rounds, family="multinomial"),
     ]
-    return _fit_kept(Pipeline(stages=stages), spread(df.select(tokens, label)))
+    return _fit_kept(Pipeline(stages=stages), df.select(tokens, label))
 
 
 def config_sweep(df: DataFrame, features: str, label: str, classes: int, split: str, train: str, valid: str, configs: dict[str, tuple[int, ...]], rounds: int = 100, seed: int = 42) -> DataFrame:
     """Fit one dense network per named layer list and report all in one experiment table."""
-    fitting = df.where(F.col(split) == train).select(features, label)
-    fitting = spread(fitting).persist()
-    models = [fit_mlp_classifier(fitting, features, label, classes, hidden, rounds, seed) for hidden in configs.values()]
-    fitting.unpersist()
+    fitting = df.where(F.col(split) == train).select(features, label).persist()
+    try:
+        models = [_mlp(fitting, features, label, classes, hidden, rounds, seed).fit(fitting) for hidden in configs.values()]
+    finally:
+        fitting.unpersist()
     rows = df.where(F.col(split).isin(train, valid))
     for i, model in enumerate(models):  # all models on one scan
         rows = model.setPredictionCol(f"__p{i}").setRawPredictionCol("").setProbabilityCol("").transform(rows)

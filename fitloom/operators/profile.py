@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import itertools
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fitloom.functions.classes import known
 
-BINS = 1024
+BINS = 4096
 FEW = 4096
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -25,9 +24,10 @@ def _long(row: DataFrame, records: list[Column]) -> DataFrame:
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float]]:
     """Quantiles with linear interpolation, NULL and NaN left out.
 
-    The interval that holds a wanted order statistic is cut into equal bins again and
-    again; each pass is one scan with a small count per bin, and nothing is sorted or
-    collected but the last few values. An empty column gives NaN.
+    The interval that holds a wanted order statistic is cut into bins again and again: by
+    sign and binary exponent while it is wide, into equal parts within a power of four. So any
+    doubles take at most eight passes, each one scan with a small count per bin, and nothing
+    is sorted or collected but the last few values. An empty column gives NaN.
     """
     values = df.select(*[known(F.col(f"`{c}`")).alias(f"v{i}") for i, c in enumerate(cols)])
     first = []
@@ -72,8 +72,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[
                 open_[i, r] = (lo, hi, below)
     if few:
         spans = sorted({(i, *span) for (i, _), span in few.items()})
-        parts = [df.select(F.lit(j).alias("s"), _raw(cols[k]).alias("v")).where(F.col("v").between(lo, hi)) for j, (k, lo, hi, _) in enumerate(spans)]
-        rows = reduce(DataFrame.unionAll, parts).collect()
+        rows = _inside(df, cols, spans).select("s", "v").collect()
         inside = {s: sorted(r["v"] for r in rows if r["s"] == j) for j, s in enumerate(spans)}
         for (i, r), span in few.items():
             found[i, r] = inside[i, *span][r - span[2]]
@@ -92,21 +91,29 @@ def _raw(name: str) -> Column:
     return F.col(f"`{name}`").cast("double")
 
 
-def _bin_counts(df: DataFrame, cols: list[str], spans: list[tuple]) -> dict[tuple, list[tuple]]:
-    """Per span (column, lo, hi, below): (count, min, max) of its non-empty bins in order.
+def _place(v: Column, lo: float, hi: float) -> Column:
+    """Bin of a value within [lo, hi]; a larger value never gets a smaller bin."""
+    if 0 < lo and hi <= 4 * lo or hi < 0 and lo >= 4 * hi:
+        return F.least(F.floor((v - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(BINS))), F.lit(BINS - 1)).cast("int")
+    size = (F.floor(F.log2(F.abs(v))) + F.lit(1100)).cast("int")  # the least exponent is -1074
+    return F.when(v == 0, F.lit(0)).when(v > 0, size).otherwise(-size)
 
-    Each span reads its one column, with its bounds pushed to the scan; all run as one job.
-    """
-    parts = []
+
+def _inside(df: DataFrame, cols: list[str], spans: list[tuple]) -> DataFrame:
+    """(s, b, v) of the values in each span (column, lo, hi, below) with their bins; one scan for all."""
+    values = df.select(*[_raw(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    cells = []
     for j, (i, lo, hi, _) in enumerate(spans):
-        v = F.col("v")
-        place = (v / F.lit(2.0) - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2) * F.lit(float(BINS))
-        b = F.least(F.floor(place), F.lit(BINS - 1)).cast("int")
-        inside = df.select(_raw(cols[i]).alias("v")).where(v.between(lo, hi))
-        counted = inside.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-        parts.append(counted.select(F.lit(j).alias("s"), "b", "n", "lo", "hi"))
+        v = F.col(f"v{i}")
+        cells.append(F.when(v.between(lo, hi), F.struct(F.lit(j).alias("s"), _place(v, lo, hi).alias("b"), v.alias("v"))))
+    return values.select(F.inline_outer(F.array(*cells))).where(F.col("s").isNotNull())
+
+
+def _bin_counts(df: DataFrame, cols: list[str], spans: list[tuple]) -> dict[tuple, list[tuple]]:
+    """Per span: (count, min, max) of its non-empty bins in order."""
+    counted = _inside(df, cols, spans).groupBy("s", "b").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     out: dict[tuple, list[tuple]] = {s: [] for s in spans}
-    for r in sorted(reduce(DataFrame.unionAll, parts).collect(), key=lambda r: (r["s"], r["b"])):
+    for r in sorted(counted.collect(), key=lambda r: (r["s"], r["b"])):
         out[spans[r["s"]]].append((r["n"], r["lo"], r["hi"]))
     return out
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -36,13 +35,14 @@ def bow_vector(df: DataFrame, tokens: Column, words: list[str], out: str = "coun
 
 
 def bow_counts(df: DataFrame, tokens: Column, words: list[str], ids: list[str]) -> DataFrame:
-    """(ids, idx, n) for every vocabulary word that occurs in a row; unknown words are skipped."""
-    counted = bow_vector(df.select(*ids, tokens.alias("__t")), F.col("__t"), words)
-    return (
-        counted.select(*ids, F.posexplode_outer(vector_to_array("counts")).alias("idx", "n"))
-        .where(F.col("n") > 0)
-        .withColumn("n", F.col("n").cast("bigint"))
-    )
+    """(ids, idx, n) for every vocabulary word that occurs in a row; unknown words are skipped.
+
+    Each word is looked up in its row and counts are combined before the shuffle, so only
+    occurring words are ever written; ``ids`` must name a row.
+    """
+    lookup = hashed_lookup({w: i for i, w in enumerate(words)}, "int")
+    each = df.select(*ids, F.explode_outer(F.transform(tokens, lookup)).alias("idx")).where(F.col("idx").isNotNull())
+    return each.groupBy(*ids, "idx").agg(F.count(F.lit(1)).alias("n"))
 
 
 def tokenize_pad_truncate(df: DataFrame, tokens: Column, vocab: DataFrame, length: int, ids: list[str]) -> DataFrame:

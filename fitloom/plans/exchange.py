@@ -26,7 +26,8 @@ def csv_scan(spark, d):
     orders = orders.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
     path = scratch_path(spark, "orders-csv")
     orders.select(F.col("o_orderkey").alias("stray"), "*").write.csv(path, header=True, escape='"')
-    return readers.csv_scan(spark, path, f"stray string, {orders._jdf.schema().toDDL()}", drop=("stray",))
+    kinds = ", ".join(f"{name} {kind}" for name, kind in orders.dtypes)
+    return readers.csv_scan(spark, path, f"stray string, {kinds}", drop=("stray",))
 
 
 @query(

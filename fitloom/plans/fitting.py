@@ -3,8 +3,6 @@
 import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from fitloom.functions import text as tx
@@ -20,7 +18,7 @@ def fit_l1_regressor(spark, d):
     cols = ["l_quantity", "l_discount", "l_tax"]
     parts = splits.holdout_split(table(spark, d, "lineitem").select(*LINE_IDS, *cols, "l_extendedprice"), LINE_IDS, 0.3)
     parts = encode.standard_scale_fit(parts.where("split = 'train'"), cols).apply(parts)
-    model = models.fit_l1_regressor(parts.where("split = 'train'"), cols, "l_extendedprice", rounds=5)
+    model = models.fit_l1_regressor(spread(parts.where("split = 'train'").select(*cols, "l_extendedprice")), cols, "l_extendedprice", rounds=5)
     scored = model.transform(parts)
     return scored.groupBy("split").agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.abs(F.col("l_extendedprice") - F.col("prediction"))).alias("mae")
@@ -49,7 +47,7 @@ def fit_mlp_classifier(spark, d):
 
 
 def _labelled_vectors(spark, d):
-    emb = table(spark, d, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
+    emb = spread(table(spark, d, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v")))
     parts = splits.fraction_split(emb, ["vec_id"], [0.8, 0.2])
     return models.with_vector(parts, "v")
 
@@ -88,27 +86,28 @@ def config_sweep(spark, d):
     return models.config_sweep(rows, "features", "label", 3, "split", "train", "holdout", configs, rounds=10)
 
 
-@query("score_batch")
+@query("score_batch", "SELECT vec_id, true AS agree FROM embeddings")
 def score_batch(spark, d):
+    """Whether the fitted model and a plain matrix product with its weights give each row the same class."""
     rows = _labelled_vectors(spark, d)
     lr = models.fit_weighted_classifier(rows.where("part = 0"), "features", "label", ["vec_id"], rounds=20)
-    weights, bias = lr.coefficientMatrix.toArray(), np.asarray(lr.interceptVector)
-    own = models.score_batch(lr, rows, ["vec_id"])
-    foreign = models.score_foreign(rows, "v", ["vec_id"], weights, bias).withColumnRenamed("predicted", "predicted_foreign")
-    return own.join(foreign, "vec_id")
+    own = models.score_batch(lr, rows, ["vec_id", "v"]).withColumnRenamed("predicted", "own")
+    both = models.score_foreign(own, "v", ["vec_id", "own"], lr.coefficientMatrix.toArray(), np.asarray(lr.interceptVector))
+    return both.select("vec_id", (F.col("own") == F.col("predicted")).alias("agree"))
 
 
 @query("extract_features")
 def extract_features(spark, d):
-    out = models.extract_features(table(spark, d, "embeddings"), "embedding", 8, ["vec_id"])
-    return out.select("vec_id", F.size("features").alias("n"), F.get("features", F.lit(0)).alias("first"))
+    return models.extract_features(table(spark, d, "embeddings"), "embedding", 8, ["vec_id"])
 
 
-@query("save_load_model")
+@query("save_load_model", "SELECT vec_id, true AS agree FROM embeddings")
 def save_load_model(spark, d):
-    rows = table(spark, d, "embeddings").select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(64)])
-    stages = [VectorAssembler(inputCols=[f"x{i}" for i in range(64)], outputCol="features"), LogisticRegression(maxIter=20, regParam=0.001)]
-    model = Pipeline(stages=stages).fit(rows)
+    """Whether the model read back gives each row the class that it gave before."""
+    rows = _labelled_vectors(spark, d)
+    model = Pipeline(stages=[LogisticRegression(maxIter=20, regParam=0.001)]).fit(rows)
     path = scratch_path(spark, "model")
     models.save_model(model, path)
-    return models.score_batch(models.load_model(path), rows, ["vec_id"])
+    before = models.score_batch(model, rows, ["vec_id", "features"]).withColumnRenamed("predicted", "before")
+    after = models.score_batch(models.load_model(path), before.withColumn("label", F.lit(0.0)), ["vec_id", "before"])
+    return after.select("vec_id", (F.col("before") == F.col("predicted")).alias("agree"))

@@ -54,6 +54,18 @@ def by_sorting(x, p):
     return lo if lo == hi else lo + (hi - lo) * (at - math.floor(at))
 
 
+def test_quantiles_take_few_passes_over_any_doubles(spark, monkeypatch):
+    monkeypatch.setattr(profile, "FEW", 2)
+    passes = []
+    counts = profile._bin_counts
+    monkeypatch.setattr(profile, "_bin_counts", lambda *a: passes.append(1) or counts(*a))
+    x = [s * 2.0**e * f for e in range(-1074, 1023, 7) for s in (-1, 1) for f in (1, 1.25)] + [0.0, -0.0, 0.0]
+    df = spark.createDataFrame([(v,) for v in x], "x double")
+    probs = [0.0, 0.3, 0.5, 0.77, 1.0]
+    assert profile.exact_quantiles(df, ["x"], probs)["x"] == pytest.approx([by_sorting(x, p) for p in probs])
+    assert len(passes) <= 6
+
+
 def test_quantile_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert math.isnan(profile.exact_quantiles(df, ["x"], [0.5])["x"][0])
