@@ -1,19 +1,21 @@
 """Near duplicates by an LSH forest over MinHash signatures, confirmed on full shingle sets.
 
-Documents with the same set are one class. A signature has ``HASHES`` values; tree t orders classes
-by the signature rotated to its own place, and classes that agree on the first ``DEPTH`` values there
-share a region. In each order a class is compared with its next neighbours, those of the longest
+Documents with the same set are one class. Tree t orders classes by the signature rotated to its own
+place, and classes that agree on the first values there, as many as the forest is deep, share a region. In each order a class is compared with its next neighbours, those of the longest
 common prefix, however dense the region is, and with the first class of its region there; most dense
 groups get connected by these. A region whose classes are still in different components takes the
 class that leads most of them as its pivot; each set is written as its differences from the pivot's,
 and only sets that share one of their rarest differences can still be linked and are compared. So no
 region is capped, no group is expanded into all its pairs, and a pair is only ever missed when it
-shares no region at all (at a similarity of 0.85: about 1 in 100,000).
+shares no region at all. Trees and depth follow from the threshold, so that at the threshold itself this
+happens to about 1 in 135,000 whatever it is.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +30,32 @@ from fitloom.llm.words import LOWER, WHITE, mix, numbers, worded
 SHINGLE = 5
 PERCENT = 85
 HASHES = 64
-TREES = 16
-DEPTH = 4
+MAX_DEPTH = 4
+MISS = (1 - 0.85**MAX_DEPTH) ** 16
 NEIGHBOURS = 4
 SIGMAS = 5.5
 
-_FACTOR = numbers(21, HASHES)[:, None] | np.uint64(1)
-_SHIFT = numbers(22, HASHES)[:, None]
+
+@dataclass(frozen=True)
+class Forest:
+    """Each of ``trees`` trees looks at ``depth`` values of its own, out of ``hashes``."""
+
+    trees: int
+    depth: int
+    hashes: int
+
+
+def forest(percent: int) -> Forest:
+    """The deepest forest of at most ``HASHES`` values that misses a pair at ``percent`` no more often than ``MISS``.
+
+    Where even depth 1 needs more values than that, the signature gets longer.
+    """
+    p = min(max(percent, 1), 100) / 100
+    for depth in range(MAX_DEPTH, 0, -1):
+        trees = 1 if p == 1 else math.ceil(math.log(MISS) / math.log1p(-(p**depth)) - 1e-9)
+        if trees * depth <= HASHES:
+            return Forest(trees, depth, HASHES)
+    return Forest(trees, 1, trees)
 
 
 def shingle_sets(column: pa.Array, n: int = SHINGLE):
@@ -49,30 +70,31 @@ def shingle_sets(column: pa.Array, n: int = SHINGLE):
                 yield np.array([words.whole(i)] if b > a else [], np.uint64)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    out = np.full(HASHES, (1 << 32) - 1, np.uint32)
+def signature(shingles: np.ndarray, factor: np.ndarray, shift: np.ndarray) -> np.ndarray:
+    out = np.full(len(factor), (1 << 32) - 1, np.uint32)
     for at in range(0, len(shingles), 2048):
-        part = (shingles[at : at + 2048] * _FACTOR + _SHIFT) >> np.uint64(32)
+        part = (shingles[at : at + 2048] * factor + shift) >> np.uint64(32)
         out = np.minimum(out, part.min(axis=1).astype(np.uint32))
     return out
 
 
-def least_agreement(percent: int) -> int:
+def least_agreement(percent: int, shape: Forest) -> int:
     """Signature values in which a pair at the threshold agrees, less ``SIGMAS`` deviations."""
-    p = percent / 100
-    return max(DEPTH, int(HASHES * p - SIGMAS * (HASHES * p * (1 - p)) ** 0.5))
+    p, n = percent / 100, shape.hashes
+    return max(shape.depth, int(n * p - SIGMAS * (n * p * (1 - p)) ** 0.5))
 
 
-def profiles(docs: DataFrame) -> DataFrame:
+def profiles(docs: DataFrame, hashes: int) -> DataFrame:
     """(id, n, digest, sketch) per row of ``docs`` (id, text); digest and sketch are null without words."""
 
     def run(batches):
+        factor, shift = numbers(21, hashes)[:, None] | np.uint64(1), numbers(22, hashes)[:, None]
         for batch in batches:
             n, digest, sketch = [], [], []
             for s in shingle_sets(batch.column(1)):
                 n.append(len(s))
                 digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                sketch.append(signature(s).astype(">u4").tobytes() if len(s) else None)
+                sketch.append(signature(s, factor, shift).astype(">u4").tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sketch, pa.binary())],
                 names=["id", "n", "digest", "sketch"],
@@ -81,17 +103,17 @@ def profiles(docs: DataFrame) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, "id bigint, n bigint, digest binary, sketch binary")
 
 
-def _entries(classes: DataFrame) -> DataFrame:
+def _entries(classes: DataFrame, shape: Forest) -> DataFrame:
     """(region, tree, rep) of each class in each tree; the region is a hash of the tree and the prefix."""
 
     def run(batches):
         for batch in batches:
             reps = np.asarray(batch.column(0))
-            values = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u4").reshape(-1, HASHES).astype(np.uint64)
-            for t in range(TREES):
+            values = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u4").reshape(-1, shape.hashes).astype(np.uint64)
+            for t in range(shape.trees):
                 h = np.full(len(reps), t, np.uint64)
-                for d in range(DEPTH):
-                    h = mix(h + values[:, (t * DEPTH + d) % HASHES] * np.uint64(0x9E3779B97F4A7C15))
+                for d in range(shape.depth):
+                    h = mix(h + values[:, t * shape.depth + d] * np.uint64(0x9E3779B97F4A7C15))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h.astype(np.int64)), pa.array(np.full(len(reps), t, np.int32)), batch.column(0)], names=["region", "tree", "rep"]
                 )
@@ -100,24 +122,24 @@ def _entries(classes: DataFrame) -> DataFrame:
     return classes.select("rep", "sketch").mapInArrow(run, schema)
 
 
-def _neighbours(members: DataFrame, least: int, parts: int) -> DataFrame:
+def _neighbours(members: DataFrame, shape: Forest, least: int, parts: int) -> DataFrame:
     """(a, b, agree) of classes near each other in a tree's order, or first of their region there.
 
     Rows are range-partitioned on the order itself, so a region of any size is cut into many tasks.
     """
-    at = (F.col("tree") * DEPTH * 4).cast("int")
-    order = F.concat(F.substring(F.col("sketch"), at + 1, HASHES * 4), F.substring(F.col("sketch"), F.lit(1), at))
+    at = (F.col("tree") * shape.depth * 4).cast("int")
+    order = F.concat(F.substring(F.col("sketch"), at + 1, shape.hashes * 4), F.substring(F.col("sketch"), F.lit(1), at))
     inner = members.select("region", order.alias("path"), "tree", "rep", "n", "sketch")
     keys = ["region", "path", "rep"]
 
     def run(batches):
         regions, reps = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        sketches = np.zeros((0, HASHES), ">u4")
+        sketches = np.zeros((0, shape.hashes), ">u4")
         head, pivot = None, None
         for batch in batches:
             regions = np.concatenate((regions, np.asarray(batch.column(0))))
             reps = np.concatenate((reps, np.asarray(batch.column(3))))
-            new = np.frombuffer(b"".join(batch.column(5).to_pylist()), ">u4").reshape(-1, HASHES)
+            new = np.frombuffer(b"".join(batch.column(5).to_pylist()), ">u4").reshape(-1, shape.hashes)
             sketches = np.concatenate((sketches, new))
             pairs = []
             for step in range(1, NEIGHBOURS + 1):
@@ -249,19 +271,20 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
-    rows = saved(profiles(docs), "profiles")
+    shape = forest(percent)
+    rows = saved(profiles(docs, shape.hashes), "profiles")
     classes = saved(
         rows.where("n > 0 and id is not null").groupBy("digest")
         .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")),
         "classes",
     )
-    least = least_agreement(percent)
-    regions = saved(_entries(classes).groupBy("region").count().where("count > 1").select("region"), "regions")
-    members = saved(_entries(classes).join(regions, "region").join(classes.select("rep", "n", "sketch"), "rep"), "members")
+    least = least_agreement(percent, shape)
+    regions = saved(_entries(classes, shape).groupBy("region").count().where("count > 1").select("region"), "regions")
+    members = saved(_entries(classes, shape).join(regions, "region").join(classes.select("rep", "n", "sketch"), "rep"), "members")
     shared = saved(members.select("rep").distinct(), "shared")
     texts = saved(docs.withColumnRenamed("id", "rep").join(shared, "rep").dropDuplicates(["rep"]), "texts")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    near = saved(_neighbours(members, least, parts), "near")
+    near = saved(_neighbours(members, shape, least, parts), "near")
 
     # first each class's best pair, then all that still lead elsewhere
     roots = None

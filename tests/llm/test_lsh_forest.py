@@ -5,7 +5,7 @@ import re
 from collections import defaultdict
 
 from fitloom.llm.components import components
-from fitloom.llm.lsh_forest import near_duplicates
+from fitloom.llm.lsh_forest import MISS, Forest, forest, near_duplicates
 from fitloom.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -88,3 +88,11 @@ def test_components_of_a_path(spark):
     for local in (0, 1000):
         got = {r.node: r.root for r in components(links, local).collect()}
         assert got == dict.fromkeys(range(1, n), 0)
+
+
+def test_forest_misses_no_more_at_any_threshold():
+    assert forest(85) == Forest(16, 4, 64)
+    for percent in (5, 20, 50, 70, 80, 85, 95, 99):
+        f = forest(percent)
+        assert (1 - (percent / 100) ** f.depth) ** f.trees <= MISS * (1 + 1e-6) and f.trees * f.depth <= f.hashes
+    assert forest(100).trees >= 1

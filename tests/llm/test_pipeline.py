@@ -1,5 +1,7 @@
 """Each stage of the pipeline against plain Python on the same input."""
 
+import random
+
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
@@ -7,7 +9,7 @@ from fitloom.llm import secret_crf
 from fitloom.llm.store import saved
 from fitloom.llm.queries import QUERIES
 from tests.llm.test_decontaminate import words
-from tests.llm.test_lsh_forest import brute
+from tests.llm.test_lsh_forest import brute, shingles
 from tests.llm.test_packing import check
 from tests.llm.test_secret_crf import plain
 
@@ -60,3 +62,23 @@ def test_stages_take_gaps_and_no_rows(spark):
 def test_redaction_keeps_the_rest(spark):
     frame = spark.createDataFrame([(1, "a password: abcdefghi b")], "doc_id long, text string")
     assert secret_crf.redact(frame, secret_crf.Field.empty()).first().text == "a [secret] b"
+
+
+def test_near_dedup_drops_pairs_from_80_percent(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    texts, want = {}, {}
+    for k in range(150):
+        # n + 4 words have n shingles; an edit at the end takes one from each text for every word changed
+        n, lost = [(200, 21), (200, 22), (100, 10), (100, 11), (200, 23), (100, 12)][k % 6]
+        base = [word() for _ in range(n + 4)]
+        other = base[: n + 4 - lost] + [word() for _ in range(lost)]
+        texts[2 * k], texts[2 * k + 1] = " ".join(base), " ".join(other)
+        a, b = shingles(texts[2 * k]), shingles(texts[2 * k + 1])
+        share = len(a & b) / len(a | b)
+        assert 0.77 < share < 0.84
+        want[2 * k + 1] = share < 0.8
+    assert 40 < sum(want.values()) < 60
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id for r in P.near_dedup(spark, docs, FOLDER).collect()}
+    assert got == {2 * k for k in range(150)} | {i for i, stays in want.items() if stays}
