@@ -3,7 +3,8 @@
 Words that occur once in a stretch of text and once in the template are anchors; the longest run of anchors
 in the same order is kept, and the gaps between them are aligned in the same way. Coverage is the share of
 the template's words that are aligned. A text is cut into stretches around the template's rarer words, so
-that a second notice elsewhere does not hide the first.
+that a second notice elsewhere does not hide the first. Where copies lie so close that they share a stretch, their
+words are no anchors; the best window of such a stretch is found by a longest common subsequence.
 """
 
 from __future__ import annotations
@@ -101,6 +102,34 @@ def stretches(words: list[bytes], rare: frozenset, margin: int) -> Iterator[tupl
             start = k
 
 
+def best_window(words: list[bytes], template: list[bytes], least: int) -> tuple[int, int, int] | None:
+    """(aligned, first, end) of the window with the longest common subsequence with the template, if ``least`` long.
+
+    A window has at most twice the template's words and ``GAP`` more. Of equally good ones the shortest counts,
+    then the first. One pass: for each length and each beginning of the template the latest start is kept.
+    """
+    n = len(template)
+    span = 2 * n + GAP
+    places: dict[bytes, list[int]] = {}
+    for j in range(n - 1, -1, -1):  # later places first, so that none is used twice by one word
+        places.setdefault(template[j], []).append(j + 1)
+    starts = np.full((n + 1, n + 1), -span - 1, np.int64)  # [length, words of the template so far]
+    best = None
+    for i, word in enumerate(words):
+        if word not in places:
+            continue
+        starts[0] = i
+        for j in places[word]:
+            np.maximum(starts[1:, j:], starts[:-1, j - 1, None], out=starts[1:, j:])
+        if starts[least, n] <= i - span:
+            continue
+        length = int(np.flatnonzero(starts[:, n] > i - span)[-1])
+        first = int(starts[length, n])
+        if best is None or (length, first - i) > (best[0], best[1] - best[2] + 1):
+            best = (length, first, i + 1)
+    return best
+
+
 class Matcher:
     def __init__(self, templates: dict[str, str], coverage: float):
         self.templates = []
@@ -124,10 +153,18 @@ class Matcher:
             if len(rare & present) < need:
                 continue
             own = []
+            least, count = max(1, int(np.ceil(self.coverage * len(template) - 1e-9))), Counter(template)
             for a, b in stretches(words, rare, len(template)):
-                pairs = align(words[a:b], template)
-                if pairs and len(pairs) >= self.coverage * len(template) - 1e-9:
-                    own.append((len(pairs), name, len(pairs) / len(template), a + pairs[0][0], a + pairs[-1][0] + 1))
+                part = words[a:b]
+                pairs = align(part, template)
+                found = [(len(pairs), pairs[0][0], pairs[-1][0] + 1)] if len(pairs) >= least else []
+                here = Counter(w for w in part if w in count)
+                if any(here[w] > count[w] for w in here) and sum(min(here[w], count[w]) for w in here) >= least:
+                    window = best_window(part, template, least)
+                    found += [window] if window else []
+                if found:
+                    n, first, end = max(found, key=lambda m: (m[0], m[1] - m[2], -m[1]))
+                    own.append((n, name, n / len(template), a + first, a + end))
             out += own and [max(own, key=lambda m: (m[0], -m[3]))]
         return [m[1:] for m in sorted(out, key=lambda m: (-m[0], m[1]))]
 
@@ -136,7 +173,7 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, text: str = "te
     """``docs`` without ``text``, with the best notice of each row: license, coverage, start, stop; and all ``licenses``.
 
     Start and stop are code points. A template counts when ``coverage`` of its words are aligned in one
-    stretch of the text. Whole texts are read where they are, without a shuffle. A null or empty
+    stretch of the text, or in one window of a stretch in which its words repeat. Whole texts are read where they are, without a shuffle. A null or empty
     text has no notice (nulls and an empty list); repeated rows get the same.
     Columns with the names of results are replaced.
     """

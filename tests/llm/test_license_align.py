@@ -58,3 +58,43 @@ def test_query_finds_every_notice(spark):
         have = {k for k, v in lines.items() if v in t}
         assert have <= set(got[i].licenses)
         assert bool(have) == bool(got[i].licenses)
+
+
+def test_adjacent_copies():
+    matcher = L.Matcher(L.TEMPLATES, L.COVERAGE)
+    for name, notice in L.TEMPLATES.items():
+        n = len(L.normal(notice.encode()))
+        for text, first in (
+            (f"word {notice} {notice} word", 1),
+            (f"{notice} {notice} {notice}", 0),
+            (f"word {notice} a few words between {notice}", 1),
+            (f"{notice} " * 40 + "word " * 100 + notice, 0),
+        ):
+            got = {m[0]: m[1:] for m in matcher.best(text.encode())}
+            assert got[name] == (1.0, first, first + n), (name, text[:80])
+    # rarer words of the template chain two notices, and each copy has a word changed
+    notice = L.TEMPLATES["GPL-3.0-text"]
+    chain = " as can software version are program published"
+    text = (notice.replace("later", "newer") + chain * 30 + " " + notice.replace("hope", "wish").replace("redistribute", "copy")).encode()
+    assert "GPL-3.0-text" in {m[0] for m in matcher.best(text)}
+
+
+def test_best_window_against_brute_force():
+    rng = random.Random(5)
+    for _ in range(150):
+        words = [rng.choice([b"x", b"y", b"z", b"u", b"v"]) for _ in range(rng.randrange(1, 30))]
+        template = [rng.choice([b"x", b"y", b"z"]) for _ in range(rng.randrange(1, 4))]
+        span, least = 2 * len(template) + L.GAP, rng.randrange(1, len(template) + 1)
+        want = None
+        for a in range(len(words)):
+            for b in range(a + 1, min(len(words), a + span) + 1):
+                row = [0] * (len(template) + 1)
+                for w in words[a:b]:
+                    for j in range(len(template), 0, -1):
+                        if w == template[j - 1]:
+                            row[j] = max(row[j], row[j - 1] + 1)
+                    for j in range(1, len(template) + 1):
+                        row[j] = max(row[j], row[j - 1])
+                if row[-1] >= least and (want is None or (row[-1], a - b, -a) > (want[0], want[1] - want[2], -want[1])):
+                    want = (row[-1], a, b)
+        assert L.best_window(words, template, least) == want
