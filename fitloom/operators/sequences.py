@@ -7,7 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fitloom.functions.vectors import last_index, pad_right
-from fitloom.operators.joins import attach_by_key
+from fitloom.operators.joins import attach_by_key, kept
+from fitloom.operators.rank import ordered_rank
 from fitloom.operators.splits import assign_batches
 
 SEGMENT_VALUES = 4096
@@ -24,65 +25,48 @@ def sequence_totals(df: DataFrame, owner: str, order: list[str], value: str, ext
     return df.groupBy(owner).agg(F.count(F.lit(1)).alias("length"), last, *more)
 
 
-def _number(df: DataFrame, col: str) -> Column:
-    kind = dict(df.dtypes)[col]
-    if kind.startswith(("timestamp", "date")):
-        return F.col(col).cast("timestamp").cast("double")
-    if kind == "string":
-        raise ValueError(f"{col}: the first order column has to be a number or a time")
-    return F.col(col).cast("double")
-
-
 def build_sequences(
     df: DataFrame, owner: str, order: list[str], value: str, extra: str | None = None, segment_values: int = SEGMENT_VALUES
 ) -> DataFrame:
     """(owner, segment, start, length, last, seq): the values of each owner in order.
 
     ``length``, ``last`` and ``extra`` (that column's first value) tell of the whole sequence, in
-    every record. A sequence of more than ``segment_values`` values is stored as records over equal
-    spans of the first order column, so that a hot owner is no single group; ``start`` is the place
-    of a record's first value in the sequence, and no value is left out. Rows of a long sequence
-    that agree in the first order column stay in one record. The order has to be unique per owner.
+    every record. A sequence of more than ``segment_values`` values is stored as records of equal
+    length, at most that, so that a hot owner is no single group; ``start`` is the place of a
+    record's first value in the sequence, and no value is left out. The order has to be unique per owner.
     """
     cols = list(dict.fromkeys([owner, *order, value, *([extra] if extra else [])]))
-    df = df.select(*cols)
-    first = _number(df, order[0])
-    spans = df.groupBy(owner).agg(F.min(first).alias("lo"), F.max(first).alias("hi"), F.count(F.lit(1)).alias("n"))
-    spans = spans.where(F.col("n") > segment_values).select(owner, F.struct("lo", "hi", "n").alias("__span"))
-    rows = attach_by_key(df, spans, [owner], order, "left")
-    pieces = F.ceil(F.col("__span.n") / F.lit(segment_values))
-    part = F.try_divide(first - F.col("__span.lo"), F.col("__span.hi") - F.col("__span.lo"))
-    rows = rows.withColumn("segment", F.coalesce(F.least(F.floor(part * pieces), pieces - 1), F.lit(0)).cast("int"))
+    df = df.select(*cols).withColumn("__owner", F.struct(F.col(owner).alias("o")))  # an owner that is NULL is one, too
+    totals = sequence_totals(df, "__owner", order, value, extra)
+    long = kept(totals.where(F.col("length") > segment_values).select("__owner", F.struct(*totals.columns[1:]).alias("__of")))
+    if long.isEmpty():
+        rows = df.withColumns({"__of": F.lit(None).cast(long.schema["__of"].dataType), "segment": F.lit(0)})
+    else:
+        held = attach_by_key(df, long, ["__owner"], order, "left")
+        ranked = ordered_rank(held.where("__of is not null"), order, (owner,), "__rank")
+        pieces = F.ceil(F.col("__of.length") / F.lit(segment_values))
+        segment = F.floor((F.col("__rank") - 1) * pieces / F.col("__of.length")).cast("int")
+        ranked = ranked.withColumn("segment", segment).drop("__rank")
+        rows = ranked.unionByName(held.where("__of is null").withColumn("segment", F.lit(0)))
 
     place = [F.col(o).alias(f"o{i}") for i, o in enumerate(order)]
     place = F.struct(*place, F.col(value).cast("double").alias("v"), *([F.col(extra).alias("x")] if extra else []))
-    grouped = rows.groupBy(owner, "segment").agg(F.sort_array(F.collect_list(place)).alias("__p"))
+    grouped = rows.groupBy(owner, "segment").agg(F.sort_array(F.collect_list(place)).alias("__p"), F.first("__of").alias("__of"))
 
-    # what single records of long sequences cannot know: sums and ends over small partial rows
-    at = F.struct(*order)
-    more = [F.min_by(extra, at).alias("x")] if extra else []
-    parts = rows.where("__span is not null").groupBy(owner, "segment").agg(F.count(F.lit(1)).alias("n"), F.max_by(F.col(value).cast("double"), at).alias("v"), *more)
-    whole = W.partitionBy(owner).orderBy("segment")
-    both = whole.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    parts = parts.select(
-        owner, "segment",
-        F.struct(
-            (F.sum("n").over(whole) - F.col("n")).alias("start"), F.sum("n").over(both).alias("length"), F.last("v").over(both).alias("last"),
-            *([F.first("x").over(both).alias("x")] if extra else []),
-        ).alias("__of"),
-    )
-    held = attach_by_key(grouped, parts, [owner, "segment"], [owner, "segment"], "left")
     long, final = F.col("__of").isNotNull(), F.element_at("__p", -1)
+    # the first place p with floor(p * pieces / length) = segment
+    pieces = F.ceil(F.col("__of.length") / F.lit(segment_values))
+    start = F.ceil(F.col("segment") * F.col("__of.length") / pieces)
     out = [
         owner, "segment",
-        F.when(long, F.col("__of.start")).otherwise(F.lit(0)).alias("start"),
+        F.when(long, start).otherwise(F.lit(0)).cast("bigint").alias("start"),
         F.when(long, F.col("__of.length")).otherwise(F.size("__p")).cast("bigint").alias("length"),
         F.when(long, F.col("__of.last")).otherwise(final["v"]).alias("last"),
         F.transform("__p", lambda p: p["v"]).alias("seq"),
     ]
     if extra:
-        out.append(F.when(long, F.col("__of.x")).otherwise(F.get("__p", F.lit(0))["x"]).alias(extra))
-    return held.select(*out)
+        out.append(F.when(long, F.col("__of")[extra]).otherwise(F.get("__p", F.lit(0))["x"]).alias(extra))
+    return grouped.select(*out)
 
 
 def _pad_ends(df: DataFrame, seq: str, longest: Column, segments: bool) -> DataFrame:

@@ -74,6 +74,22 @@ def test_sequences_go_on_in_segments(spark, parts):
     assert profile.max_sequence_length(df, "u").first()["max_len"] == 12
 
 
+def test_long_sequences_are_cut_by_rows(spark):
+    n = 1000
+    times = {"far": [0] + [10**9 + t for t in range(n - 2)] + [10**12], "tie": [7] * n, None: [t * t for t in range(n)], "short": [3, 1, 2]}
+    rows = [(u, t, i, float(i), f"{u}{i}") for u, ts in times.items() for i, t in enumerate(ts)]
+    df = spark.createDataFrame(rows[::-1], "u string, t long, i int, v double, x string").repartition(5)
+    built = sequences.build_sequences(df, "u", ["t", "i"], "v", "x", segment_values=64).collect()
+    assert max(len(r["seq"]) for r in built) <= 64
+    for u, ts in times.items():
+        want = [float(i) for _, i in sorted((t, i) for i, t in enumerate(ts))]
+        got = []
+        for r in sorted((r for r in built if r["u"] == u), key=lambda r: r["segment"]):
+            assert (r["start"], r["length"], r["last"], r["x"]) == (len(got), len(ts), want[-1], f"{u}{int(want[0])}")
+            got += r["seq"]
+        assert got == want
+
+
 def test_padding_of_stored_records(spark):
     rows = [(u, t, 1.0) for u, n in [(1, 3), (2, 11)] for t in range(n)]
     built = sequences.build_sequences(spark.createDataFrame(rows, "u int, t int, v double"), "u", ["t"], "v", segment_values=4)
