@@ -2,12 +2,14 @@
 
 A URL is a set of tokens (host labels, path segments with digits as 0, names of query fields). Spark's
 FP-growth finds token combinations that are frequent among labelled URLs; those that go with the label bad
-often enough, and more often than a part of themselves does, become rules. An inverted index from token to
+often enough, and more often than a part of themselves does, become rules. Where labelled URLs have very many
+frequent tokens, the same rules are counted level by level instead. An inverted index from token to
 rule finds the rules whose tokens a URL has all of.
 """
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 from pyspark.ml.fpm import FPGrowth
@@ -15,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fitloom.llm.store import saved
+from fitloom.operators.joins import attach_by_key
 
 MIN_SUPPORT = 0.002
 MIN_COUNT = 8
@@ -65,30 +68,72 @@ def listed(rules: list[tuple[str, str]], host_: str = "host", path_: str = "path
     return rule, verdict
 
 
+def _grown(kept: DataFrame, min_support: float, max_antecedent: int) -> DataFrame:
+    """(antecedent, support, all) of the frequent sets of ``kept`` (items, bad), by FP-growth."""
+    rows = kept.select(F.when(F.col("bad"), F.array_append("items", F.lit(LABEL))).otherwise(F.col("items")).alias("items"))
+    sets = FPGrowth(minSupport=min_support).fit(rows).freqItemsets.where(F.size("items") <= max_antecedent + 1)
+    sets = saved(sets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
+    alone = sets.where(~F.array_contains("items", LABEL)).select(F.col("items").alias("antecedent"), F.col("freq").alias("all"))
+    with_label = sets.where(F.array_contains("items", LABEL) & (F.size("items") > 1))
+    both = with_label.select(F.array_remove("items", LABEL).alias("antecedent"), F.col("freq").alias("support"))
+    return both.join(alone, "antecedent")
+
+
+def _levels(kept: DataFrame, least: int, max_antecedent: int) -> DataFrame:
+    """(antecedent, support, all) of sets of ``kept`` (items, bad), one token longer at each level.
+
+    A set that always goes with bad, or is met as often as a part of itself, is not made longer: whatever
+    holds it has a part that is as sure, and so is no rule.
+    """
+    kept = kept.groupBy("items").agg(F.count(F.lit(1)).alias("all"), F.count_if("bad").alias("support"))
+    kept = saved(kept.withColumn("id", F.monotonically_increasing_id()), "sets")
+    single = kept.select("id", "all", "support", F.explode("items").alias("token"))
+    totals = [F.sum("all").alias("all"), F.sum("support").alias("support")]
+    counts = saved(single.groupBy(F.array("token").alias("antecedent")).agg(*totals), "level")
+    out = counts.where(F.col("support") >= least)
+    longer = out.where("support < all").select("antecedent", F.col("all").alias("part"))
+    ends = attach_by_key(single.withColumn("antecedent", F.array("token")), longer, ["antecedent"], ["id"])
+    ends = saved(ends.select("id", "all", "support", "token", F.col("part").alias("own")), "ends")
+    held = ends.select("id", F.array("token").alias("antecedent"), F.col("own").alias("part"))
+    for level in range(2, max_antecedent + 1):
+        pairs = held.join(ends, "id").where(F.col("token") > F.element_at("antecedent", -1))
+        pairs = pairs.select("id", "all", "support", F.array_append("antecedent", F.col("token")).alias("antecedent"), F.least("part", "own").alias("part"))
+        counts = pairs.groupBy("antecedent").agg(*totals, F.first("part").alias("part"))
+        counts = saved(counts.where((F.col("support") >= least) & (F.col("all") < F.col("part"))), "level")
+        out = out.unionByName(counts.drop("part"))
+        if level < max_antecedent:
+            longer = counts.where("support < all").select("antecedent", F.col("all").alias("part"))
+            held = saved(attach_by_key(pairs.select("id", "antecedent"), longer, ["antecedent"], ["id"]), "held")
+    return out
+
+
 def mine(
     labelled: DataFrame, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE,
     max_antecedent: int = MAX_ANTECEDENT, max_tokens: int = MAX_TOKENS,
 ) -> DataFrame:
     """(rule_id, antecedent, support, confidence) from ``labelled`` (tokens, bad).
 
-    A labelled URL takes part with its ``max_tokens`` tokens of smallest hash: one very long URL that is
-    copied often would else have all its token subsets frequent. Supports are counts.
+    Supports are counts over whole token sets. Tokens that are too rare among bad URLs are in no rule and left
+    out before. FP-growth has all subsets of a long URL that is copied often; where a URL has more than
+    ``max_tokens`` tokens left, sets are counted by ``_levels``, which finds the same rules.
     """
-    items = F.slice(F.array_sort(F.transform("tokens", lambda t: F.struct(F.xxhash64(t).alias("h"), t.alias("t")))), 1, max_tokens)["t"]
-    rows = labelled.where("bad is not null").select(
-        F.when(F.col("bad"), F.array_append(items, F.lit(LABEL))).otherwise(items).alias("items")
-    ).where(F.size("items") > 0)
-    rows = saved(rows, "urls")
+    rows = labelled.where("bad is not null").select(F.array_distinct("tokens").alias("tokens"), "bad").where(F.size("tokens") > 0)
+    rows = saved(rows.withColumn("id", F.monotonically_increasing_id()), "urls")
     n = rows.count()
-    if n == 0:
+    least = max(1, math.ceil(min(1.0, max(min_support, min_count / n)) * n)) if n else 1
+    postings = rows.select("id", "bad", F.explode("tokens").alias("token"))
+    often = postings.where("bad").groupBy("token").agg(F.count(F.lit(1)).alias("times")).where(F.col("times") >= least).select("token")
+    kept = attach_by_key(postings, often, ["token"], ["id"])
+    kept = kept.groupBy("id").agg(F.array_sort(F.collect_list("token")).alias("items"), F.first("bad").alias("bad"))
+    kept = saved(kept.select("items", "bad"), "sets")
+    size, left = kept.agg(F.max(F.size("items")), F.count(F.lit(1))).first()
+    if not size:
         return labelled.sparkSession.createDataFrame([], "rule_id bigint, antecedent array<string>, support bigint, confidence double")
-    model = FPGrowth(minSupport=min(1.0, max(min_support, min_count / n)), minConfidence=min_confidence).fit(rows)
-    sets = model.freqItemsets.where(F.size("items") <= max_antecedent + 1)
-    sets = saved(sets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
-    alone = sets.where(~F.array_contains("items", LABEL)).select(F.col("items").alias("antecedent"), F.col("freq").alias("all"))
-    with_label = sets.where(F.array_contains("items", LABEL) & (F.size("items") > 1))
-    both = with_label.select(F.array_remove("items", LABEL).alias("antecedent"), F.col("freq").alias("support"))
-    found = both.join(alone, "antecedent").withColumn("confidence", F.col("support") / F.col("all")).where(F.col("confidence") >= min_confidence)
+    if size <= max_tokens:
+        both = _grown(kept, (least - 0.5) / left, max_antecedent)
+    else:
+        both = _levels(kept, least, max_antecedent)
+    found = both.withColumn("confidence", F.col("support") / F.col("all")).where(F.col("confidence") >= min_confidence)
     found = saved(found.select("antecedent", "support", "confidence"), "rules")
     # a rule adds nothing when a part of it is as sure
     choices = [c for k in range(1, max_antecedent) for c in combinations(range(max_antecedent), k)]

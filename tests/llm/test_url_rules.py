@@ -1,5 +1,6 @@
 """Listed and mined URL rules against plain Python."""
 
+import random
 import re
 from itertools import combinations
 
@@ -73,6 +74,34 @@ def test_mined_rules_against_all_subsets(spark):
             assert abs(got[i].confidence - max(fires)) < 1e-12
 
 
+def test_rules_of_long_urls_are_counted_on_whole_token_sets(spark):
+    rng = random.Random(4)
+    known = []
+    for i in range(160):
+        rare = [f"r{i}.{k}" for k in range(20)]
+        some = rng.sample([f"w{k}" for k in range(18)], rng.choice([3, 9, 15]))
+        known.append((rare + some, {"w1", "w2"} <= set(some) or "w3" in some and rng.random() < 0.85))
+    known += [([f"copy{k}" for k in range(60)] + ["w4"], i % 8 > 0) for i in range(40)]
+    frame = spark.createDataFrame(known, "tokens array<string>, bad boolean")
+    least = max(0.05 * len(known), 8)
+    sure = {}
+    common = {t for ts, y in known for t in ts if sum(t in u for u, _ in known) >= least}
+    sets = [(set(t) & common, y) for t, y in known]
+    for k in (1, 2, 3):
+        for s in {c for t, _ in sets for c in combinations(sorted(t), k) if sum("copy" in x for x in c) < 2}:
+            n, b = sum(set(s) <= t for t, _ in sets), sum(set(s) <= t and y for t, y in sets)
+            if b >= least and b / n >= 0.8:
+                sure[s] = (b, b / n)
+    want = {s: v for s, v in sure.items() if not any(set(p) < set(s) and q[1] >= v[1] for p, q in sure.items())}
+    assert len(want) > 60 and any(len(s) > 1 for s in want)
+    for limit in (12, 3):
+        got = {tuple(r.antecedent): (r.support, r.confidence) for r in U.mine(frame, 0.05, 8, max_tokens=limit).collect()}
+        assert got == want
+    short = frame.where("tokens[20] not like 'copy%'")  # both ways, without the long copies
+    ways = [{tuple(r.antecedent): (r.support, r.confidence) for r in U.mine(short, 0.05, 8, max_tokens=m).collect()} for m in (3, 100)]
+    assert ways[0] == ways[1] and ways[0]
+
+
 def test_query(spark):
     got = {r.page_id: r for r in QUERIES["op1_url_rules"](spark, FOLDER).collect()}
     pages = spark.read.parquet(f"{FOLDER}/pages.parquet").select("page_id", "url").collect()
