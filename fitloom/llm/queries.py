@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fitloom.llm import decontaminate, learned_ann, license_align, lsh_forest, packing, secret_crf, substring_index, url_rules, warc, weak_quality
+from fitloom.llm import decontaminate, learned_ann, license_align, lsh_forest, packing, secret_crf, spelling_variants, substring_index, url_rules, warc, weak_quality
 from fitloom.llm.store import saved
 from fitloom.session import scratch_path
 from fitloom.sources.readers import table
@@ -116,3 +116,44 @@ def op10(spark, folder):
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+_SQL_CRC = """
+    crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+                   lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)
+"""
+
+
+def _sql_crc32(text: str) -> str:
+    """Unsigned crc32 of the UTF-8 bytes of an SQL string, beside the column ``t`` of the table ``crc``."""
+    octets = f"list_transform(range(1, strlen({text}) * 2, 2), lambda i: ('0x' || substr(hex(encode({text})), i, 2))::BIGINT)"
+    step = "xor(c >> 8, t[xor(c, b) % 256 + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), lambda c, b: {step}), 4294967295)"
+
+
+@query(
+    "op11_spelling",
+    f"""
+    WITH RECURSIVE {_SQL_CRC},
+    runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+             FROM documents),
+    once AS (SELECT doc_id, run, count(*) AS n, doc_id::VARCHAR || ':' || run AS named FROM runs GROUP BY ALL),
+    hashed AS (SELECT run, n, {_sql_crc32("named")} AS h FROM once, crc),
+    made AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed),
+    words AS (SELECT word, sum(n)::BIGINT AS n FROM made WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+    cuts AS (SELECT word, i, substr(word, 1, i - 1) AS p, substr(word, i + 1) AS q FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+    near AS (SELECT a.word AS word, b.word AS near FROM cuts a JOIN cuts b ON a.i = b.i AND a.p = b.p AND a.q = b.q AND a.word <> b.word
+             UNION SELECT c.word, w.word FROM cuts c JOIN words w ON w.word = c.p || c.q
+             UNION SELECT w.word, c.word FROM cuts c JOIN words w ON w.word = c.p || c.q),
+    ranked AS (SELECT r.word, r.near, w.n, count(*) OVER (PARTITION BY r.word) AS n_near,
+                      row_number() OVER (PARTITION BY r.word ORDER BY w.n DESC, r.near) AS place FROM near r JOIN words w ON w.word = r.near),
+    forms AS (SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN r.n >= 2 * w.n THEN near END AS form,
+                     CASE WHEN r.n >= 2 * w.n THEN r.n END AS form_n FROM words w LEFT JOIN ranked r ON r.word = w.word AND place = 1),
+    ways AS (SELECT word, word AS at FROM forms UNION ALL SELECT y.word, f.form FROM ways y JOIN forms f ON f.word = y.at WHERE f.form IS NOT NULL)
+    SELECT f.word, f.form, y.at AS root, f.n, f.n_near, f.form_n
+    FROM forms f JOIN ways y USING (word) JOIN forms l ON l.word = y.at WHERE l.form IS NULL
+    """,
+)
+def op11(spark, folder):
+    found = spelling_variants.runs(table(spark, folder, "documents"), least=spelling_variants.MIN_LENGTH)
+    return spelling_variants.group_variants(spelling_variants.vocabulary(spelling_variants.with_slips(found)))
