@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fitloom.llm import decontaminate, learned_ann, license_align, lsh_forest, packing, secret_crf, spelling_variants, substring_index, url_rules, warc, weak_quality
+from fitloom.llm import decontaminate, hard_negatives, learned_ann, license_align, lsh_forest, packing, ppm, secret_crf, spelling_variants, substring_index, url_rules, warc, weak_quality
 from fitloom.llm.store import saved
 from fitloom.session import scratch_path
 from fitloom.sources.readers import table
@@ -157,3 +157,33 @@ def _sql_crc32(text: str) -> str:
 def op11(spark, folder):
     found = spelling_variants.runs(table(spark, folder, "documents"), least=spelling_variants.MIN_LENGTH)
     return spelling_variants.group_variants(spelling_variants.vocabulary(spelling_variants.with_slips(found)))
+
+
+@query(
+    "op13_hard_negatives",
+    """
+    WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+               FROM embeddings
+               WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+    scored AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.v::DOUBLE[], b.v::DOUBLE[])::BIGINT AS score
+               FROM v a, v b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+    pos AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+    neg AS (SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+                   vec_id AS negative_id, positive_score, score AS negative_score
+            FROM pos JOIN scored USING (anchor_id)
+            WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+    SELECT * FROM neg WHERE rank <= 3
+    """,
+)
+def op13(spark, folder):
+    rows = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+@query("op12_lm_score")
+def op12(spark, folder):
+    train = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0
+    return ppm.score(table(spark, folder, "documents"), train)
