@@ -1,7 +1,8 @@
 """Prediction by partial matching over bytes, trained on all training texts and never held in one place.
 
 The trie of byte contexts is a set of tables, one per order: (gram, n), where a gram is a context and the byte after
-it. A symbol seen after its longest context has probability (2n - 1) / 2N there, N being the uses of the context
+it; n counts its uses for the longest contexts, and for shorter ones the different contexts, a byte longer, after which the same byte came
+(update exclusion). A symbol seen after its longest context has probability (2n - 1) / 2N there, N being the uses of the context
 and n those with this symbol; with t different symbols the rest, t / 2N, is the escape to the context without its
 oldest byte. There all symbols of the longer context are excluded. Since whatever follows a context also follows its
 shorter ones, the excluded symbols are always those of the context just left, so two numbers of each node, how many
@@ -150,10 +151,13 @@ def _mask(order: int) -> int:
 
 
 def trie(counts: DataFrame, order: int) -> list[DataFrame]:
-    """(gram, n) of every order from 0 to ``order``, from the longest grams ``counts``, n above zero."""
+    """(gram, n) of every order from 0 to ``order``, from the longest grams ``counts``, each once and n above zero.
+
+    A shorter gram counts the longer ones that end in it.
+    """
     levels = [counts]
     for k in range(order - 1, -1, -1):
-        shorter = levels[0].groupBy(F.col("gram").bitwiseAND(F.lit(_mask(k))).alias("gram")).agg(F.sum("n").alias("n"))
+        shorter = levels[0].groupBy(F.col("gram").bitwiseAND(F.lit(_mask(k))).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
         levels.insert(0, saved(shorter, f"order-{k}"))
     return levels
 
