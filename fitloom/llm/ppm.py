@@ -12,44 +12,44 @@ of all texts add up to one.
 
 Texts are dealt into blocks. A block names each of its different grams and words once with its training count;
 counts are added up, probabilities worked out per gram and sent back to the blocks that have it, and each
-block scores its texts. Neither the trie nor the vocabulary is ever broadcast or collected.
+block scores its texts. Neither the trie nor the vocabulary is ever broadcast or collected. What a block names is
+sent in pieces, packed arrays of one bucket of the keys' hash, so that Spark moves rows of some kilobytes and not one per gram.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fitloom.llm.store import saved
-from fitloom.llm.words import LOWER, WHITE, Words, slices, split
+from fitloom.llm.words import LOWER, SAME, WHITE, Words, slices, split
 
 ORDER = 5
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 64 << 20
 BEGIN, END = 0xFE, 0xFF  # bytes that UTF-8 never uses
 SYMBOLS = 256
 PENDING = 1 << 21
-ROWS = 100_000
+PIECE = 512
+MAX_BUCKETS = 4096
+ROWS = 50_000
 ALPHA = 0.1
+GRAM, WORD, TEXT = 0, 1, 2
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def deal(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(block, id, train, text) per row of ``docs`` (id, train, text): rows read together, some ``block_bytes`` of text to a block."""
+def spread(keys: np.ndarray) -> np.ndarray:
+    """Even 64-bit hashes of 64-bit keys; what comes of them begins with the highest bits."""
+    return keys.view(np.uint64) * SPREAD
 
-    def run(batches):
-        number, filled = TaskContext.get().partitionId() << 32, 0
-        for batch in batches:
-            size = pc.binary_length(batch.column("text")).fill_null(0).to_numpy().astype(np.int64)
-            ends = filled + np.cumsum(size)
-            blocks = number + (ends - size) // block_bytes
-            filled = int(ends[-1]) if len(ends) else filled
-            yield pa.RecordBatch.from_arrays([pa.array(blocks), *batch.columns], names=["block", *batch.schema.names])
 
-    fields = docs.schema
-    return docs.mapInArrow(run, f"block bigint, id {fields['id'].dataType.simpleString()}, train boolean, text string")
+def buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each key; ``buckets`` is a power of two."""
+    return (spread(keys) >> np.uint64(33)).astype(np.int64) & (buckets - 1)
 
 
 def grams(data: np.ndarray, offsets: np.ndarray, order: int) -> np.ndarray:
@@ -96,6 +96,28 @@ class Tally:
         return self.runs[0] if self.runs else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
+class Lookup:
+    """Values of 64-bit keys, all of them known: keys lie in the order of a hash, and a search begins where its hash begins."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.shift = np.uint64(64 - max(8, len(keys).bit_length()))
+        at = self._place(keys)
+        order = np.argsort(at, kind="stable")
+        self.keys, self.values = keys[order], values[order]
+        self.first = np.searchsorted(at[order], np.arange(1 << (64 - int(self.shift))))
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return (spread(keys) >> self.shift).astype(np.int64)
+
+    def of(self, wanted: np.ndarray) -> np.ndarray:
+        at = self.first[self._place(wanted)]
+        open_ = np.flatnonzero(self.keys[at] != wanted) if len(wanted) else at
+        while len(open_):
+            at[open_] += 1
+            open_ = open_[self.keys[at[open_]] != wanted[open_]]
+        return self.values[at]
+
+
 def _blocks(batches, names):
     """(block, part of a batch) for each run of rows of one block."""
     for batch in batches:
@@ -106,30 +128,40 @@ def _blocks(batches, names):
                 yield int(at[lo]), batch.slice(lo, hi - lo).select(names)
 
 
-def _text(words: Words, i: int) -> str:
-    return LOWER[words.data[words.start[i] : words.stop[i]]].tobytes().decode("utf-8", "replace")
+def _text(words: Words, i: int) -> bytes:
+    return LOWER[words.data[words.start[i] : words.stop[i]]].tobytes()
+
 
+def _tallied(order: int, buckets: int):
+    """Task code: (block, kind, bucket, keys, n) for the different grams and words of each block, in packed pieces.
 
-def _tallied(order: int):
-    """Task code: (block, gram, word, n) for each different gram and each different word of a block."""
+    Keys are 64-bit grams as differences from each other, or words with line ends between them.
+    """
 
-    def out(block, tallies, known):
-        for which, tally in enumerate(tallies):
+    def pieces(block, tallies, known):
+        for kind, tally in ((GRAM, tallies[0]), (WORD, tallies[1])):
             keys, n = tally.total()
-            for i in range(0, len(keys), ROWS):
-                part = keys[i : i + ROWS]
-                none = pa.nulls(len(part), pa.string() if which == 0 else pa.int64())
-                named = [pa.array(part), none] if which == 0 else [none, pa.array([known[k] for k in part.tolist()])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), block)), *named, pa.array(n[i : i + ROWS])], names=["block", "gram", "word", "n"]
-                )
+            bucket = buckets_of(keys, buckets)
+            order = np.lexsort((keys, bucket))
+            keys, n, bucket = keys[order], n[order].astype(np.int32), bucket[order]
+            edges = np.concatenate((np.searchsorted(bucket, np.arange(buckets)), [len(keys)]))
+            for b in range(buckets):
+                for i in range(edges[b], edges[b + 1], PIECE):
+                    j = min(i + PIECE, edges[b + 1])
+                    part = np.diff(keys[i:j], prepend=np.int64(0)).tobytes() if kind == GRAM else b"\n".join([known[k] for k in keys[i:j].tolist()])
+                    yield block, kind, b, part, n[i:j].tobytes()
+
+    def out(rows):
+        names, kinds = ["block", "kind", "bucket", "keys", "n"], [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+        while part := list(itertools.islice(rows, 2000)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part), kinds)], names=names)
 
     def run(batches):
         current, tallies, known = None, (Tally(), Tally()), {}
         for block, part in _blocks(batches, ["train", "text"]):
             if block != current:
                 if current is not None:
-                    yield from out(current, tallies, known)
+                    yield from out(pieces(current, tallies, known))
                 current, tallies, known = block, (Tally(), Tally()), {}
             train = part.column("train").to_numpy(zero_copy_only=False).astype(np.int64)
             for rows, data, offsets in slices(part.column("text")):
@@ -141,11 +173,114 @@ def _tallied(order: int):
                 tallies[1].add(keys, weight)
                 known.update((k, _text(words, i)) for k, i in zip(keys.tolist(), at.tolist()) if k not in known)
         if current is not None:
-            yield from out(current, tallies, known)
+            yield from out(pieces(current, tallies, known))
 
     return run
 
 
+def _words(piece: bytes) -> pa.Array:
+    return pa.array(piece.split(b"\n"), pa.binary())
+
+
+def _grams(piece: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(piece, np.int64))
+
+
+def _groups(batches, names):
+    """((kind, bucket), part of a batch) for each run of rows of one kind and bucket."""
+    for batch in batches:
+        kind, bucket = (np.asarray(batch.column(c)) for c in ("kind", "bucket"))
+        cuts = np.flatnonzero((kind[1:] != kind[:-1]) | (bucket[1:] != bucket[:-1])) + 1
+        for lo, hi in zip([0, *cuts], [*cuts, len(kind)]):
+            if hi > lo:
+                yield (int(kind[lo]), int(bucket[lo])), batch.slice(lo, hi - lo).select(names)
+
+
+class WordTally:
+    """Sums per word, merged now and then."""
+
+    def __init__(self):
+        self.parts, self.pending = [], 0
+
+    def add(self, words: pa.Array, n: np.ndarray) -> None:
+        self.parts.append(pa.table({"k": words, "n": pa.array(n, pa.int64())}))
+        self.pending += len(words)
+        if self.pending > PENDING:
+            self.total()
+
+    def total(self) -> pa.Table:
+        self.parts = [pa.concat_tables(self.parts).group_by("k").aggregate([("n", "sum")]).rename_columns(["k", "n"])]
+        self.pending = 0
+        return self.parts[0]
+
+
+def _summed(batches):
+    """Task code: (kind, bucket, gram, word, n) per different gram or word, from all pieces of its bucket."""
+    names = ["kind", "bucket", "gram", "word", "n"]
+
+    def out(key, tally):
+        if key[0] == GRAM:
+            keys, n = tally.total()
+            cells = pa.table({"k": keys, "n": n})
+        else:
+            cells = tally.total()
+        for i in range(0, len(cells), ROWS):
+            part = cells.slice(i, ROWS)
+            k, size = part["k"].combine_chunks(), len(part)
+            none = pa.nulls(size, pa.binary() if key[0] == GRAM else pa.int64())
+            both = [k, none] if key[0] == GRAM else [none, k]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(size, key[0], np.int32)), pa.array(np.full(size, key[1])), *both, part["n"].combine_chunks()], names=names
+            )
+
+    current, tally = None, None
+    for key, part in _groups(batches, ["keys", "n"]):
+        if key != current:
+            if current is not None:
+                yield from out(current, tally)
+            current, tally = key, Tally() if key[0] == GRAM else WordTally()
+        for keys, n in zip(part.column("keys").to_pylist(), part.column("n").to_pylist()):
+            tally.add(_grams(keys) if key[0] == GRAM else _words(keys), np.frombuffer(n, np.int32).astype(np.int64))
+    if current is not None:
+        yield from out(current, tally)
+
+
+def _valued(batches):
+    """Task code: (block, kind, keys, values) per piece, after the values of all grams or words of its bucket.
+
+    Words go on as their hashes.
+    """
+    current, held, looked = None, [], None
+    for key, part in _groups(batches, ["block", "gram", "word", "value", "keys"]):
+        if key != current:
+            current, held, looked = key, [], None
+        own = part.column("block").is_null().to_numpy(zero_copy_only=False)
+        n = int(own.sum())
+        if n:
+            held.append(part.slice(0, n))
+        part = part.slice(n)
+        if not part.num_rows:
+            continue
+        if looked is None:
+            table = pa.Table.from_batches(held)
+            looked = Lookup(table["gram"].to_numpy(), table["value"].to_numpy()) if key[0] == GRAM else (table["word"].combine_chunks(), table["value"].to_numpy())
+            held = []
+        keys, values = [], []
+        for piece in part.column("keys").to_pylist():
+            if key[0] == GRAM:
+                wanted = _grams(piece)
+                keys.append(wanted.tobytes())
+                values.append(looked.of(wanted).tobytes())
+            else:
+                line = np.frombuffer(piece, np.uint8)
+                keys.append(split(range(1), line, np.array([0, len(line)]), WHITE, SAME).hashes.tobytes())
+                values.append(looked[1][pc.index_in(_words(piece), looked[0]).to_numpy()].tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [part.column("block"), pa.array(np.full(part.num_rows, key[0], np.int32)), pa.array(keys, pa.binary()), pa.array(values, pa.binary())],
+            names=["block", "kind", "keys", "values"],
+        )
+
+
 def _mask(order: int) -> int:
     return (1 << (8 * (order + 1))) - 1
 
@@ -218,43 +353,33 @@ def _scored(order: int, train_tokens: int, kinds: int, ends: int):
     def base(c):
         return np.log10((c + ALPHA) / (train_tokens + ALPHA * (kinds + 1)))
 
-    def table(parts, key, value):
-        keys = np.concatenate([key(p) for p in parts]) if parts else np.zeros(0, np.int64)
-        values = np.concatenate([value(p) for p in parts]) if parts else np.zeros(0)
-        at = np.argsort(keys)
-        return keys[at], values[at]
-
-    def hashes(part):
-        words = [split(*s, WHITE, LOWER).hashes for s in slices(part.column("word"))]
-        return np.concatenate(words).view(np.int64)
-
-    def value(part):
-        return part.column("value").to_numpy()
+    def table(pieces):
+        keys, values = (np.frombuffer(b"".join(c), t) for c, t in zip(zip(*pieces), (np.int64, np.float64))) if pieces else (np.zeros(0, np.int64), np.zeros(0))
+        return Lookup(keys, values)
 
     def run(batches):
         current, held, looked = None, ([], []), None
-        for block, part in _blocks(batches, ["kind", "gram", "value", "word", "id", "train", "text"]):
+        for block, part in _blocks(batches, ["kind", "keys", "values", "id", "train", "text"]):
             if block != current:
                 current, held, looked = block, ([], []), None
             kind = np.asarray(part.column("kind"))
-            cuts = np.searchsorted(kind, [1, 2])
-            for which, lo, hi in ((0, 0, cuts[0]), (1, cuts[0], cuts[1])):
-                if hi > lo:
-                    held[which].append(part.slice(lo, hi - lo))
-            docs = part.slice(cuts[1])
+            cuts = np.searchsorted(kind, [GRAM, WORD, TEXT])
+            for which in (GRAM, WORD):
+                some = part.slice(cuts[which], cuts[which + 1] - cuts[which])
+                held[which].extend(zip(some.column("keys").to_pylist(), some.column("values").to_pylist()))
+            docs = part.slice(cuts[TEXT])
             if not docs.num_rows:
                 continue
             if looked is None:
-                looked = table(held[0], lambda p: p.column("gram").to_numpy(), value), table(held[1], hashes, value)
+                looked = table(held[GRAM]), table(held[WORD])
                 held = ([], [])
-            (gram_keys, gram_costs), (word_keys, word_counts) = looked
             n_tokens, n_known, low, score = [], [], [], []
             for rows, data, offsets in slices(docs.column("text")):
-                found = gram_costs[np.searchsorted(gram_keys, grams(data, offsets, order))]
+                found = looked[GRAM].of(grams(data, offsets, order))
                 score.append(np.add.reduceat(found, offsets[:-1] + np.arange(len(rows))))
                 words = split(rows, data, offsets, WHITE, LOWER)
                 counts = words.counts()
-                c = word_counts[np.searchsorted(word_keys, words.hashes.view(np.int64))] if len(word_keys) else np.zeros(0)
+                c = looked[WORD].of(words.hashes.view(np.int64))
                 before = np.concatenate(([0], np.cumsum(c > 0)))
                 n_tokens.append(counts + 1)
                 n_known.append(np.diff(before[words.first]) + (ends > 0))
@@ -278,34 +403,46 @@ def score(
 
     A null text is empty: its end alone is scored. A row for which ``train`` is null is held out. Repeated rows are learned
     and scored as often as they come. Without training rows every byte is equally likely. An empty
-    table gives no rows; other columns are ignored. A task holds the different grams of one block, at most one per byte.
+    table gives no rows; other columns are ignored. Rows go to blocks by the hash of id and text; a task holds the
+    different grams of one block, at most one per byte, and one text.
     """
     if not 0 <= order <= 6:
         raise ValueError("order must be from 0 to 6")
+    spark = docs.sparkSession
     inner = docs.select(F.col(doc_id).alias("id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text).alias("text"))
-    dealt = saved(deal(inner, block_bytes), "blocks", compression="zstd")
-    seen = saved(dealt.mapInArrow(_tallied(order), "block bigint, gram bigint, word string, n bigint"), "tallies")
-
-    words = saved(seen.where("word is not null").groupBy("word").agg(F.sum("n").alias("value")), "words")
-    ends = dealt.where("train").count()
-    tokens, kinds = words.where("value > 0").agg(F.coalesce(F.sum("value"), F.lit(0)), F.count(F.lit(1))).first()
+    size, ends = inner.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count_if("train")).first()
+    blocks = 1 + size // block_bytes
+    buckets = min(MAX_BUCKETS, 1 << int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length())
+    dealt = inner.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)))
+    texts = dealt.repartition("block").sortWithinPartitions("block")
+    seen = saved(texts.mapInArrow(_tallied(order, buckets), "block bigint, kind int, bucket bigint, keys binary, n binary"), "tallies", "zstd")
+
+    at = ["kind", "bucket"]
+    sums = seen.select(*at, "keys", "n").repartition(*at).sortWithinPartitions(*at)
+    sums = saved(sums.mapInArrow(_summed, "kind int, bucket bigint, gram bigint, word binary, n bigint"), "sums")
+    tokens, kinds = sums.where((F.col("kind") == WORD) & (F.col("n") > 0)).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     tokens, kinds = tokens + ends, kinds + (ends > 0)
 
-    wanted = saved(seen.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-    cost = costs(wanted, order).withColumnRenamed("cost", "value")
-    none = F.lit(None)
-    kind = dict(dealt.dtypes)["id"]
-    empty = {"gram": "bigint", "value": "double", "word": "string", "id": kind, "train": "boolean", "text": "string"}
-
-    def rows(frame, number, *names):
-        return frame.select("block", F.lit(number).alias("kind"), *[(F.col(c) if c in names else none).cast(t).alias(c) for c, t in empty.items()])
-
-    back = rows(seen.where("gram is not null").select("block", "gram").join(cost, "gram"), 0, "gram", "value")
-    back = back.unionByName(rows(seen.where("word is not null").select("block", "word").join(words, "word"), 1, "word", "value"))
-    everything = back.unionByName(rows(dealt, 2, "id", "train", "text"))
-    blocks = everything.repartition("block").sortWithinPartitions("block", "kind")
-    found = blocks.mapInArrow(
-        _scored(order, tokens, kinds, ends), f"id {kind}, train boolean, n_tokens bigint, n_known bigint, base_score double, score double"
+    own = sums.where(F.col("kind") == GRAM)
+    cost = costs(own.select("gram", "n"), order)
+    key = {"kind": "int", "bucket": "bigint", "block": "bigint", "gram": "bigint", "word": "binary", "value": "double", "keys": "binary"}
+
+    def shaped(frame):
+        return frame.select(*[(F.col(c) if c in frame.columns else F.lit(None)).cast(t).alias(c) for c, t in key.items()])
+
+    values = shaped(own.select("kind", "bucket", "gram").join(cost.withColumnRenamed("cost", "value"), "gram"))
+    values = values.unionByName(shaped(sums.where(F.col("kind") == WORD).withColumn("value", F.col("n"))))
+    both = values.unionByName(shaped(seen)).repartition(*at).sortWithinPartitions(*at, F.col("block").isNotNull())
+    back = both.mapInArrow(_valued, "block bigint, kind int, keys binary, values binary")
+
+    row = {"block": "bigint", "kind": "int", "keys": "binary", "values": "binary", "id": dict(dealt.dtypes)["id"], "train": "boolean", "text": "string"}
+
+    def laid(frame):
+        return frame.select(*[(F.col(c) if c in frame.columns else F.lit(None)).cast(t).alias(c) for c, t in row.items()])
+
+    everything = laid(back).unionByName(laid(dealt.withColumn("kind", F.lit(TEXT))))
+    found = everything.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(
+        _scored(order, tokens, kinds, ends), f"id {row['id']}, train boolean, n_tokens bigint, n_known bigint, base_score double, score double"
     )
     return found.select(
         F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", F.lit(tokens).cast("bigint").alias("train_tokens"), "base_score", "score"
