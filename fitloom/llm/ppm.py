@@ -30,7 +30,7 @@ from fitloom.llm.store import saved
 from fitloom.llm.words import LOWER, SAME, WHITE, Words, slices, split
 
 ORDER = 5
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 32 << 20
 BEGIN, END = 0xFE, 0xFF  # bytes that UTF-8 never uses
 SYMBOLS = 256
 PENDING = 1 << 21
@@ -73,9 +73,18 @@ class Tally:
     def __init__(self):
         self.runs, self.pending = [], 0
 
+    def add_flags(self, keys: np.ndarray, flags: np.ndarray) -> None:
+        """Keys below 2**62 with weights of 0 or 1, which are sorted as one number."""
+        both = np.sort(keys * 2 + flags)
+        first = np.flatnonzero(np.concatenate(([True], both[1:] >> 1 != both[:-1] >> 1)))
+        self._keep(both[first] >> 1, np.add.reduceat(both & 1, first))
+
     def add(self, keys: np.ndarray, weights: np.ndarray) -> None:
         """``weights`` are whole numbers of at least zero."""
-        self.runs.append(self._summed(keys, weights))
+        self._keep(*self._summed(keys, weights))
+
+    def _keep(self, keys: np.ndarray, weights: np.ndarray) -> None:
+        self.runs.append((keys, weights))
         self.pending += len(self.runs[-1][0])
         if self.pending > PENDING and len(self.runs) > 1:
             self.total()
@@ -166,7 +175,7 @@ def _tallied(order: int, buckets: int):
             train = part.column("train").to_numpy(zero_copy_only=False).astype(np.int64)
             for rows, data, offsets in slices(part.column("text")):
                 learned = train[rows.start : rows.stop]
-                tallies[0].add(grams(data, offsets, order), np.repeat(learned, np.diff(offsets) + 1))
+                tallies[0].add_flags(grams(data, offsets, order), np.repeat(learned, np.diff(offsets) + 1))
                 words = split(rows, data, offsets, WHITE, LOWER)
                 keys, at, back = np.unique(words.hashes.view(np.int64), return_index=True, return_inverse=True)
                 weight = np.bincount(back, np.repeat(learned, words.counts()), len(keys)).astype(np.int64)
@@ -174,6 +183,7 @@ def _tallied(order: int, buckets: int):
                 known.update((k, _text(words, i)) for k, i in zip(keys.tolist(), at.tolist()) if k not in known)
         if current is not None:
             yield from out(pieces(current, tallies, known))
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     return run
 
