@@ -23,7 +23,9 @@ from fitloom.llm.words import LOWER, WHITE, worded
 
 CAPACITY = 2048
 MAX_OPEN = 1024
-MAX_CACHED = 800_000
+CACHE_BYTES = 48 << 20
+ENTRY_BYTES = 150  # of a cached segment besides its ids
+OUT_BYTES = 4 << 20
 TASK_SEQUENCES = 1 << 32
 
 # Bytes of different kinds are always in different pre-tokens: letters, ASCII marks but the apostrophe, digits.
@@ -33,7 +35,7 @@ KINDS[39] = 0
 KINDS[48:58] = 3
 KINDS[65:91] = KINDS[97:123] = 1
 
-_cache: dict[str, dict[int, bytes]] = {}
+_cache: dict[str, tuple[dict[int, bytes], list[int]]] = {}  # per tokenizer the ids of segments, and their bytes
 
 
 def token_ids(column: pa.Array, path: str, last: int) -> Iterator[np.ndarray]:
@@ -45,22 +47,23 @@ def token_ids(column: pa.Array, path: str, last: int) -> Iterator[np.ndarray]:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer, known = Tokenizer.from_file(path), _cache.setdefault(path, {})
+    tokenizer, (known, held) = Tokenizer.from_file(path), _cache.setdefault(path, ({}, [0]))
     end = np.array([last], np.int32)
     special = {t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()}
-    for part in worded(column, WHITE, LOWER, KINDS, limit=4 << 20):
+    for part in worded(column, WHITE, LOWER, KINDS):
         data = part.data.tobytes()
         plain = not any(s in data for s in special)
         unique, at, back = np.unique(part.hashes, return_index=True, return_inverse=True)
         keys = unique.tolist()
         new = [i for i, k in enumerate(keys) if k not in known]
         if new:
-            if len(known) + len(new) > MAX_CACHED:
+            if held[0] > CACHE_BYTES:
                 known.clear()
-                new = range(len(keys))
+                held[0], new = 0, range(len(keys))
             texts = [data[part.start[at[i]] : part.stop[at[i]]].decode() for i in new]
             for i, e in zip(new, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
                 known[keys[i]] = np.array(e.ids, np.int32).tobytes()
+                held[0] += ENTRY_BYTES + 4 * len(e.ids)
         ids = [known[k] for k in keys]
         flat = np.frombuffer(b"".join(ids), np.int32)
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
@@ -178,7 +181,8 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
     Every id of every document is in exactly one piece; a null or empty text is the one id ``last``.
     Rows with equal ids are packed apiece. Documents are packed where they are read, without a
     shuffle; a task's sequences are numbered from its own block of ids, so a task that runs
-    again on the same input gives the same rows. A task holds ``MAX_OPEN`` open windows at most.
+    again on the same input gives the same rows. A task holds ``MAX_OPEN`` open windows at most, ``OUT_BYTES``
+    of finished ids and a cache of ``CACHE_BYTES``, or what one longest text needs beyond them.
     """
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
     inner = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -186,16 +190,19 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
     def run(batches):
         number = TaskContext.get().partitionId() * TASK_SEQUENCES
         rows: list[tuple] = []
+        held = 0  # bytes of ids in rows
 
         def emit(pieces):
-            nonlocal number
+            nonlocal number, held
             at = 0
             for (doc, total), start, ids in pieces:
                 rows.append((doc, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), total, number, at, ids))
                 at += len(ids)
+            held += 4 * at
             number += 1
 
         def out(schema):
+            nonlocal held
             columns = list(zip(*rows)) if rows else [[] for _ in names]
             kinds = [schema, *[pa.int64()] * 6]
             arrays = [pa.array(list(c), k) for c, k in zip(columns, kinds)]
@@ -203,6 +210,7 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
             ends = np.concatenate(([0], np.cumsum(columns[2]))).astype(np.int32)
             arrays.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
             rows.clear()
+            held = 0
             return pa.RecordBatch.from_arrays(arrays, names=names)
 
         packer, schema = Packer(emit, capacity), None
@@ -210,7 +218,7 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
             schema = batch.schema.field(0).type
             for doc, ids in zip(batch.column(0).to_pylist(), token_ids(batch.column(1), path, last)):
                 packer.add((doc, len(ids)), ids)
-                if len(rows) >= 2000:
+                if held >= OUT_BYTES:
                     yield out(schema)
         if schema is not None:
             packer.settle()
