@@ -2,10 +2,12 @@
 
 Documents with the same set are one class. Tree t orders classes by the signature rotated to its own
 place, and classes that agree on the first values there, as many as the forest is deep, share a region. In each order a class is compared with its next neighbours, those of the longest
-common prefix, however dense the region is, and with the first class of its region there; most dense
-groups get connected by these. A region whose classes are still in different components takes the
-class that leads most of them as its pivot; each set is written as its differences from the pivot's,
-and only sets that share one of their rarest differences can still be linked and are compared. So no
+common prefix, however dense the region is, and with the first class of its region there. Depth adapts to
+the region: where more than ``DENSE`` classes share a prefix it is made longer, value by value, and each class is also
+compared with the first of its own deeper region; most dense groups get connected by these. A region whose classes are still in
+different components takes the class that leads most of them as its pivot; each set is written as its differences from the
+pivot's, and only sets that share one of their rarest differences, at places in the order that leave room for as many shared ones as a
+link needs, can still be linked and are compared. So no
 region is capped, no group is expanded into all its pairs, and a pair is only ever missed when it
 shares no region at all. Trees and depth follow from the threshold, so that at the threshold itself this
 happens to about 1 in 135,000 whatever it is.
@@ -33,6 +35,8 @@ HASHES = 64
 MAX_DEPTH = 4
 MISS = (1 - 0.85**MAX_DEPTH) ** 16
 NEIGHBOURS = 4
+DENSE = 32
+DEEPER = 8
 SIGMAS = 5.5
 
 
@@ -122,6 +126,27 @@ def _entries(classes: DataFrame, shape: Forest) -> DataFrame:
     return classes.select("rep", "sketch").mapInArrow(run, schema)
 
 
+def deeper_firsts(new: np.ndarray, paths: np.ndarray, depth: int) -> np.ndarray:
+    """For each row of sorted ``paths`` the first row that shares its prefix, longer than ``depth`` where more than ``DENSE`` rows do.
+
+    ``new`` tells the rows that begin a region of ``depth`` equal values.
+    """
+    begins = new.copy()
+    for at in range(depth, min(depth + DEEPER, paths.shape[1]) + 1):
+        start = np.flatnonzero(begins)
+        size = np.diff(np.concatenate((start, [len(new)])))
+        here, many = np.repeat(start, size), np.repeat(size, size) > DENSE
+        if at == depth:
+            first, open_ = here, many
+        else:
+            first = np.where(open_, here, first)
+            open_ &= many
+        if not open_.any() or at == paths.shape[1]:
+            break
+        begins[1:] |= paths[1:, at] != paths[:-1, at]
+    return first
+
+
 def _neighbours(members: DataFrame, shape: Forest, least: int, parts: int) -> DataFrame:
     """(a, b, agree) of classes near each other in a tree's order, or first of their region there.
 
@@ -134,20 +159,24 @@ def _neighbours(members: DataFrame, shape: Forest, least: int, parts: int) -> Da
 
     def run(batches):
         regions, reps = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        sketches = np.zeros((0, shape.hashes), ">u4")
+        sketches = paths = np.zeros((0, shape.hashes), ">u4")
         head, pivot = None, None
         for batch in batches:
             regions = np.concatenate((regions, np.asarray(batch.column(0))))
             reps = np.concatenate((reps, np.asarray(batch.column(3))))
-            new = np.frombuffer(b"".join(batch.column(5).to_pylist()), ">u4").reshape(-1, shape.hashes)
-            sketches = np.concatenate((sketches, new))
+            own, path = (np.frombuffer(b"".join(batch.column(i).to_pylist()), ">u4").reshape(-1, shape.hashes) for i in (5, 1))
+            sketches, paths = np.concatenate((sketches, own)), np.concatenate((paths, path))
             pairs = []
             for step in range(1, NEIGHBOURS + 1):
                 same = np.flatnonzero(regions[step:] == regions[:-step])
                 pairs.append((same, same + step))
-            start = np.flatnonzero(np.concatenate(([True], regions[1:] != regions[:-1])))
+            new = np.concatenate(([True], regions[1:] != regions[:-1]))
+            start = np.flatnonzero(new)
             first = np.repeat(start, np.diff(np.concatenate((start, [len(regions)]))))
             pairs.append((first, np.arange(len(regions))))
+            deep = deeper_firsts(new, paths, shape.depth)
+            below = np.flatnonzero(deep != first)
+            pairs.append((deep[below], below))
             a, b = (np.concatenate(p) for p in zip(*pairs))
             rows = [(reps[a], reps[b], (sketches[a] == sketches[b]).sum(axis=1))]
             if head is not None:  # the first class of a region that began in an earlier batch
@@ -164,7 +193,7 @@ def _neighbours(members: DataFrame, shape: Forest, least: int, parts: int) -> Da
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(lo[keep]), pa.array(hi[keep]), pa.array(agree[keep].astype(np.int32))], names=["a", "b", "agree"]
                 )
-            regions, reps, sketches = regions[-NEIGHBOURS:], reps[-NEIGHBOURS:], sketches[-NEIGHBOURS:]
+            regions, reps, sketches, paths = (c[-NEIGHBOURS:] for c in (regions, reps, sketches, paths))
 
     dealt = inner.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     return dealt.mapInArrow(run, "a bigint, b bigint, agree int").groupBy("a", "b").agg(F.max("agree").alias("agree"))
@@ -217,15 +246,15 @@ def _differences(groups: DataFrame, texts: DataFrame, percent: int) -> DataFrame
                     reach = size + 1 - -(-(cost + 1) // (100 + percent))
                     wide = size + 1 - -(-(cost - room) // (100 + percent)) if far else 0
                     if max(reach, wide) > 0:
-                        out.append((pivot, rep, root, len(own), far, reach, wide, np.concatenate((lost, new)).astype(np.int64)))
+                        out.append((pivot, rep, root, len(own), far, reach, wide, size, cost, room, np.concatenate((lost, new)).astype(np.int64)))
                     if not far:
-                        out.append((pivot, rep, root, len(own), far, reach, wide, None))
+                        out.append((pivot, rep, root, len(own), far, reach, wide, size, cost, room, None))
                 if not out:
                     continue
                 times = [1 if r[-1] is None else len(r[-1]) for r in out]
-                cols = [pa.array(np.repeat(np.array([r[i] for r in out]), times)) for i in range(7)]
+                cols = [pa.array(np.repeat(np.array([r[i] for r in out]), times)) for i in range(10)]
                 elements = pa.chunked_array([pa.nulls(1, pa.int64()) if r[-1] is None else pa.array(r[-1]) for r in out])
-                table = pa.table([*cols, elements], names=["pivot", "rep", "root", "n", "far", "reach", "wide", "element"])
+                table = pa.table([*cols, elements], names=["pivot", "rep", "root", "n", "far", "reach", "wide", "size", "cost", "room", "element"])
                 yield from table.combine_chunks().to_batches(100_000)
 
     salts = groups.groupBy("pivot").agg((F.count(F.lit(1)) / GROUP_ROWS + 1).cast("int").alias("salts"))
@@ -233,12 +262,16 @@ def _differences(groups: DataFrame, texts: DataFrame, percent: int) -> DataFrame
     bases = bases.select("pivot", "base", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     dealt = groups.join(salts, "pivot").withColumn("salt", F.pmod(F.xxhash64("rep"), F.col("salts")).cast("int"))
     both = dealt.join(texts, "rep").join(bases, ["pivot", "salt"]).select("pivot", "rep", "root", "base", "text")
-    schema = "pivot bigint, rep bigint, root bigint, n bigint, far boolean, reach bigint, wide bigint, element bigint"
+    schema = "pivot bigint, rep bigint, root bigint, n bigint, far boolean, reach bigint, wide bigint, size bigint, cost bigint, room bigint, element bigint"
     return both.mapInArrow(run, schema)
 
 
 def _sharing(diffs: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of classes of different roots that share one of their rarest differences from a pivot."""
+    """(a, b) of classes of different roots that share one of their rarest differences from a pivot.
+
+    A link needs (cost(i) + cost(j) - room) / (100 + percent) shared differences. At the first that two sets share in the common
+    order, at least so many places must be left in both; the pairs of a posting whose sets differ much elsewhere fall by this.
+    """
     rows = diffs.where("element is not null")
     often = rows.groupBy("pivot", "element").agg(F.count(F.lit(1)).alias("often"))
     inside = W.partitionBy("pivot", "rep").orderBy("often", "element")
@@ -251,6 +284,7 @@ def _sharing(diffs: DataFrame, percent: int) -> DataFrame:
         (F.col("x.pivot") == F.col("y.pivot")) & (F.col("x.element") == F.col("y.element")) & (F.col("x.root") != F.col("y.root"))
         & (F.col("y.rank") <= F.col("y.reach")) & (both_far | one_far)
         & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
+        & ((F.least(F.col("x.size") - F.col("x.rank"), F.col("y.size") - F.col("y.rank")) + 1) * (100 + percent) >= F.col("x.cost") + F.col("y.cost") - F.col("x.room"))
     )
     pairs = x.join(y, close).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
     return pairs.distinct()

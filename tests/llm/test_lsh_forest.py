@@ -4,7 +4,11 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
+import pytest
+
 from fitloom.llm.components import components
+from fitloom.llm import lsh_forest as L
 from fitloom.llm.lsh_forest import MISS, Forest, forest, near_duplicates
 from fitloom.llm.queries import QUERIES
 
@@ -16,7 +20,7 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4) if w else 0)}
 
 
-def brute(docs):
+def brute(docs, percent=85):
     sets = {d: shingles(t) for d, t in docs}
     root = {d: d for d in sets}
 
@@ -36,14 +40,14 @@ def brute(docs):
                 if (a, b) not in seen:
                     seen.add((a, b))
                     x = len(sets[a] & sets[b])
-                    if 100 * x >= 85 * (len(sets[a]) + len(sets[b]) - x):
+                    if 100 * x >= percent * (len(sets[a]) + len(sets[b]) - x):
                         p, q = sorted((find(a), find(b)))
                         root[q] = p
     return {d: (len(sets[d]), find(d)) for d in sets}
 
 
-def agree(got, docs):
-    want = brute(docs)
+def agree(got, docs, percent=85):
+    want = brute(docs, percent)
     for r in got:
         assert (r.n_shingles, r.component_id) == want[r.doc_id], r
         assert r.kept == (r.doc_id == r.component_id)
@@ -96,3 +100,48 @@ def test_forest_misses_no_more_at_any_threshold():
         f = forest(percent)
         assert (1 - (percent / 100) ** f.depth) ** f.trees <= MISS * (1 + 1e-6) and f.trees * f.depth <= f.hashes
     assert forest(100).trees >= 1
+
+
+def test_depth_adapts_to_dense_prefixes():
+    rng = np.random.default_rng(1)
+    rows = sorted((0, *(int(v) for v in rng.integers(0, 3, 9))) for _ in range(400)) + sorted((1, *(int(v) for v in rng.integers(0, 3, 9))) for _ in range(20))
+    paths = np.array(rows)[:, 1:]
+    region = np.array(rows)[:, 0]
+    new = np.concatenate(([True], region[1:] != region[:-1]))
+    got = L.deeper_firsts(new, paths, 0)
+    for i in range(len(rows)):
+        for depth in range(min(L.DEEPER, 9) + 1):
+            same = [j for j in range(len(rows)) if rows[j][: depth + 1] == rows[i][: depth + 1]]
+            if len(same) <= L.DENSE or depth == min(L.DEEPER, 9):
+                assert got[i] == same[0]
+                break
+    assert (got[400:] == 400).all()
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_a_dense_group_makes_few_candidates(spark, monkeypatch, percent):
+    """1,500 near copies, many of them too far from each other: candidates stay in proportion to the copies."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base = [word() for _ in range(70)]
+    common = word()
+    docs = []
+    for i in range(1500):
+        w = list(base)
+        w[30] = common  # a difference that all but the first share
+        for _ in range(rng.choice([0, 1, 2, 3, 4])):
+            w[rng.randrange(70)] = word()
+        docs.append((i, " ".join(w if i else base)))
+    seen = []
+    sharing = L._sharing
+
+    def counted(diffs, percent):
+        out = sharing(diffs, percent)
+        seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(L, "_sharing", counted)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = near_duplicates(frame, percent=percent).collect()
+    assert seen[0] < 7_500
+    agree(got, docs, percent)
