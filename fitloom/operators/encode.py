@@ -37,7 +37,7 @@ def one_hot_levels(df: DataFrame, cols: list[str]) -> dict[str, list]:
         for i, c in enumerate(named):
             values = sorted(r["v"] for r in rows if r["i"] == i)
             if len(values) > MAX_LEVELS or len(rows) > len(named) * MAX_LEVELS:
-                raise ValueError(f"{named} have more than {MAX_LEVELS} levels: index them with class_index")
+                raise ValueError(f"{named} have more than {MAX_LEVELS} levels: use level_index, which has no columns per level")
             levels[c] = values[1:]
     return {c: levels[c] for c in cols}
 

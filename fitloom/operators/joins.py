@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from fitloom.operators.rank import ordered_rank
 from fitloom.session import shared_dir
 
-SALTS = 8
+HOT_KEYS = 4096
 BROADCAST_BYTES = 32 << 20
 MAX_LOCAL_CLASSES = 100_000
 
@@ -25,21 +25,46 @@ def measured_bytes(table: DataFrame) -> int:
     return table.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
 
 
+def hot_keys(df: DataFrame, on: list[str]) -> DataFrame | None:
+    """(__hash, __salts) of the keys of ``df`` that hold more rows than an even share of a task, None if there are none.
+
+    One pass with a sketch of the frequent keys: at most ``HOT_KEYS`` of them, or as many as there are shuffle partitions, can
+    hold such a share. Each gets as many salts as its rows are shares.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = min(parts, HOT_KEYS)
+    hashed = df.select(F.xxhash64(*on).alias("__hash"))
+    row = hashed.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(__hash, {most}, {8 * most})").alias("top")).first()
+    share = max(row["n"] / parts, 1)
+    hot = [(r["item"], -int(-r["count"] // share)) for r in row["top"] or [] if r["count"] > share]
+    return spark.createDataFrame(hot, "__hash bigint, __salts int") if hot else None
+
+
 def attach_by_key(
     df: DataFrame, table: DataFrame, on: list[str], spread: list[str], how: str = "inner", limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Join a lookup table that has one row per key to a large, possibly skewed table.
 
     The lookup is computed once and measured. Up to ``limit`` bytes it is broadcast and
-    the large table stays where it is. Beyond, it is repeated per salt, so that the rows
-    of one hot key are split over ``SALTS`` tasks by their identity ``spread``.
+    the large table stays where it is. Beyond, both are shuffled on the key; the rows of a key that holds more than
+    a task's share are split by their identity ``spread`` into as many parts as it has shares, and
+    only the lookup rows of such keys are repeated, once per part.
     """
     table = kept(table)
     if measured_bytes(table) <= limit:
         return df.join(F.broadcast(table), on, how)
-    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
-    salted = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return df.withColumn("__salt", salt).join(salted, [*on, "__salt"], how).drop("__salt")
+    hot = hot_keys(df, on)
+    if hot is None:
+        return df.join(table, on, how)
+    salts = F.coalesce("__salts", F.lit(1))
+
+    def placed(rows):
+        return rows.withColumn("__hash", F.xxhash64(*on)).join(F.broadcast(hot), "__hash", "left")  # at most HOT_KEYS rows
+
+    split = placed(df).withColumn("__salt", F.pmod(F.xxhash64(*spread), salts).cast("int")).drop("__hash", "__salts")
+    salted = placed(table).withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("__hash", "__salts")
+    return split.join(salted, [*on, "__salt"], how).drop("__salt")
 
 
 def label_lookup(df: DataFrame, names: DataFrame, code: str, spread: list[str]) -> DataFrame:

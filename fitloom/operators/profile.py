@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import itertools
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -149,18 +150,47 @@ def null_count(df: DataFrame) -> DataFrame:
     return _long(row, [*records, everything])
 
 
+PIVOT_ROWS = 1000
+PAIR_CELLS = 1 << 20
+FLAT = 1e-13
+
+
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlation of all column pairs in long form, one pass, NaN if undefined."""
-    aggs, records = [], []
-    for i, j in itertools.combinations_with_replacement(range(len(cols)), 2):
-        a, b = known(F.col(f"`{cols[i]}`")), known(F.col(f"`{cols[j]}`"))
-        both = a.isNotNull() & b.isNotNull()
-        a, b = F.when(both, a), F.when(both, b)
-        spread = F.stddev_pop(a) * F.stddev_pop(b)
-        aggs.append(F.coalesce(F.try_divide(F.covar_pop(a, b), spread), F.lit(math.nan)).alias(f"c{i}_{j}"))
-        for x, y in {(i, j), (j, i)}:
-            records.append(F.struct(F.lit(cols[x]).alias("a"), F.lit(cols[y]).alias("b"), F.col(f"c{i}_{j}").alias("corr")))
-    return _long(df.agg(*aggs), records)
+    """Pearson correlation of all column pairs in long form (a, b, corr), over the rows that have both; NaN if undefined.
+
+    One pass: each task adds up matrix products of its rows and of the mask of known cells, and leaves one row per pair.
+    Values are taken from a pivot, a value of the column itself, so that large means do not
+    swallow small deviations. The plan grows with the columns, not with their pairs.
+    """
+    d = len(cols)
+    x = df.select(*[known(F.col(f"`{c}`")).alias(f"v{i}") for i, c in enumerate(cols)])
+    pivot = x.limit(PIVOT_ROWS).agg(*[F.first(c, ignorenulls=True).alias(c) for c in x.columns]).first()
+    pivot = [v if v is not None and math.isfinite(v) else 0.0 for v in pivot]
+    rows = x.select(F.array(*[F.col(c) - F.lit(v) for c, v in zip(x.columns, pivot)]).alias("v"))
+    i, j = np.triu_indices(d)
+
+    def run(batches):
+        sums = np.zeros((4, d, d))
+        for batch in batches:
+            flat = batch.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            for v in np.array_split(flat.reshape(-1, d), 1 + len(flat) // PAIR_CELLS):
+                mask = ~np.isnan(v)
+                v, m = np.where(mask, v, 0.0), mask.astype(np.float64)
+                sums += m.T @ m, v.T @ m, (v * v).T @ m, v.T @ v
+        n, s, q, p = sums
+        values = [n[i, j], s[i, j], s[j, i], q[i, j], q[j, i], p[i, j]]
+        yield pa.RecordBatch.from_arrays([pa.array(a) for a in (i.astype(np.int32), j.astype(np.int32), *values)], names=["i", "j", *names])
+
+    names = ["n", "x", "y", "xx", "yy", "xy"]
+    cells = rows.mapInArrow(run, "i int, j int, " + ", ".join(f"{c} double" for c in names))
+    cells = cells.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in names])
+    vx, vy = F.col("xx") - F.col("x") * F.col("x") / F.col("n"), F.col("yy") - F.col("y") * F.col("y") / F.col("n")
+    level = (vx <= F.col("xx") * FLAT) | (vy <= F.col("yy") * FLAT)  # rounding alone
+    corr = F.when((F.col("n") > 0) & ~level, (F.col("xy") - F.col("x") * F.col("y") / F.col("n")) / F.sqrt(vx * vy)).otherwise(F.lit(math.nan))
+    both = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))
+    of = F.array(*[F.lit(c) for c in cols])
+    pairs = cells.select(F.explode(both).alias("c"), corr.alias("corr"))
+    return pairs.select(F.element_at(of, F.col("c.i") + 1).alias("a"), F.element_at(of, F.col("c.j") + 1).alias("b"), "corr")
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:
@@ -221,14 +251,3 @@ def epoch_loss(df: DataFrame, epoch: Column, loss: str, per: float = 2000.0) ->
     return df.groupBy(epoch.alias("epoch")).agg(
         F.avg(loss).alias("mean_loss"), F.sum(loss).alias("sum_loss"), (F.sum(loss) / F.lit(per)).alias("scaled_loss")
     )
-
-
-def running_product(df: DataFrame, col: str, order: str, out: str = "product") -> DataFrame:
-    """Cumulative product of positive factors over a short, ordered table of steps."""
-    w = W.orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    return df.withColumn(out, F.exp(F.sum(F.ln(col)).over(w)))
-
-
-def shift_with_default(df: DataFrame, col: str, order: str, default: float, out: str = "previous") -> DataFrame:
-    """Value of the step before, ``default`` for the first step."""
-    return df.withColumn(out, F.lag(col, 1, default).over(W.orderBy(order)))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from fitloom.operators import encode, splits
+from fitloom.operators.levels import level_index
 from fitloom.plans.registry import LINE_IDS, entries, query, r6, rounded, sql_entries, sql_r6, sql_rank
 from fitloom.sources.readers import table
 
@@ -96,6 +97,41 @@ def one_hot_apply(spark, d):
     return encode.one_hot_apply(parts.where("split = 'holdout'").drop("split"), levels)
 
 
+_LEVEL_COLUMNS = ["o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"]
+
+
+def _sql_levels(fitted: str, applied: str) -> str:
+    """(o_orderkey, index) of the ones in ``applied`` under levels of ``fitted``; columns follow each other without their first level."""
+    ranks = " UNION ALL ".join(
+        f"SELECT {i} AS place, {c}::VARCHAR AS level, row_number() OVER (ORDER BY {c}) AS k FROM (SELECT DISTINCT {c} FROM ({fitted}))"
+        for i, c in enumerate(_LEVEL_COLUMNS)
+    )
+    cells = " UNION ALL ".join(f"SELECT o_orderkey, {i} AS place, {c}::VARCHAR AS level FROM ({applied})" for i, c in enumerate(_LEVEL_COLUMNS))
+    before = "(SELECT coalesce(sum(w), 0) FROM (SELECT place AS q, max(k) - 1 AS w FROM l GROUP BY place) WHERE q < l.place)"
+    return f"WITH l AS ({ranks}), c AS ({cells}) SELECT o_orderkey, (k - 2 + {before})::BIGINT AS index FROM c JOIN l USING (place, level) WHERE k > 1"
+
+
+_SQL_LEVEL_ROWS = _ranked("orders", "o_orderkey", cols=", ".join(_LEVEL_COLUMNS))
+
+
+@query("one_hot_index", _sql_levels("SELECT * FROM orders", "SELECT * FROM orders"))
+def one_hot_index(spark, d):
+    """A level for every customer and day: places of the ones, no column per level."""
+    orders = table(spark, d, "orders").select("o_orderkey", *_LEVEL_COLUMNS)
+    return level_index(orders, _LEVEL_COLUMNS).rows(orders, ["o_orderkey"])
+
+
+@query(
+    "one_hot_index_apply",
+    _sql_levels(f"SELECT * FROM ({_SQL_LEVEL_ROWS}) WHERE k > ceil(0.3::DOUBLE * n)", f"SELECT * FROM ({_SQL_LEVEL_ROWS}) WHERE k <= ceil(0.3::DOUBLE * n)"),
+)
+def one_hot_index_apply(spark, d):
+    """Levels of the training rows, applied to the others beyond the limit of a broadcast."""
+    parts = splits.holdout_split(table(spark, d, "orders").select("o_orderkey", *_LEVEL_COLUMNS), ["o_orderkey"], 0.3)
+    index = level_index(parts.where("split = 'train'"), _LEVEL_COLUMNS)
+    return index.rows(parts.where("split = 'holdout'"), ["o_orderkey"], limit=0)
+
+
 _SCALED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 

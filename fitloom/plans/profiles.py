@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from fitloom.functions.classes import price_class_name
-from fitloom.operators import distributions, profile
+from fitloom.operators import distributions, profile, scan
 from fitloom.plans.registry import EMB, SQL_PRICE_NAME, query, r6, rounded, sql_r6
 from fitloom.sources.readers import table
 
@@ -128,7 +128,7 @@ _SQL_DAILY = (
     f"SELECT day, {sql_r6('factor')} AS factor, {sql_r6('exp(sum(ln(factor)) OVER (ORDER BY day))')} AS product FROM ({_SQL_DAILY})",
 )
 def running_product(spark, d):
-    return rounded(profile.running_product(_daily(spark, d), "factor", "day"), "factor", "product")
+    return rounded(scan.running_product(_daily(spark, d), "factor", "day"), "factor", "product")
 
 
 @query(
@@ -136,4 +136,46 @@ def running_product(spark, d):
     f"SELECT day, {sql_r6('factor')} AS factor, {sql_r6('lag(factor, 1, 1.0) OVER (ORDER BY day)')} AS previous FROM ({_SQL_DAILY})",
 )
 def shift_with_default(spark, d):
-    return rounded(profile.shift_with_default(_daily(spark, d), "factor", "day", 1.0), "factor", "previous")
+    return rounded(scan.shift_with_default(_daily(spark, d), "factor", "day", 1.0), "factor", "previous")
+
+
+# Every event turns the sign or not and moves the product a little; the order is that of time, ties by number.
+_SQL_FACTORS = "SELECT event_id, ts, CASE WHEN event_id % 3 = 0 THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END * (1.0::DOUBLE + ((event_id % 7) - 3) / 1000.0::DOUBLE) AS factor FROM events"
+
+
+def _factors(spark, d):
+    sign = F.when(F.col("event_id") % 3 == 0, -1.0).otherwise(1.0)
+    return table(spark, d, "events").select("event_id", "ts", (sign * (F.lit(1.0) + (F.col("event_id") % 7 - 3) / F.lit(1000.0))).alias("factor"))
+
+
+@query(
+    "running_product_rows",
+    f"SELECT event_id, {sql_r6('exp(sum(ln(abs(factor))) OVER w) * CASE WHEN count(*) FILTER (factor < 0) OVER w % 2 = 1 THEN -1 ELSE 1 END')} AS product "
+    f"FROM ({_SQL_FACTORS}) WINDOW w AS (ORDER BY ts, event_id)",
+)
+def running_product_rows(spark, d):
+    return rounded(scan.running_product(_factors(spark, d), "factor", ["ts", "event_id"]).select("event_id", "product"), "product")
+
+
+@query("shift_rows", "SELECT event_id, lag(event_id, 1, -1) OVER (ORDER BY ts, event_id) AS previous FROM events")
+def shift_rows(spark, d):
+    events = table(spark, d, "events").select("event_id", "ts")
+    return scan.shift_with_default(events, "event_id", ["ts", "event_id"], -1).select("event_id", "previous")
+
+
+_MANY = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_suppkey", "l_partkey"]
+
+
+def _gappy(c: str) -> str:
+    return f"CASE WHEN (l_orderkey + l_linenumber) % {7 + _MANY.index(c)} <> 0 THEN {c}::DOUBLE END"
+
+
+@query(
+    "corr_matrix_gaps",
+    " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, {sql_r6(f'corr({_gappy(a)}, {_gappy(b)})')} AS corr FROM lineitem" for a in _MANY for b in _MANY),
+)
+def corr_matrix_gaps(spark, d):
+    """Cells are missing in every column, in other rows each; a pair is over the rows that have both."""
+    lines = table(spark, d, "lineitem")
+    cells = [F.when((F.col("l_orderkey") + F.col("l_linenumber")) % (7 + i) != 0, F.col(c).cast("double")).alias(c) for i, c in enumerate(_MANY)]
+    return rounded(profile.corr_matrix(lines.select(*cells), _MANY), "corr")

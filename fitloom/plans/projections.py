@@ -101,6 +101,14 @@ def label_lookup(spark, d):
     return joins.label_lookup(table(spark, d, "nation"), names, "n_regionkey", ["n_nationkey"]).select("n_nationkey", "n_name", "r_name")
 
 
+@query("label_lookup_hot", "SELECT l_orderkey, l_linenumber, count(*) OVER (PARTITION BY l_returnflag) AS lines FROM lineitem")
+def label_lookup_hot(spark, d):
+    """Three return flags share all rows: beyond the limit of a broadcast the hot keys are split by their counts."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    counts = lines.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("lines"))
+    return joins.attach_by_key(lines, counts, ["l_returnflag"], ["l_orderkey", "l_linenumber"], "left", limit=0).select("l_orderkey", "l_linenumber", "lines")
+
+
 @query("align_columns", "SELECT d.doc_id, lang, n_chars, quality, toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
 def align_columns(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")

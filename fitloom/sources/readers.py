@@ -5,12 +5,12 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructType
 
 from fitloom.functions.hashing import gaussian_vector
 from fitloom.operators.joins import attach_by_key, class_index
-from fitloom.operators.profile import running_product, shift_with_default
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -93,8 +93,10 @@ def noise_schedule(spark: SparkSession, steps: int, start: float = 1e-4, end: fl
     t = spark.range(steps).select(F.col("id").cast("int").alias("t"))
     beta = F.lit(start) + F.col("t") * F.lit((end - start) / max(steps - 1, 1))
     terms = t.withColumn("beta", beta).withColumn("alpha", F.lit(1.0) - F.col("beta"))
-    terms = running_product(terms, "alpha", "t", "alpha_bar")
-    terms = shift_with_default(terms, "alpha_bar", "t", 1.0, "alpha_bar_prev")
+    # ``steps`` rows made here; tables of any length go through operators.scan
+    upto = W.orderBy("t")
+    terms = terms.withColumn("alpha_bar", F.exp(F.sum(F.ln("alpha")).over(upto)))
+    terms = terms.withColumn("alpha_bar_prev", F.lag("alpha_bar", 1, 1.0).over(upto))
     rest = F.lit(1.0) - F.col("alpha_bar")
     return terms.withColumns({
         "sqrt_recip_alpha": F.sqrt(F.lit(1.0) / F.col("alpha")),

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fitloom.functions.classes import cast_numeric, price_class_code, price_class_name
-from fitloom.operators import encode, profile
+from fitloom.operators import encode, profile, scan
 
 
 def test_price_edges(spark):
@@ -112,8 +112,8 @@ def test_scaler_uses_population_deviation(spark):
 
 def test_running_product_and_shift(spark):
     df = spark.createDataFrame([(0, 0.5), (1, 0.25), (2, 1.0)], "t int, f double")
-    assert [r["product"] for r in profile.running_product(df, "f", "t").orderBy("t").collect()] == pytest.approx([0.5, 0.125, 0.125])
-    assert [r["previous"] for r in profile.shift_with_default(df, "f", "t", 1.0).orderBy("t").collect()] == [1.0, 0.5, 0.25]
+    assert [r["product"] for r in scan.running_product(df, "f", "t").orderBy("t").collect()] == pytest.approx([0.5, 0.125, 0.125])
+    assert [r["previous"] for r in scan.shift_with_default(df, "f", "t", 1.0).orderBy("t").collect()] == [1.0, 0.5, 0.25]
 
 
 def test_odd_column_names(spark):
