@@ -106,10 +106,10 @@ ERASE_AREA = (0.02, 0.33)
 ERASE_RATIO = (0.3, 3.3)
 
 
-def erase_box(row_id: Column, seed: int, h: int, w: int) -> Column:
-    """struct(top, left, eh, ew): the rectangle drawn for a row."""
+def erase_box(row_id: Column, seed: int, h: int | Column, w: int | Column) -> Column:
+    """struct(top, left, eh, ew): the rectangle drawn for a row; height and width may be columns."""
     lo, hi = ERASE_AREA
-    area = (uniform(row_id, "area", seed) * F.lit(hi - lo) + F.lit(lo)) * F.lit(float(h * w))
+    area = (uniform(row_id, "area", seed) * F.lit(hi - lo) + F.lit(lo)) * F.lit(h * w).cast("double")
     log_lo, log_hi = math.log(ERASE_RATIO[0]), math.log(ERASE_RATIO[1])
     ratio = F.exp(uniform(row_id, "ratio", seed) * F.lit(log_hi - log_lo) + F.lit(log_lo))
 

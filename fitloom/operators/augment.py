@@ -7,17 +7,23 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fitloom.functions.text import drop_words, misspell_words, replace_words
+from fitloom.functions.hashing import coin
+from fitloom.functions.text import MAX_LITERAL_WORDS, drop_words, misspell_words, replace_words
+from fitloom.operators.joins import attach_by_key
 from fitloom.operators.rank import find_cuts
 from fitloom.operators.splits import reset_index
 
 
 @dataclass(frozen=True)
 class WordEdits:
-    """Dictionaries given by the user, share of edited words and seed."""
+    """Dictionaries given by the user, share of edited words and seed.
 
-    synonyms: dict[str, str] = field(default_factory=dict)
-    antonyms: dict[str, str] = field(default_factory=dict)
+    A dictionary is a dict or a table (word, new) of any size with one row per word; a table, and a dict of
+    more words than one literal holds, is joined to the words and never becomes part of the plan.
+    """
+
+    synonyms: dict[str, str] | DataFrame = field(default_factory=dict)
+    antonyms: dict[str, str] | DataFrame = field(default_factory=dict)
     share: float = 0.3
     seed: int = 42
 
@@ -33,10 +39,50 @@ class WordEdits:
         raise ValueError(kind)
 
 
+    def joined(self, kind: str) -> dict | DataFrame | None:
+        """The dictionary of an edit that takes a join, else None."""
+        words = {"synonym": self.synonyms, "antonym": self.antonyms}.get(kind, {})
+        return words if isinstance(words, DataFrame) or len(words) > MAX_LITERAL_WORDS else None
+
+
+def replace_words_joined(df: DataFrame, text: str, row_id: str, words: dict | DataFrame, p: float, op: str, seed: int) -> DataFrame:
+    """``df`` with each word of ``text`` that is in the dictionary exchanged with probability ``p``, as ``replace_words`` does.
+
+    The words drawn for an exchange are joined to the dictionary and put back in their places. The join is by
+    ``attach_by_key``, so a frequent word is split over many tasks; a group of the second shuffle is one text. ``row_id``
+    is unique and not null. A null text stays null; words that are null or mapped to null stay.
+    """
+    if isinstance(words, dict):
+        words = df.sparkSession.createDataFrame(list(words.items()), "word string, new string")
+    table = words.select(F.col("word").alias("__word"), F.col("new").alias("__new")).where("__word is not null and __new is not null")
+    places = df.select(row_id, F.posexplode(F.split(text, " ")).alias("__pos", "__word"))
+    drawn = F.when(coin(p, F.col(row_id), F.col("__pos"), op, seed), F.col("__word"))
+    found = attach_by_key(places.withColumn("__old", F.col("__word")).withColumn("__word", drawn), table, ["__word"], [row_id, "__pos"], "left")
+    cell = F.struct("__pos", F.coalesce("__new", "__old").alias("w"))
+    whole = F.transform(F.array_sort(F.collect_list(cell)), lambda c: c["w"])
+    edited = found.groupBy(row_id).agg(F.array_join(whole, " ").alias("__text"))
+    return df.join(edited, row_id, "left").withColumn(text, F.col("__text")).select(*df.columns)
+
+
 def augmented(df: DataFrame, text: str, row_id: str, kind: str, edits: WordEdits) -> DataFrame:
     """One new row per row with the edited text; column ``edit`` names the kind."""
-    new = edits.edit(kind, F.col(text), F.col(row_id))
-    return df.withColumn(text, new).withColumn("edit", F.lit(kind))
+    return _edited(df.withColumn("edit", F.lit(kind)), text, row_id, [kind], edits)
+
+
+def _edited(df: DataFrame, text: str, row_id: str, kinds: list[str], edits: WordEdits) -> DataFrame:
+    """Rows whose ``edit`` is one of ``kinds`` with their texts edited; others stay. A row id occurs once per edit at most."""
+    new, parts = F.col(text), []
+    for kind in kinds:
+        words = edits.joined(kind)
+        if words is None:
+            new = F.when(F.col("edit") == kind, edits.edit(kind, F.col(text), F.col(row_id))).otherwise(new)
+        else:
+            parts.append(replace_words_joined(df.where(F.col("edit") == kind), text, row_id, words, edits.share, kind, edits.seed))
+    apart = [kind for kind in kinds if edits.joined(kind) is not None]
+    out = (df.where(~F.col("edit").isin(apart)) if apart else df).withColumn(text, new)
+    for part in parts:
+        out = out.unionByName(part)
+    return out
 
 
 # Which edits each class gets; the last class in the list is capped.
@@ -69,10 +115,7 @@ def _augment(df: DataFrame, text: str, row_id: str, label: str, edits: WordEdits
             here = F.col(label) == c
             here = here & within if c == CAPPED else here
             kinds = F.when(here, F.array(F.lit("none"), *[F.lit(x) for x in copies])).otherwise(kinds)
-    new = F.col(text)
-    for kind in sorted({x for copies in mix.values() for x in copies}):
-        new = F.when(F.col("edit") == kind, edits.edit(kind, F.col(text), F.col(row_id))).otherwise(new)
-    return df.withColumn("edit", F.explode(kinds)).withColumn(text, new)
+    return _edited(df.withColumn("edit", F.explode(kinds)), text, row_id, sorted({x for copies in mix.values() for x in copies}), edits)
 
 
 def augment_minority(df: DataFrame, text: str, row_id: str, label: str, edits: WordEdits, last_class_only: bool = False) -> DataFrame:

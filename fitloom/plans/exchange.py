@@ -12,7 +12,7 @@ from fitloom.operators.joins import kept
 from fitloom.plans.evaluation import SQL_EXPERIMENT, scored_configs
 from fitloom.plans.registry import EMB, SQL_PRICE_CODE, query, r6, rounded, sql_r6, sql_rank
 from fitloom.plans.vectors import _SQL_PX, images
-from fitloom.session import scratch_path, spread
+from fitloom.session import scratch_path
 from fitloom.sources import readers, writers
 from fitloom.sources.readers import table
 
@@ -32,12 +32,15 @@ def csv_scan(spark, d):
 
 @query(
     "labelled_folder_scan",
-    "SELECT 'source=' || source AS class_name, (row_number() OVER (ORDER BY 'source=' || source) - 1)::INTEGER AS class_idx FROM documents GROUP BY source",
+    "SELECT 'c' || label || '/' || vec_id || '.txt' AS file, 'c' || label AS class_name, (dense_rank() OVER (ORDER BY 'c' || label) - 1)::INTEGER AS class_idx FROM embeddings",
 )
 def labelled_folder_scan(spark, d):
-    path = scratch_path(spark, "sources")
-    table(spark, d, "documents").select("source", F.col("n_chars").cast("string").alias("value")).write.partitionBy("source").text(path)
-    return readers.labelled_folder_scan(spark, path, "part-*").select("class_name", "class_idx").distinct()
+    """Every vector as a file in the folder of its label; the scan gives each file once, with its class."""
+    path = scratch_path(spark, "labelled")
+    vectors = table(spark, d, "embeddings")
+    write_text_files(vectors.select("vec_id", F.concat(F.lit("c"), "label").alias("folder"), F.to_json("embedding").alias("text")), path)
+    found = readers.labelled_folder_scan(spark, path, "*.txt")
+    return found.select(F.concat_ws("/", F.slice(F.split("path", "/"), -2, 2)).alias("file"), "class_name", "class_idx")
 
 
 @query(
@@ -60,16 +63,40 @@ def _png(rgb: np.ndarray) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(lines)) + chunk(b"IEND", b"")
 
 
-def write_image_files(rows, path: str) -> None:
-    """One file per row of (vec_id, label, p): red p, green 255 - p, blue p // 2; class 3 is damaged."""
+def _files_below(path: str):
+    """(file system, root) of a folder given as a path or an address."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+
+
+def write_text_files(rows, path: str) -> None:
+    """A file ``<folder>/<vec_id>.txt`` per row."""
 
     def save(batches):
-        from pyarrow import fs
+        disk, root = _files_below(path)
+        for pdf in batches:
+            for folder in pdf["folder"].unique():
+                disk.create_dir(f"{root}/{folder}")
+            for vec_id, folder, text in zip(pdf["vec_id"], pdf["folder"], pdf["text"]):
+                with disk.open_output_stream(f"{root}/{folder}/{vec_id}.txt") as f:
+                    f.write(text.encode())
+            yield pdf[["vec_id"]]
+
+    rows.mapInPandas(save, "vec_id bigint").write.format("noop").mode("overwrite").save()
 
-        disk, root = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+
+def write_image_files(rows, path: str, shapes=((8, 8),)) -> None:
+    """One file per row of (vec_id, label, p): red p, green 255 - p, blue p // 2; class 3 is damaged.
+
+    Height and width go by the row's number through ``shapes``.
+    """
+
+    def save(batches):
+        disk, root = _files_below(path)
         for pdf in batches:
             for vec_id, label, p in zip(pdf["vec_id"], pdf["label"], pdf["p"]):
-                grey = np.asarray(p, np.uint8).reshape(8, 8)
+                grey = np.asarray(p, np.uint8).reshape(shapes[vec_id % len(shapes)])
                 data = b"no image" if label == 3 else _png(np.stack([grey, 255 - grey, grey // 2], axis=-1))
                 folder = f"{root}/{label}"
                 disk.create_dir(folder)
@@ -90,7 +117,7 @@ def write_image_files(rows, path: str) -> None:
 def image_decode_scan(spark, d):
     path = scratch_path(spark, "images")
     labels = table(spark, d, "embeddings").select("vec_id", "label")
-    write_image_files(spread(images(spark, d).join(labels, "vec_id")), path)
+    write_image_files(images(spark, d).join(labels, "vec_id"), path)
     seen = readers.decode_images(readers.read_images(spark, path))
 
     def plane(c):
@@ -100,11 +127,14 @@ def image_decode_scan(spark, d):
     return seen.select(name, "readable", "height", "width", plane(0).alias("red"), plane(1).alias("green"), plane(2).alias("blue"))
 
 
-@query("write_predictions_fixed", f"SELECT printf('%.6f', ({SQL_PRICE_CODE.format(x='o_totalprice')})::DOUBLE) AS value FROM orders")
+@query(
+    "write_predictions_fixed",
+    f"SELECT (row_number() OVER (ORDER BY o_orderkey) - 1)::BIGINT AS line, ({SQL_PRICE_CODE.format(x='o_totalprice')})::DOUBLE AS value FROM orders",
+)
 def write_predictions_fixed(spark, d):
     path = scratch_path(spark, "fixed")
-    writers.write_predictions_fixed(table(spark, d, "orders"), price_class_code(F.col("o_totalprice")), path)
-    return spark.read.text(path)
+    writers.write_predictions_fixed(table(spark, d, "orders"), price_class_code(F.col("o_totalprice")), path, ["o_orderkey"])
+    return writers.read_predictions_fixed(spark, path)
 
 
 @query("write_predictions_csv", "SELECT doc_id, 1 - toxic AS predicted FROM labels")
@@ -140,12 +170,17 @@ def write_experiment_report(spark, d):
 
 @query(
     "write_split_folders",
-    "SELECT lang, split, count(*) AS n, sum(n_chars)::BIGINT AS chars FROM (SELECT doc_id, n_chars, lang, CASE WHEN k <= round_even(n * 0.7::DOUBLE, 0) THEN 'train' "
+    "SELECT lang, split, count(*) AS n, sum(n_chars)::BIGINT AS chars, greatest(1, ceil(sum(strlen(text)) / 500000))::INTEGER AS files, "
+    "true AS bounded FROM (SELECT doc_id, n_chars, lang, text, CASE WHEN k <= round_even(n * 0.7::DOUBLE, 0) THEN 'train' "
     "WHEN k <= round_even(n * 0.7::DOUBLE, 0) + round_even(n * 0.2::DOUBLE, 0) THEN 'validate' ELSE 'test' END AS split FROM "
     f"(SELECT *, {sql_rank(42, 'doc_id', by='lang')} AS k, count(*) OVER (PARTITION BY lang) AS n FROM documents)) GROUP BY lang, split",
 )
 def write_split_folders(spark, d):
     path = scratch_path(spark, "splits")
     docs = splits.stratified_split(table(spark, d, "documents"), ["doc_id"], "lang")
-    writers.write_split_folders(docs, "split", "lang", path)
-    return spark.read.parquet(path).groupBy("lang", "split").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
+    plan = writers.write_split_folders(docs, "split", "lang", path, ["doc_id"], F.octet_length("text"), 500_000)
+    back = spark.read.parquet(path).select("lang", "split", "n_chars", F.input_file_name().alias("file")).groupBy("lang", "split").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"), F.countDistinct("file").alias("written")
+    )
+    both = back.join(plan.select("lang", "split", "files"), ["lang", "split"])
+    return both.select("lang", "split", "n", "chars", "files", (F.col("written") <= F.col("files")).alias("bounded"))

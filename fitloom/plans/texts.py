@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from fitloom.functions import text as tx
 from fitloom.operators import augment, splits, words
 from fitloom.plans.registry import SQL_RATING, query, rating, sql_key, sql_rank, sql_uniform
-from fitloom.session import spread
 from fitloom.sources.readers import table
 
 
@@ -44,7 +43,7 @@ def _sql_content(x: str) -> str:
 
 
 def _docs(spark, d):
-    return spread(table(spark, d, "documents").select("doc_id", "text", "lang"))
+    return table(spark, d, "documents").select("doc_id", "text", "lang")
 
 
 def _tokens(col="text"):
@@ -53,7 +52,7 @@ def _tokens(col="text"):
 
 @query("html_to_text", f"SELECT page_id, {_sql_html('html')} AS text FROM pages")
 def html_to_text(spark, d):
-    return spread(table(spark, d, "pages").select("page_id", "html")).select("page_id", tx.html_to_text(F.col("html")).alias("text"))
+    return table(spark, d, "pages").select("page_id", "html").select("page_id", tx.html_to_text(F.col("html")).alias("text"))
 
 
 @query("letters_only", f"SELECT doc_id, {_sql_letters('text')} AS text FROM documents")
@@ -79,7 +78,7 @@ def join_tokens(spark, d):
 
 @query("review_to_words", f"SELECT page_id, array_to_string({_sql_content(_sql_html('html'))}, ' ') AS words FROM pages")
 def review_to_words(spark, d):
-    return spread(table(spark, d, "pages").select("page_id", "html")).select("page_id", tx.review_to_words(F.col("html")).alias("words"))
+    return table(spark, d, "pages").select("page_id", "html").select("page_id", tx.review_to_words(F.col("html")).alias("words"))
 
 
 _SQL_HELD = f"SELECT *, {sql_rank(42, 'doc_id')} AS k, count(*) OVER () AS n FROM documents"
@@ -181,6 +180,28 @@ for _kind, _name in (("synonym", "synonym_augment"), ("antonym", "antonym_augmen
     )
 
 
+def _long_words(spark, d):
+    """A dictionary that grows with the documents: every word of four letters or more, and that word with a mark."""
+    words = table(spark, d, "documents").select(F.explode(F.split("text", " ")).alias("word")).where(F.length("word") >= 4).distinct()
+    return words.select("word", F.concat("word", F.lit("~")).alias("new"))
+
+
+def _sql_marked(op: str) -> str:
+    return f"array_to_string(list_transform(string_split(text, ' '), lambda w, i: CASE WHEN length(w) >= 4 AND {_sql_coin(op)} THEN w || '~' ELSE w END), ' ')"
+
+
+@query("synonym_augment_joined", f"SELECT doc_id, {_sql_marked('synonym')} AS text, 'synonym' AS edit FROM documents")
+def synonym_augment_joined(spark, d):
+    edits = augment.WordEdits(synonyms=_long_words(spark, d))
+    return augment.augmented(table(spark, d, "documents").select("doc_id", "text"), "text", "doc_id", "synonym", edits)
+
+
+@query("antonym_augment_joined", f"SELECT doc_id, {_sql_marked('antonym')} AS text, 'antonym' AS edit FROM documents")
+def antonym_augment_joined(spark, d):
+    edits = augment.WordEdits(antonyms=_long_words(spark, d))
+    return augment.augmented(table(spark, d, "documents").select("doc_id", "text"), "text", "doc_id", "antonym", edits)
+
+
 def _rated(spark, d):
     return _docs(spark, d).select("doc_id", "text", rating(F.col("lang")).alias("rating"))
 
@@ -209,3 +230,9 @@ def augment_minority(spark, d):
 @query("augment_full", _sql_augmented(augment.FULL_MIX))
 def augment_full(spark, d):
     return augment.augment_full(_rated(spark, d), "text", "doc_id", "rating", EDITS)
+
+
+@query("augment_minority_joined", _sql_augmented(augment.PLAIN_MIX).replace(_sql_edit("synonym"), _sql_marked("synonym")))
+def augment_minority_joined(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", "text", rating(F.col("lang")).alias("rating"))
+    return augment.augment_minority(rows, "text", "doc_id", "rating", augment.WordEdits(synonyms=_long_words(spark, d)))
