@@ -106,11 +106,11 @@ def mean_l1_vectors(df: DataFrame, ids: list[str], a: str, b: str, size: int, se
 def weighted_cross_entropy(df: DataFrame, ids: list[str], logits: str, label: str, weights: DataFrame | None = None) -> DataFrame:
     """Weighted and plain mean of -log softmax(logits)[label]; weights default to 1 / class count.
 
-    A label outside the logits has no loss and counts in neither sum.
+    A label outside the logits has no loss and counts in neither sum; a label without a weight counts in the plain mean alone.
     """
     rows = df.select(*ids, label, cross_entropy(F.col(logits), F.col(label)).alias("__ce"))
     w = weights if weights is not None else class_weights(df, label)
-    joined = attach_by_key(rows, w, [label], ids)
+    joined = attach_by_key(rows, w, [label], ids, "left")
     return joined.agg(
         (F.sum(F.col("__ce") * F.col("weight")) / F.sum(F.when(F.col("__ce").isNotNull(), F.col("weight")))).alias("weighted"), F.avg("__ce").alias("plain")
     )

@@ -22,8 +22,8 @@ BUCKETS = 16**DIGITS
 SMALL = 10_000
 
 
-def shuffled_rank(df: DataFrame, ids: list[str], seed: int, by: tuple[str, ...] = (), out: str = "rank") -> DataFrame:
-    """Add the 1-based rank of each row in seeded order, per class if ``by`` is given.
+def shuffled_rank(df: DataFrame, ids: list[str], seed: int, by: tuple[str, ...] = (), out: str = "rank", total: str | None = None) -> DataFrame:
+    """Add the 1-based rank of each row in seeded order, per class if ``by`` is given; as ``total`` the row count of the order.
 
     One shuffle of the data on (class, bucket); a class with a third of all rows is
     spread over all its buckets. The offsets are running sums over bucket counts.
@@ -36,7 +36,10 @@ def shuffled_rank(df: DataFrame, ids: list[str], seed: int, by: tuple[str, ...]
     before = W.partitionBy(*classes).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         df.groupBy(*place).count()
-        .select(*place, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"))
+        .select(
+            *place, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"),
+            *([F.sum("count").over(W.partitionBy(*classes)).alias(total)] if total else []),
+        )
     )
     if not by:
         offsets = F.broadcast(offsets)  # at most BUCKETS rows

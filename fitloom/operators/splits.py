@@ -117,13 +117,12 @@ def shuffle_rows(df: DataFrame, ids: list[str], seed: int = 42, epoch: int = 0,
 
 def assign_batches(df: DataFrame, ids: list[str], size: int, seed: int = 42, drop_last: bool = False, out: str = "batch") -> DataFrame:
     """Batch number in shuffled order; ``drop_last`` leaves out a short last batch."""
-    ranked = shuffled_rank(df, ids, seed, out="__rank")
+    ranked = shuffled_rank(df, ids, seed, out="__rank", total="__rows")
     batch = F.floor((F.col("__rank") - 1) / F.lit(size)).cast("bigint")
-    batched = ranked.withColumn(out, batch).drop("__rank")
+    batched = ranked.withColumn(out, batch)
     if drop_last:
-        full = df.count() // size
-        batched = batched.where(F.col(out) < full)
-    return batched
+        batched = batched.where((F.col(out) + 1) * size <= F.col("__rows"))
+    return batched.drop("__rank", "__rows")
 
 
 def first_batch(df: DataFrame, ids: list[str], size: int, seed: int = 42) -> DataFrame:

@@ -145,12 +145,12 @@ def mean_l1_vectors(spark, d):
 
 @query(
     "weighted_cross_entropy",
-    "WITH z AS (SELECT label, list_slice(v, 1, 10) AS z FROM (" + EMB + ")), w AS (SELECT label, 1.0::DOUBLE / count(*) AS w FROM z GROUP BY label), "
+    "WITH z AS (SELECT label, v AS z FROM (" + EMB + ")), w AS (SELECT label, 1.0::DOUBLE / count(*) AS w FROM z GROUP BY label), "
     "c AS (SELECT label, ln(list_sum(list_transform(z, lambda x: exp(x)))) - z[label + 1] AS ce FROM z) "
     f"SELECT {sql_r6('sum(ce * w) / sum(w)')} AS weighted, {sql_r6('avg(ce)')} AS plain FROM c JOIN w USING (label)",
 )
 def weighted_cross_entropy(spark, d):
-    emb = table(spark, d, "embeddings").select("vec_id", "label", F.slice(F.col("embedding").cast("array<double>"), 1, 10).alias("z"))
+    emb = table(spark, d, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("z"))
     return rounded(metrics.weighted_cross_entropy(emb, ["vec_id"], "z", "label"), "weighted", "plain")
 
 
@@ -170,7 +170,59 @@ def _halves(spark, d):
     return emb.where("label < 5"), emb.where("label >= 5")
 
 
-@query("frechet_distance")
+NEWTON_STEPS = 30
+
+
+def _sql_moments(groups: str) -> str:
+    """Tables mu (grp, n, i, m) and cov (grp, i, j, x) of the vectors of ``groups`` (grp, v)."""
+    return (
+        f"s AS ({groups}), r AS (SELECT grp, row_number() OVER () AS k, v FROM s), "
+        "b AS (SELECT grp, k, unnest(range(len(v))) AS i, unnest(v) AS x FROM r), "
+        "mu AS (SELECT grp, count(*) AS n, i, avg(x) AS m FROM b GROUP BY grp, i), "
+        "d AS (SELECT b.grp, k, b.i, x - m AS x, n FROM b JOIN mu ON b.grp = mu.grp AND b.i = mu.i), "
+        "cov AS MATERIALIZED (SELECT p.grp, p.i, q.i AS j, sum(p.x * q.x) / (any_value(p.n) - 1) AS x FROM d p JOIN d q ON p.grp = q.grp AND p.k = q.k GROUP BY ALL)"
+    )
+
+
+def _sql_product(a: str, b: str, value: str = "sum(a.x * b.x)") -> str:
+    return f"SELECT a.grp, a.i, b.j, {value} AS x FROM {a} a JOIN {b} b ON a.grp = b.grp AND a.j = b.i GROUP BY a.grp, a.i, b.j"
+
+
+def _sql_root_trace(pairs: str) -> str:
+    """Table root (grp, t): the trace of the square root of each matrix of ``pairs`` (grp, i, j, x), by Newton-Schulz steps.
+
+    y goes to the root and z to its inverse, of the matrix over its norm; every step is a product of relations.
+    """
+    parts = [
+        f"a AS MATERIALIZED ({pairs})", "norm AS (SELECT grp, sqrt(sum(x * x)) AS f FROM a GROUP BY grp)",
+        "y0 AS MATERIALIZED (SELECT a.grp, i, j, x / f AS x FROM a JOIN norm ON a.grp = norm.grp)",
+        "z0 AS MATERIALIZED (SELECT grp, i, j, CASE WHEN i = j THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS x FROM a)",
+    ]
+    step = "(CASE WHEN a.i = b.j THEN 1.5::DOUBLE ELSE 0.0::DOUBLE END) - 0.5::DOUBLE * sum(a.x * b.x)"
+    for k in range(NEWTON_STEPS):
+        parts.append(f"t{k} AS MATERIALIZED ({_sql_product(f'z{k}', f'y{k}', step)})")
+        parts.append(f"y{k + 1} AS MATERIALIZED ({_sql_product(f'y{k}', f't{k}')})")
+        if k < NEWTON_STEPS - 1:
+            parts.append(f"z{k + 1} AS MATERIALIZED ({_sql_product(f't{k}', f'z{k}')})")
+    parts.append(f"root AS (SELECT y.grp, sum(y.x) * sqrt(any_value(f)) AS t FROM y{NEWTON_STEPS} y JOIN norm ON y.grp = norm.grp WHERE i = j GROUP BY y.grp)")
+    return ", ".join(parts)
+
+
+def _sql_cov_product(where: str, grp: str) -> str:
+    return f"SELECT {grp} AS grp, a.i, b.j, sum(a.x * b.x) AS x FROM cov a JOIN cov b ON a.j = b.i WHERE {where} GROUP BY ALL"
+
+
+_SQL_HALVES = f"SELECT CASE WHEN label < 5 THEN 1 ELSE 2 END AS grp, v FROM ({EMB})"
+_SQL_CLASSES = f"SELECT label::VARCHAR AS grp, v FROM ({EMB}) UNION ALL SELECT '*', v FROM ({EMB})"
+_SQL_WHOLE = "(SELECT x FROM tr WHERE grp = '*')"
+
+
+@query(
+    "frechet_distance",
+    f"WITH {_sql_moments(_SQL_HALVES)}, {_sql_root_trace(_sql_cov_product('a.grp = 1 AND b.grp = 2', '1'))}, "
+    "g AS (SELECT sum((p.m - q.m) ** 2) AS gap, any_value(p.n) AS n1, any_value(q.n) AS n2 FROM mu p JOIN mu q ON p.i = q.i AND p.grp = 1 AND q.grp = 2) "
+    f"SELECT n1, n2, {sql_r6('gap + (SELECT sum(x) FROM cov WHERE i = j) - 2 * t')} AS distance FROM g, root",
+)
 def frechet_distance(spark, d):
     return rounded(distributions.frechet_distance(*_halves(spark, d), "embedding"), "distance")
 
@@ -185,6 +237,12 @@ def frechet_parts(spark, d):
     return rounded(distributions.frechet_parts(*_halves(spark, d), "embedding"), "mean_gap", "trace_1", "trace_2")
 
 
-@query("frechet_by_class")
+@query(
+    "frechet_by_class",
+    f"WITH {_sql_moments(_SQL_CLASSES)}, {_sql_root_trace(_sql_cov_product('''a.grp <> '*' AND b.grp = '*' ''', 'a.grp'))}, "
+    "g AS (SELECT p.grp, sum((p.m - q.m) ** 2) AS gap, any_value(p.n) AS n FROM mu p JOIN mu q ON p.i = q.i AND q.grp = '*' WHERE p.grp <> '*' GROUP BY p.grp), "
+    "tr AS (SELECT grp, sum(x) AS x FROM cov WHERE i = j GROUP BY grp) "
+    f"SELECT g.grp, n, {sql_r6(f'gap + tr.x + {_SQL_WHOLE} - 2 * t')} AS distance FROM g JOIN root ON g.grp = root.grp JOIN tr ON g.grp = tr.grp",
+)
 def frechet_by_class(spark, d):
     return rounded(distributions.frechet_by_class(table(spark, d, "embeddings"), "embedding", "label"), "distance")

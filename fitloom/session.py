@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "12g") -> SparkSession:
@@ -18,6 +18,7 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "12g") ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.scheduler.mode", "FAIR")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -44,23 +45,6 @@ def shared_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
-SPREAD_BYTES = 1 << 30
-PIECE_BYTES = 1 << 15
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly work on a small input.
-
-    A file with one row group is read by one task. Inputs below ``SPREAD_BYTES`` are dealt
-    out to all cores; larger ones come in enough pieces and stay where they are.
-    """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    if size > SPREAD_BYTES:
-        return df
-    return df.repartition(min(df.sparkSession.sparkContext.defaultParallelism, 1 + size // PIECE_BYTES))
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder; never reused, so nothing is overwritten."""
     return f"{shared_dir(spark)}/fitloom/{name}-{uuid.uuid4().hex}"

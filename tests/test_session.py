@@ -42,10 +42,3 @@ def test_a_folder_already_set_is_kept():
 def test_no_local_folder_on_a_cluster():
     with pytest.raises(ValueError):
         session.shared_dir(Fake("spark://host"))
-
-
-def test_spread_leaves_large_inputs(spark, monkeypatch):
-    df = spark.range(100)
-    assert session.spread(df).count() == 100
-    monkeypatch.setattr(session, "SPREAD_BYTES", 10)
-    assert session.spread(df) is df
