@@ -98,3 +98,46 @@ def test_best_window_against_brute_force():
                 if row[-1] >= least and (want is None or (row[-1], a - b, -a) > (want[0], want[1] - want[2], -want[1])):
                     want = (row[-1], a, b)
         assert L.best_window(words, template, least) == want
+
+
+def names(text):
+    return {L.licence(m[0]) for m in L.Matcher(L.TEMPLATES, L.COVERAGE).best(text.encode())}
+
+
+def test_sisters_are_told_apart():
+    for text, want in {
+        "This work is licensed under the GNU Lesser General Public License, version 3.": {"LGPL-3.0"},
+        "This work is licensed under the GNU Affero General Public License, version 3.": {"AGPL-3.0"},
+        "This work is licensed under the GNU General Public License, version 2.": {"GPL-2.0"},
+        "This work is licensed under the GNU General Public License, version 3.": {"GPL-3.0"},
+        "This work is licensed under the GNU Library General Public License, version 2.": set(),
+        L.TEMPLATES["GPL-3.0-text"].replace("version 3", "version 2"): {"GPL-2.0"},
+        "Licensed under CC BY 4.0.": {"CC-BY-4.0"},
+        "Licensed under CC BY-NC-ND 4.0.": {"CC-BY-NC-ND-4.0"},
+        "CC BY-NC-ND 4.0": set(),  # three quarters of the statement
+        "Licensed under CC BY-NC 3.0.": set(),
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.": {"CC-BY-NC-4.0"},
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.": {"CC-BY-NC-SA-4.0"},
+        "Released under the BSD License.": {"BSD"},
+        "Released under the Foo License.": set(),
+        "Available under the MIT License.": {"MIT"},
+        "Licensed under the Apache License, Version 1.1.": set(),
+        "Licensed under the Mozilla Public License, Version 2.0.": {"MPL-2.0"},
+        L.TEMPLATES["BSD-2-Clause-text"]: {"BSD-2-Clause"},
+        L.TEMPLATES["BSD-3-Clause-text"]: {"BSD-3-Clause"},
+        L.TEMPLATES["BSD-text"]: {"BSD"},
+        "Under the GNU Lesser General Public License version 3. This work is licensed under the GNU General Public License version 2.": {"GPL-2.0"},
+    }.items():
+        assert names(text) == want, text
+
+
+def test_every_template_is_found_alone():
+    for name, notice in L.TEMPLATES.items():
+        assert names(f"some words before {notice} and words after") == {L.licence(name)}, name
+
+
+def test_two_licences_in_one_text():
+    lines = [L.TEMPLATES[k] for k in ("MIT", "CC-BY-4.0", "CC-BY-NC-4.0", "GPL-3.0", "LGPL-3.0")]
+    assert names(" ".join(lines)) == {"MIT", "CC-BY-4.0", "CC-BY-NC-4.0", "GPL-3.0", "LGPL-3.0"}
+    matcher = L.Matcher({"b": "one two three", "a": "one two three"}, 0.8)
+    assert [m[0] for m in matcher.best(b"x one two three")] == ["a"]
