@@ -35,7 +35,7 @@ NOTHING, GOOD, BAD = 0, 1, 2
 FIGURES = ("signs", "capitals", "calls", "repeats", "abuse")
 HEURISTICS = (*FIGURES, "calm")
 LABELLERS = (*HEURISTICS, "rated")
-TRUST = (0.9, 0.9, 0.9, 0.9, 0.9, 0.75, 0.99)  # share of right votes that EM starts from
+TRUST = (0.9, 0.9, 0.9, 0.9, 0.9, 0.75, 0.99)  # share of right votes that EM starts from, and moves away from as the votes say
 
 
 def _hashes(texts: list[str]) -> np.ndarray:
@@ -123,31 +123,60 @@ def _levels(figures) -> np.ndarray:
 N_WEIGHTS = (1 << BUCKET_BITS) + STAT_LEVELS * len(FIGURES)
 
 
-def em(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray]:
+PSEUDO = 10.0
+SHARE = np.array([0.8, 0.2])
+
+
+def start(patterns: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Vote rates to start from: each labeller speaks as often as it does, for both classes, and is right as ``TRUST`` says."""
+    total = max(counts.sum(), 1.0)
+    rate = np.empty((patterns.shape[1], 2, 3))
+    for j, t in enumerate(TRUST[: patterns.shape[1]]):
+        said = min(max(float(counts[patterns[:, j] != NOTHING].sum()) / total, 1e-3), 1 - 1e-3)
+        rate[j] = [[1 - said, said * t, said * (1 - t)], [1 - said, said * (1 - t), said * t]]
+    return rate
+
+
+def _joint(patterns: np.ndarray, share: np.ndarray, rate: np.ndarray) -> np.ndarray:
+    """Log probability of each class together with each combination of votes; silence is a vote like others."""
+    log = np.log(share)[:, None] + np.zeros((2, len(patterns)))
+    for j in range(patterns.shape[1]):  # of heuristics alone, the columns of ratings are left out
+        log += np.log(rate[j][:, patterns[:, j]])
+    return log
+
+
+def likelihood(patterns: np.ndarray, counts: np.ndarray, share: np.ndarray, rate: np.ndarray, prior: np.ndarray) -> float:
+    """What every round of EM raises: the log likelihood of all votes, and of the ``PSEUDO`` documents that the start counts as."""
+    votes = float(counts @ np.logaddexp(*_joint(patterns, share, rate)))
+    return votes + PSEUDO * float((prior * np.log(rate)).sum() + (SHARE * np.log(share)).sum())
+
+
+def em(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500, tolerance: float = 1e-7) -> tuple[np.ndarray, np.ndarray]:
     """Class shares [2] and vote rates [labeller, class, vote] from combinations of votes and their counts.
 
-    A prior of a tenth of the documents holds each labeller near its ``TRUST``.
+    A labeller may also tell by its silence, so silence has its rates like the two votes. ``PSEUDO`` documents with the rates of the
+    start keep every rate above zero; they soon weigh nothing against the votes. Ends when no document's probability
+    moves by more than ``tolerance``, or after ``rounds``.
     """
-    share = np.array([0.8, 0.2])
-    rate = np.array([[[0.5, t / 2, (1 - t) / 2], [0.5, (1 - t) / 2, t / 2]] for t in TRUST])
-    prior = rate * max(1.0, counts.sum() / 10)
+    share, rate = SHARE.copy(), start(patterns, counts)
+    prior, post = rate.copy(), None
     for _ in range(rounds):
-        post = posterior(patterns, share, rate)
+        last, post = post, posterior(patterns, share, rate)
+        if last is not None and len(post) and np.abs(post - last).max() < tolerance:
+            break
         weight = np.stack((1 - post, post)) * counts
-        share = (weight.sum(axis=1) + [8, 2]) / (counts.sum() + 10)
+        share = (weight.sum(axis=1) + PSEUDO * SHARE) / (counts.sum() + PSEUDO)
+        rate = np.empty_like(prior)
         for j in range(patterns.shape[1]):
             for v in (NOTHING, GOOD, BAD):
-                rate[j, :, v] = (weight * (patterns[:, j] == v)).sum(axis=1) + prior[j, :, v]
-            rate[j] /= rate[j].sum(axis=1, keepdims=True)
+                rate[j, :, v] = (weight * (patterns[:, j] == v)).sum(axis=1) + PSEUDO * prior[j, :, v]
+        rate /= rate.sum(axis=2, keepdims=True)
     return share, rate
 
 
 def posterior(patterns: np.ndarray, share: np.ndarray, rate: np.ndarray) -> np.ndarray:
     """Probability of bad for each combination of votes."""
-    log = np.log(share)[:, None] + np.zeros((2, len(patterns)))
-    for j in range(patterns.shape[1]):  # of heuristics alone, the columns of ratings are left out
-        spoken = patterns[:, j] != NOTHING  # silence says nothing
-        log += np.where(spoken, np.log(rate[j][:, patterns[:, j]]), 0.0)
+    log = _joint(patterns, share, rate)
     return 1 / (1 + np.exp(np.clip(log[0] - log[1], -50, 50)))
 
 
@@ -175,20 +204,40 @@ def _voted(rows: DataFrame) -> DataFrame:
 
 
 def _features(rows: DataFrame) -> DataFrame:
-    """(code, rated, features) of the sampled rows."""
+    """(h, t, code, rated, features) of the sampled rows (h, t, text, rated)."""
 
     def run(batches):
         for batch in batches:
             codes, lists = [], []
-            for part, rows, buckets, figures in described(batch.column(0)):
+            for part, rows, buckets, figures in described(batch.column(2)):
                 codes += (votes(figures) @ _CODE).tolist()
                 bounds = np.searchsorted(rows, np.arange(len(part) + 1))
                 lists += [np.concatenate((buckets[a:b], s)) for a, b, s in zip(bounds, bounds[1:], _levels(figures))]
+            features = pa.array([x.tolist() for x in lists], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(codes, pa.int64()), batch.column(1), pa.array([x.tolist() for x in lists], pa.list_(pa.int32()))], names=["code", "rated", "features"]
+                [*batch.columns[:2], pa.array(codes, pa.int64()), batch.column(3), features], names=["h", "t", "code", "rated", "features"]
             )
 
-    return rows.select("text", "rated").mapInArrow(run, "code bigint, rated bigint, features array<int>")
+    return rows.select("h", "t", "text", "rated").mapInArrow(run, "h bigint, t bigint, code bigint, rated bigint, features array<int>")
+
+
+def _sample(rows: DataFrame, rated: DataFrame, any_rated: bool, sample_rows: int) -> DataFrame:
+    """(h, t, text, rated): rows whose id has one of the ``sample_rows`` smallest hashes, of the rated ones if any of ``rows`` is.
+
+    Ratings of other documents take no places, as ids are joined before they are chosen.
+    """
+    hashed = rows.select("id", "text", F.xxhash64("id").alias("h"))
+    ids = hashed.select("id", "h")
+    if any_rated:
+        ids = ids.join(rated, "id")
+    top = ids.select("h").distinct().orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
+    near = hashed.where(F.col("h") <= F.lit(top)) if top is not None else hashed.limit(0)
+    if any_rated:
+        own = ids.where(F.col("h") <= F.lit(top)).select("id", "rated").distinct()
+        near = near.join(F.broadcast(own), "id")  # at most sample_rows ids
+    else:
+        near = near.withColumn("rated", F.lit(NOTHING).cast("bigint"))
+    return near.withColumn("t", F.xxhash64("text"))
 
 
 def _pattern(code: np.ndarray, rated: np.ndarray) -> np.ndarray:
@@ -199,7 +248,7 @@ def fit(docs: DataFrame, ratings: DataFrame | None = None, doc_id: str = "doc_id
     """Labeller accuracies from all of ``docs``; scorer from a sample of at most ``sample_rows`` rows.
 
     ``ratings`` (id, bad as boolean) may cover any documents; of several for one id, bad wins. The
-    sample are the rated documents with the smallest hash of their id, or of all where none is rated.
+    sample are those of ``docs`` that are rated and have the smallest hash of their id, or of all where none is rated.
     """
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     if ratings is None:
@@ -210,14 +259,9 @@ def fit(docs: DataFrame, ratings: DataFrame | None = None, doc_id: str = "doc_id
     seen = _voted(rows).join(rated, "id", "left").groupBy("code", F.coalesce("rated", F.lit(NOTHING)).alias("rated")).count()
     seen = np.array([tuple(r) for r in seen.collect()], np.int64).reshape(-1, 3)  # at most 3 ** labellers rows
     share, rate = em(_pattern(seen[:, 0], seen[:, 1]), seen[:, 2].astype(float))
-    if (seen[:, 1] != NOTHING).any():
-        ids = F.broadcast(rated.orderBy(F.xxhash64("id"), "id").limit(sample_rows))
-        sample = rows.join(ids, "id")
-    else:
-        hashed = rows.withColumn("h", F.xxhash64("id"))
-        top = hashed.select("h").orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
-        sample = hashed.where(F.col("h") <= F.lit(top)).withColumn("rated", F.lit(NOTHING).cast("bigint"))
-    got = _features(sample).limit(2 * sample_rows).toArrow()  # repeated ids may give more rows than ids
+    sample = _sample(rows, rated, bool((seen[:, 1] != NOTHING).any()), sample_rows)
+    # repeated ids may give more rows than ids; the first of them by text are taken, so a fit is always the same
+    got = _features(sample).orderBy("h", "t", "code").limit(sample_rows).toArrow()
     if not got.num_rows:
         return Quality(share, rate, np.zeros(N_WEIGHTS, np.float32), float(np.log(share[1] / share[0])))
     target = posterior(_pattern(got["code"].to_numpy(), got["rated"].to_numpy()), share, rate)
