@@ -11,7 +11,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -26,7 +25,7 @@ HIDDEN = 128
 EPOCHS = 150
 TARGET = 0.95
 BLOCK_ROWS = 20_000
-QUERY_ROWS = 2000
+QUERY_ROWS = 500
 
 
 def graph(x: np.ndarray, k: int, block: int = 512) -> np.ndarray:
@@ -101,12 +100,14 @@ class Router:
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)
 
-    def routes(self, x: np.ndarray) -> list[np.ndarray]:
-        """Parts of each row, likeliest first, until their odds reach ``mass``."""
+    def routes(self, x: np.ndarray, held: np.ndarray, least: int) -> list[np.ndarray]:
+        """Parts of each row, likeliest first, until their odds reach ``mass`` and they hold ``least`` rows (``held``: rows per part)."""
         p = self.odds(x)
         order = np.argsort(-p, axis=1, kind="stable")
-        before = np.cumsum(np.take_along_axis(p, order, axis=1), axis=1) - np.take_along_axis(p, order, axis=1)
-        return [o[b < self.mass] for o, b in zip(order, before)]
+        odds, rows = np.take_along_axis(p, order, axis=1), held[order]
+        before, rows_before = np.cumsum(odds, axis=1) - odds, np.cumsum(rows, axis=1) - rows
+        go = (before < self.mass) | (rows_before < least)
+        return [o[g & (held[o] > 0)] for o, g in zip(order, go)]
 
 
 def fit(x: np.ndarray, parts: int = PARTS, target: float = TARGET, seed: int = 7) -> Router:
@@ -198,7 +199,8 @@ def search(
     The router is fitted on the ``sample_rows`` rows of smallest id hash; all rows are indexed. Rows of a part
     are dealt into blocks of about ``BLOCK_ROWS``, so many equal vectors are never one task's work.
     Null ids, null, zero and non-finite vectors and unusual lengths take no part; of rows with
-    one id one does. Fewer than ``k`` candidates give all that the probed parts hold.
+    one id one does. A query goes on to further parts until they hold ``k`` rows besides itself, so that it gets
+    fewer only where there are fewer candidates. Index rows are sent once, to their block; queries pass by each block of their parts.
     """
     rows = saved(usable(df, vec_id, vector), "vectors")
     shown = "query_id bigint, rank int, vec_id bigint, score double"
@@ -216,40 +218,61 @@ def search(
     index = saved(rows.mapInArrow(place, "part int, vec_id bigint, v array<double>"), "index")
     held = {r[0]: r[1] for r in index.groupBy("part").count().collect()}  # one row per part
     blocks = {p: 1 + (n - 1) // BLOCK_ROWS for p, n in held.items()}
+    counts = np.array([held.get(p, 0) for p in range(max(held) + 1)] if held else [0])
     asked = rows.where(F.pmod("vec_id", F.lit(every)) == 0)
-    chunks = 1 + (asked.count() - 1) // QUERY_ROWS if held else 1
 
     def route(batches):
         for batch in batches:
             if batch.num_rows:
                 at, part, block = [], [], []
-                for i, own in enumerate(router.value.routes(_matrix(batch.column(1)))):
+                x = _matrix(batch.column(1))
+                odds = router.value.odds(x[:1]).shape[1]
+                for i, own in enumerate(router.value.routes(x, np.pad(counts, (0, odds - len(counts))), k + 1)):
                     for p in own:
-                        n = blocks.get(int(p), 0)
+                        n = blocks[int(p)]
                         at += [i] * n
                         part += [int(p)] * n
                         block += range(n)
                 take = pa.array(at, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(part, pa.int32()), pa.array(block, pa.int32()), batch.column(0).take(take), batch.column(1).take(take)],
-                    names=["part", "block", "query_id", "v"],
+                    names=["part", "block", "vec_id", "v"],
                 )
 
     sizes = F.create_map(*[F.lit(x).cast("int") for p, n in blocks.items() for x in (p, n)])
     stored = index.withColumn("block", F.pmod(F.xxhash64("vec_id"), sizes[F.col("part")]).cast("int"))
-    stored = stored.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    routed = asked.mapInArrow(route, "part int, block int, query_id bigint, v array<double>")
-    routed = routed.withColumn("chunk", F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(chunks)).cast("int"))
-
-    def rank(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
-        own = right["query_id"].to_numpy()
-        got = nearest(left["vec_id"].to_numpy(), np.stack(left["v"]), own, np.stack(right["v"]), k)
-        sizes = [len(i) for i, _ in got]
-        return pd.DataFrame({"query_id": np.repeat(own, sizes), "vec_id": np.concatenate([i for i, _ in got]), "score": np.concatenate([s for _, s in got])})
-
-    key = ["part", "block", "chunk"]
-    found = stored.groupBy(*key).cogroup(routed.groupBy(*key)).applyInPandas(rank, "query_id bigint, vec_id bigint, score double")
+    routed = asked.mapInArrow(route, "part int, block int, vec_id bigint, v array<double>")
+
+    def rank(batches):
+        current, parts, own = None, [], None
+        for batch in batches:
+            place = np.stack([np.asarray(batch.column(c)) for c in ("part", "block")])
+            asks = batch.column("asked").to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((place[:, 1:] != place[:, :-1]).any(axis=0) | (asks[1:] != asks[:-1])) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(asks)]):
+                if lo == hi:
+                    continue
+                if current != tuple(place[:, lo]):
+                    current, parts, own = tuple(place[:, lo]), [], None
+                here = batch.slice(lo, hi - lo)
+                if not asks[lo]:
+                    parts.append(here)
+                    continue
+                if not parts:
+                    continue
+                if own is None:
+                    block = pa.Table.from_batches(parts)
+                    own = block["vec_id"].to_numpy(), _matrix(block["v"])
+                for at in range(0, here.num_rows, QUERY_ROWS):
+                    some = here.slice(at, QUERY_ROWS)
+                    ids = some.column("vec_id").to_numpy()
+                    got = nearest(*own, ids, _matrix(some.column("v")), k)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.repeat(ids, [len(i) for i, _ in got])), *(pa.array(np.concatenate(c)) for c in zip(*got))], names=["query_id", "vec_id", "score"]
+                    )
+
+    grid = stored.withColumn("asked", F.lit(False)).unionByName(routed.withColumn("asked", F.lit(True)))
+    grid = grid.repartition("part", "block").sortWithinPartitions("part", "block", "asked")
+    found = grid.mapInArrow(rank, "query_id bigint, vec_id bigint, score double")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -65,3 +65,26 @@ def test_ties_gaps_and_few_rows(spark):
     few = L.search(frame.where("vec_id in (0, 1, 20, 5000)")).collect()
     assert sorted((r.query_id, r.rank, r.vec_id) for r in few) == [(0, 1, 1), (0, 2, 20), (20, 1, 0), (20, 2, 1)]
     assert L.search(frame.limit(0)).count() == 0
+
+
+def test_recall_beyond_the_sample(spark):
+    """Ten times the rows that the router is fitted on; the share of rows that a query meets stays below all."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 24)) * 2
+    x = (centres[rng.integers(0, 40, 10_000)] + rng.normal(size=(10_000, 24))).astype(np.float32)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(8)
+    got = L.search(frame, every=100, sample_rows=1000).collect()
+    want = brute(np.arange(10_000), x.astype(float), every=100)
+    assert recall(got, want) >= 0.9 and all(sum(r.query_id == q for r in got) == 20 for q in want)
+    router = L.fit(x[:1000].astype(float))
+    stored = np.bincount(router.odds(x.astype(float)).argmax(axis=1), minlength=router.odds(x[:1].astype(float)).shape[1])
+    met = np.mean([stored[r].sum() for r in router.routes(x[:500].astype(float), stored, 21)]) / 10_000
+    assert met < 0.7
+
+
+def test_every_query_gets_its_rows():
+    rng = np.random.default_rng(4)
+    router = L.Router(1.0, rng.normal(size=(4, 8)), np.zeros(8), rng.normal(size=(8, 6)) * 5, np.zeros(6), 0.01)
+    held = np.array([0, 3, 5, 30, 2, 1])
+    for own in router.routes(rng.normal(size=(50, 4)), held, 21):
+        assert held[own].sum() >= 21 and (held[own] > 0).all()
