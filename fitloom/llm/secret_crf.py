@@ -267,21 +267,22 @@ def _windows(docs: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS, windows: int = TRAIN_WINDOWS) -> Field:
-    """Field fitted on ``windows`` windows of the ``sample_rows`` texts with the smallest hash of their id.
+    """Field fitted on ``windows`` different windows of the ``sample_rows`` texts with the smallest hash of their id.
 
-    Both bounds hold whatever the size of ``docs``; without any window the field finds nothing.
+    Equal windows are one, with their number as weight, so copies take no places. Both bounds hold whatever the size
+    of ``docs``; without any window the field finds nothing.
     """
     rows = docs.select(F.col(text).alias("text"), F.xxhash64(F.col(doc_id)).alias("h"))
     top = rows.select("h").orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
     if top is None:
         return Field.empty()
-    got = _windows(rows.where(F.col("h") <= top).select("text"))
-    got = got.orderBy(F.xxhash64("shape", "cue", "file")).limit(windows).collect()
+    got = _windows(rows.where(F.col("h") <= top).select("text")).groupBy("shape", "cue", "file", "tag").count()
+    got = got.orderBy(F.xxhash64("shape", "cue", "file", "tag"), "shape", "cue", "file", "tag").limit(windows).collect()
     return train(got)
 
 
 def train(rows, steps: int = STEPS, rate: float = 0.1) -> Field:
-    """Maximum likelihood with a quadratic penalty, by Adam on all windows at once."""
+    """Maximum likelihood with a quadratic penalty, by Adam on all windows at once, each as often as its ``count`` says."""
     field = Field.empty()
     if not rows:
         return field
@@ -294,9 +295,11 @@ def train(rows, steps: int = STEPS, rate: float = 0.1) -> Field:
         shape[i, :k], tag[i, :k], live[i, :k] = r["shape"], r["tag"], 1
         cues[i, : k + 3] = r["cue"]
     live = live.astype(float)
+    weight = np.array([r["count"] for r in rows], float)
+    weight /= weight.sum()
     moments = [(np.zeros_like(w), np.zeros_like(w)) for w in field.parts()]
     gold = np.eye(3)[tag] * live[..., None]
-    gold_step = np.einsum("nti,ntj->ij", gold[:, :-1], gold[:, 1:])
+    gold_step = np.einsum("n,nti,ntj->ij", weight, gold[:, :-1], gold[:, 1:])
     for turn in range(1, steps + 1):
         step, first = field.steps()
         score = field.scores(shape, cues, file)
@@ -313,14 +316,14 @@ def train(rows, steps: int = STEPS, rate: float = 0.1) -> Field:
             if t:
                 pair = forward[:, t - 1, :, None] + step + (score[:, t] + backward)[:, None, :]
                 on = live[:, t, None] > 0
-                steps_seen += (np.exp(pair - total[:, None, None]) * on[..., None]).sum(axis=0)
+                steps_seen += (np.exp(pair - total[:, None, None]) * on[..., None] * weight[:, None, None]).sum(axis=0)
                 backward = np.where(on, np.logaddexp.reduce(step + (score[:, t] + backward)[:, None, :], axis=2), backward)
-        error = (mass - gold) / n
+        error = (mass - gold) * weight[:, None, None]
         grads = [np.zeros_like(w) for w in field.parts()]
         for g, index in zip(grads[:4], (shape, cues[:, 1:-2], cues[:, :-3], cues[:, 3:])):
             np.add.at(g, index, error)
         np.add.at(grads[4], file[:, 0], error.sum(axis=1))
-        grads[5] += (steps_seen - gold_step) / n
+        grads[5] += steps_seen - gold_step
         grads[6] += error[:, 0].sum(axis=0)
         for w, g, (m, v) in zip(field.parts(), grads, moments):
             g = g + PENALTY * w / 10

@@ -82,3 +82,14 @@ def test_field_learns_and_rows_with_gaps(spark):
     assert clean[2].text is None and clean[1].text == "ümlaut  the token is [secret] here" and clean[4].text == texts[4]
     assert secret not in clean[5].text and clean[5].base == 1
     assert S.scan(frame.limit(0), S.fit(frame.limit(0))).count() == 0
+
+
+def test_copies_take_no_places(spark, monkeypatch):
+    docs = [(i, "some plain words here token = ABCDEFGHJKMNPQRSTUVWXYZ23456 and more") for i in range(3000)]
+    docs += [(5000 + i, f"other words stand {'here ' * i} password: abcdefgh{i}xyz then") for i in range(40)]
+    rows = []
+    monkeypatch.setattr(S, "train", lambda got: rows.extend(got) or S.Field.empty())
+    S.fit(spark.createDataFrame(docs, "doc_id long, text string"), windows=30)
+    counts = sorted(r["count"] for r in rows)
+    assert len(rows) == len({(tuple(r["shape"]), tuple(r["cue"]), r["file"]) for r in rows}) > 1
+    assert counts[-1] >= 3000 and counts[0] < 3000
