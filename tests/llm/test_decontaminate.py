@@ -1,9 +1,13 @@
 """Benchmark passages against a word-by-word comparison."""
 
 import hashlib
+import random
 import re
+import tracemalloc
 
-from fitloom.llm.decontaminate import find_leaks
+import pytest
+
+from fitloom.llm.decontaminate import build, find_leaks, normal, scan
 from fitloom.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -66,3 +70,40 @@ def test_query_against_brute_force(spark):
         assert (r.n_words, r.n_hit, r.n_items, r.contaminated) == (len(w), len(hit), len(found), bool(hit))
         assert r.items_sha256 == hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
     assert any(r.contaminated for r in got.values())
+
+
+@pytest.mark.parametrize("window", [1, 2, 3, 4, 5, 10])
+def test_chunks_lose_no_window(window):
+    rng = random.Random(window)
+    for _ in range(150):
+        items = [(str(i), " ".join(rng.choice("abc") for _ in range(rng.randrange(0, 14)))) for i in range(rng.randrange(1, 6))]
+        text = " ".join(rng.choice("abcd") for _ in range(rng.randrange(0, 40)))
+        n, hit, found, spans = scan(text.encode(), build(items, window))
+        assert (n, hit, found) == brute(text, items, window)
+        assert len(words(" ".join(text[s["start"] : s["stop"]] for s in spans))) == hit
+
+
+def test_megabytes_of_items_stay_small():
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(30_000)]
+    items = [(str(i), " ".join(rng.choices(vocabulary, k=120))) for i in range(3000)]
+    size = sum(len(t) for _, t in items)
+    tracemalloc.start()
+    automaton = build(items, 10)
+    assert tracemalloc.get_traced_memory()[1] < 60 * size  # while it is built; the automaton's own nodes come on top
+    tracemalloc.stop()
+    assert len(automaton.automaton) <= size / 5 and automaton.automaton.get_stats()["total_size"] < 40 * size
+    body = normal(items[7][1])
+    n, hit, found, _ = scan(b"x " + b" ".join(body[11:40]) + b" y", automaton)
+    assert (n, hit, found) == (31, 29, ["7"])
+
+
+def test_parts_give_the_same(spark):
+    rng = random.Random(5)
+    items = [(i, " ".join(rng.choice("abcde") for _ in range(rng.choice([0, 3, 8, 12, 25])))) for i in range(40)]
+    docs = [(i, " ".join(rng.choice("abcdef") for _ in range(rng.randrange(0, 120)))) for i in range(60)] + [(7, None), (None, "a b c")]
+    bench = spark.createDataFrame(items, "item_id int, text string")
+    frame = spark.createDataFrame([(a, b, 9, "z") for a, b in docs], "doc_id long, text string, n_words int, item string")
+    whole, parts = find_leaks(frame, bench, window=4).collect(), find_leaks(frame, bench, window=4, part_bytes=100)
+    assert parts.columns == ["doc_id", "item", "n_words", "n_hit", "items", "spans"]
+    assert sorted(map(str, whole)) == sorted(map(str, parts.collect())) and any(r.n_hit for r in whole)
