@@ -33,9 +33,9 @@ TOXIC = "idiot idiots moron morons stupid clown loser scum trash worthless pathe
 
 NOTHING, GOOD, BAD = 0, 1, 2
 FIGURES = ("signs", "capitals", "calls", "repeats", "abuse")
-HEURISTICS = (*FIGURES, "calm")
+HEURISTICS = FIGURES
 LABELLERS = (*HEURISTICS, "rated")
-TRUST = (0.9, 0.9, 0.9, 0.9, 0.9, 0.75, 0.99)  # share of right votes that EM starts from, and moves away from as the votes say
+TRUST = (0.9, 0.9, 0.9, 0.9, 0.9, 0.99)  # share of right votes that EM starts from, and moves away from as the votes say
 
 
 def _hashes(texts: list[str]) -> np.ndarray:
@@ -92,23 +92,19 @@ def votes(figures: dict[str, np.ndarray]) -> np.ndarray:
     """(rows, labellers): what each heuristic says; a document without words gets no votes.
 
     Bad documents have one fault of several, so the labeller of a fault keeps silent where it sees
-    none, and only ``calm`` votes good: where no figure is near its fault.
+    none; what silence tells is estimated with the votes.
     """
     n = figures["n"]
 
     def fault(x, least_words, bound):
         return np.where((n >= least_words) & (x >= bound), BAD, NOTHING)
 
-    calm = (figures["signs"] <= 0.005) & (figures["calls"] == 0) & (figures["abuse"] == 0)
-    calm &= (figures["capitals"] <= 0.2) | (n < 3)
-    calm &= (figures["repeats"] <= 0.6) | (n < 12)
     return np.stack([
         fault(figures["signs"], 1, 0.03),
         fault(figures["capitals"], 3, 0.4),
         fault(figures["calls"], 3, 0.2),
         fault(figures["repeats"], 12, 0.8),
         fault(figures["abuse"], 1, 1),
-        np.where((n > 0) & calm, GOOD, NOTHING),
     ], axis=1)
 
 
@@ -145,21 +141,33 @@ def _joint(patterns: np.ndarray, share: np.ndarray, rate: np.ndarray) -> np.ndar
     return log
 
 
+def strength(patterns: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """As how many documents each labeller's start counts: ``PSEUDO``, for the ratings as many as there are ratings.
+
+    Ratings say what is meant by bad; without this hold EM may take any other grouping of the votes for the classes.
+    """
+    out = np.full(patterns.shape[1], PSEUDO)
+    if len(out) == len(LABELLERS):
+        out[-1] = max(PSEUDO, float(counts[patterns[:, -1] != NOTHING].sum()))
+    return out
+
+
 def likelihood(patterns: np.ndarray, counts: np.ndarray, share: np.ndarray, rate: np.ndarray, prior: np.ndarray) -> float:
-    """What every round of EM raises: the log likelihood of all votes, and of the ``PSEUDO`` documents that the start counts as."""
+    """What every round of EM raises: the log likelihood of all votes, and of the documents that the start counts as."""
     votes = float(counts @ np.logaddexp(*_joint(patterns, share, rate)))
-    return votes + PSEUDO * float((prior * np.log(rate)).sum() + (SHARE * np.log(share)).sum())
+    held = strength(patterns, counts)[:, None, None] * prior * np.log(rate)
+    return votes + float(held.sum()) + PSEUDO * float((SHARE * np.log(share)).sum())
 
 
 def em(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500, tolerance: float = 1e-7) -> tuple[np.ndarray, np.ndarray]:
     """Class shares [2] and vote rates [labeller, class, vote] from combinations of votes and their counts.
 
-    A labeller may also tell by its silence, so silence has its rates like the two votes. ``PSEUDO`` documents with the rates of the
-    start keep every rate above zero; they soon weigh nothing against the votes. Ends when no document's probability
+    A labeller may also tell by its silence, so silence has its rates like the two votes. The start counts as some documents (``strength``),
+    which keeps every rate above zero and soon weighs nothing against the votes of heuristics. Ends when no document's probability
     moves by more than ``tolerance``, or after ``rounds``.
     """
     share, rate = SHARE.copy(), start(patterns, counts)
-    prior, post = rate.copy(), None
+    prior, post, hold = rate.copy(), None, strength(patterns, counts)
     for _ in range(rounds):
         last, post = post, posterior(patterns, share, rate)
         if last is not None and len(post) and np.abs(post - last).max() < tolerance:
@@ -169,7 +177,7 @@ def em(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500, tolerance: f
         rate = np.empty_like(prior)
         for j in range(patterns.shape[1]):
             for v in (NOTHING, GOOD, BAD):
-                rate[j, :, v] = (weight * (patterns[:, j] == v)).sum(axis=1) + PSEUDO * prior[j, :, v]
+                rate[j, :, v] = (weight * (patterns[:, j] == v)).sum(axis=1) + hold[j] * prior[j, :, v]
         rate /= rate.sum(axis=2, keepdims=True)
     return share, rate
 

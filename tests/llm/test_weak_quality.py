@@ -22,7 +22,7 @@ def test_em_recovers_rates():
     patterns, counts = np.unique(votes, axis=0, return_counts=True)
     share, rate = Q.em(patterns, counts.astype(float))
     assert abs(share[1] - 0.25) < 0.05
-    assert (np.diff(rate[:5, 1, Q.BAD]) > 0).all()  # the better labeller is seen as better
+    assert (np.diff(rate[:4, 1, Q.BAD]) > 0).all()  # the better labeller is seen as better
     assert ((Q.posterior(votes, share, rate) > 0.5) == bad).mean() > 0.95
 
 
@@ -42,11 +42,11 @@ def drawn(rng, n, share, labellers):
 
 
 CASES = {
-    "honest": [(0.8, 0.9)] * 7,
-    "silent rater": [(0.0, 0.5)] * 5 + [(0.9, 0.9), (1.0, 0.98)],
-    "rare and wrong": [(0.01, 0.11 + 0.02 * j) for j in range(5)] + [(0.9, 0.8), (1.0, 0.98)],
-    "all rare": [(0.02, 0.9)] * 7,
-    "one speaks": [(0.0, 0.5)] * 6 + [(1.0, 0.9)],
+    "honest": [(0.8, 0.9)] * 6,
+    "silent rater": [(0.0, 0.5)] * 4 + [(0.9, 0.9), (1.0, 0.98)],
+    "rare and wrong": [(0.01, 0.11 + 0.02 * j) for j in range(4)] + [(0.9, 0.8), (1.0, 0.98)],
+    "all rare": [(0.02, 0.9)] * 6,
+    "one speaks": [(0.0, 0.5)] * 5 + [(1.0, 0.9)],
 }
 
 
@@ -67,9 +67,9 @@ def test_bad_share_stays_and_wrong_labellers_are_seen():
         for rounds in (1, 20, 100, 500):
             share, rate = Q.em(patterns, counts, rounds)
             assert abs(share[1] - 0.2) < 0.02, (name, rounds)
-        assert rate[6, 1, Q.BAD] > 0.95 and rate[6, 0, Q.GOOD] > 0.95
+        assert rate[5, 1, Q.BAD] > 0.95 and rate[5, 0, Q.GOOD] > 0.95
         if name == "rare and wrong":
-            for j in range(5):
+            for j in range(4):
                 right = rate[j, 1, Q.BAD] / (rate[j, 1, Q.BAD] + rate[j, 1, Q.GOOD])
                 assert right < 0.35, j
 
@@ -78,10 +78,10 @@ def plain_em(votes, rounds):
     """The same steps over single documents, in plain Python."""
     n, m = len(votes), len(votes[0])
     patterns, counts = combined(np.array(votes))
-    prior = Q.start(patterns, counts).tolist()
+    prior, hold = Q.start(patterns, counts).tolist(), Q.strength(patterns, counts)
     share, rate = [0.8, 0.2], [[list(c) for c in r] for r in prior]
     for _ in range(rounds):
-        sums = [[[Q.PSEUDO * prior[j][c][v] for v in range(3)] for c in (0, 1)] for j in range(m)]
+        sums = [[[hold[j] * prior[j][c][v] for v in range(3)] for c in (0, 1)] for j in range(m)]
         total = [Q.PSEUDO * 0.8, Q.PSEUDO * 0.2]
         for row in votes:
             p = [share[c] * math.prod(rate[j][c][row[j]] for j in range(m)) for c in (0, 1)]
