@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from fitloom.llm import decontaminate, lsh_forest, packing, secret_crf, weak_quality
 from fitloom.llm.queries import ratings, tokenizer_path
 from fitloom.llm.store import saved
+from fitloom.operators.joins import attach_by_key
 from fitloom.sources.readers import table
 
 
@@ -51,9 +52,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     inner = saved(inner.withColumn("__row", F.monotonically_increasing_id()), "rows")
     found = lsh_forest.near_duplicates(inner.select("__row", "text"), doc_id="__row", percent=NEAR_PERCENT)
     places = found.select(F.col("doc_id").alias("__row"), "component_id").join(inner.select("__row", "doc_id"), "__row")
+    places = saved(places, "places")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("first")
-    kept = saved(places.groupBy("component_id").agg(first).select("first.__row"), "kept")
-    return _named(inner.join(kept, "__row", "left_semi"), names)
+    firsts = places.groupBy("component_id").agg(first).select("component_id", F.col("first.__row").alias("__first"))
+    others = attach_by_key(places, firsts, ["component_id"], ["__row"]).where("__row <> __first").select("__row", F.lit(True).alias("__copy"))
+    # the copies are few beside the rows: as long as they are small, the texts stay where they are
+    marked = attach_by_key(inner, others, ["__row"], ["__row"], "left")
+    return _named(marked.where("__copy is null"), names)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
