@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fitloom.llm.store import saved
-from fitloom.llm.words import LOWER, SAME, WHITE, Words, slices, split
+from fitloom.llm.words import LOWER, SAME, WHITE, Words, released, slices, split
 
 ORDER = 5
 BLOCK_BYTES = 32 << 20
@@ -183,7 +183,8 @@ def _tallied(order: int, buckets: int):
                 known.update((k, _text(words, i)) for k, i in zip(keys.tolist(), at.tolist()) if k not in known)
         if current is not None:
             yield from out(pieces(current, tallies, known))
-        pa.default_memory_pool().release_unused()  # the worker lives on
+        del tallies, known
+        released()
 
     return run
 
@@ -289,6 +290,8 @@ def _valued(batches):
             [part.column("block"), pa.array(np.full(part.num_rows, key[0], np.int32)), pa.array(keys, pa.binary()), pa.array(values, pa.binary())],
             names=["block", "kind", "keys", "values"],
         )
+    del held, looked
+    released()
 
 
 def _mask(order: int) -> int:
@@ -397,6 +400,8 @@ def _scored(order: int, train_tokens: int, kinds: int, ends: int):
                 low.append(sums + base(ends))
             columns = [np.concatenate(x) for x in (n_tokens, n_known, low, score)]
             yield pa.RecordBatch.from_arrays([docs.column("id"), docs.column("train"), *map(pa.array, columns)], names=names)
+        del held, looked
+        released()
 
     return run
 

@@ -6,6 +6,8 @@ level however many rows a batch has; one text larger than a slice is a slice of
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -145,3 +147,12 @@ def worded(
 ) -> Iterator[Words]:
     for part in slices(column, limit):
         yield split(*part, gaps, fold, kinds)
+
+
+def released() -> None:
+    """Give freed memory back to the system at the end of a task: the worker lives on and may stand idle beside others."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim is not None:
+        trim(0)
