@@ -7,7 +7,6 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fitloom.functions.classes import known

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from fitloom.functions.classes import price_class_code
 from fitloom.operators import distributions, metrics, splits
-from fitloom.plans.registry import EMB, SQL_PRICE_CODE, query, r6, rounded, sql_r6, sql_rank
+from fitloom.plans.registry import EMB, SQL_PRICE_CODE, query, rounded, sql_r6, sql_rank
 from fitloom.plans.vectors import SQL_NOISY, noisy_vectors
 from fitloom.sources.readers import table
 

@@ -10,7 +10,7 @@ from fitloom.functions.classes import price_class_code
 from fitloom.operators import metrics, splits
 from fitloom.operators.joins import kept
 from fitloom.plans.evaluation import SQL_EXPERIMENT, scored_configs
-from fitloom.plans.registry import EMB, SQL_PRICE_CODE, query, r6, rounded, sql_r6, sql_rank
+from fitloom.plans.registry import SQL_PRICE_CODE, query, rounded, sql_rank
 from fitloom.plans.vectors import _SQL_PX, images
 from fitloom.session import scratch_path
 from fitloom.sources import readers, writers

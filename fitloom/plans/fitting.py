@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fitloom.functions import text as tx
 from fitloom.functions.classes import price_class_code
-from fitloom.operators import encode, metrics, models, regression, splits, words
+from fitloom.operators import encode, models, regression, splits, words
 from fitloom.operators.joins import kept
 from fitloom.plans.registry import EMB, LINE_IDS, SQL_PRICE_CODE, SQL_RATING, entries, query, r6, rating, rounded, sql_r6, sql_rank
 from fitloom.session import scratch_path

@@ -1,10 +1,9 @@
 """Splits, shuffles, batches, encoding and scaling."""
 
-from pyspark.sql import functions as F
 
 from fitloom.operators import encode, splits
 from fitloom.operators.levels import level_index
-from fitloom.plans.registry import LINE_IDS, entries, query, r6, rounded, sql_entries, sql_r6, sql_rank
+from fitloom.plans.registry import LINE_IDS, entries, query, rounded, sql_entries, sql_r6, sql_rank
 from fitloom.sources.readers import table
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from fitloom.functions.classes import price_class_name
 from fitloom.operators import distributions, profile, scan
-from fitloom.plans.registry import EMB, SQL_PRICE_NAME, query, r6, rounded, sql_r6
+from fitloom.plans.registry import EMB, SQL_PRICE_NAME, query, rounded, sql_r6
 from fitloom.sources.readers import table
 
 NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from fitloom.functions.classes import cast_numeric, price_class_code, price_class_name
 from fitloom.operators import augment, encode, joins, profile, splits
-from fitloom.plans.registry import EMB, SQL_PRICE_CODE, SQL_PRICE_NAME, query, r6, sql_key, sql_rank
+from fitloom.plans.registry import EMB, SQL_PRICE_CODE, SQL_PRICE_NAME, query, sql_key, sql_rank
 from fitloom.sources.readers import table
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fitloom.functions import text as tx
 from fitloom.operators import augment, splits, words
-from fitloom.plans.registry import SQL_RATING, query, rating, sql_key, sql_rank, sql_uniform
+from fitloom.plans.registry import SQL_RATING, query, rating, sql_rank, sql_uniform
 from fitloom.sources.readers import table
 
 

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from fitloom.functions import pixels as px
 from fitloom.functions import vectors as vx
-from fitloom.functions.hashing import uniform
 from fitloom.operators import profile, sequences
 from fitloom.plans.registry import EMB, entries, query, r6, rounded, sql_entries, sql_gauss, sql_r6, sql_rank, sql_uniform
 from fitloom.sources.readers import gaussian_latents, noise_schedule, table
