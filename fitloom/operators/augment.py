@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,9 @@ from fitloom.operators.joins import attach_by_key
 from fitloom.operators.rank import find_cuts
 from fitloom.operators.splits import reset_index
 
+# Texts that a task unpacks at a time to put words back.
+PUT_ROWS = 500
+
 
 @dataclass(frozen=True)
 class WordEdits:
@@ -48,22 +53,46 @@ class WordEdits:
 def replace_words_joined(df: DataFrame, text: str, row_id: str, words: dict | DataFrame, p: float, op: str, seed: int) -> DataFrame:
     """``df`` with each word of ``text`` that is in the dictionary exchanged with probability ``p``, as ``replace_words`` does.
 
-    The words drawn for an exchange are joined to the dictionary and put back in their places. The join is by
-    ``attach_by_key``, so a frequent word is split over many tasks; a group of the second shuffle is one text. ``row_id``
+    Only the words drawn for an exchange leave their texts: they are joined to the dictionary by ``attach_by_key``, so a frequent
+    word is split over many tasks, and those found come back, as one list per text, to be put in their places. ``row_id``
     is unique and not null. A null text stays null; words that are null or mapped to null stay.
     """
     if isinstance(words, dict):
         words = df.sparkSession.createDataFrame(list(words.items()), "word string, new string")
     table = words.select(F.col("word").alias("__word"), F.col("new").alias("__new")).where("__word is not null and __new is not null")
     places = df.select(row_id, F.posexplode(F.split(text, " ")).alias("__pos", "__word"))
-    drawn = F.when(coin(p, F.col(row_id), F.col("__pos"), op, seed), F.col("__word"))
-    found = attach_by_key(places.withColumn("__old", F.col("__word")).withColumn("__word", drawn), table, ["__word"], [row_id, "__pos"], "left")
-    cell = F.struct("__pos", F.coalesce("__new", "__old").alias("w"))
-    whole = F.transform(F.array_sort(F.collect_list(cell)), lambda c: c["w"])
-    edited = found.groupBy(row_id).agg(F.array_join(whole, " ").alias("__text"))
+    drawn = places.where(coin(p, F.col(row_id), F.col("__pos"), op, seed))
+    found = attach_by_key(drawn, table, ["__word"], [row_id, "__pos"])
+    cells = found.groupBy(row_id).agg(F.collect_list(F.struct("__pos", "__word", "__new")).alias("__cells"))
+    whole = df.groupBy(row_id).agg(F.collect_list(text).alias("__texts")).where(F.size("__texts") > 0).join(cells, row_id, "left")
+    parts = whole.select(row_id, "__texts", *[F.col("__cells")[c].alias(c) for c in ("__pos", "__word", "__new")])
+    edited = parts.mapInArrow(_put_back, f"`{row_id}` {dict(df.dtypes)[row_id]}, __text string")
     return df.join(edited, row_id, "left").withColumn(text, F.col("__text")).select(*df.columns)
 
 
+def _put_back(batches):
+    """Task code: (row id, text) with the new words in the places of the old ones; texts of one id are laid together place by place."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, PUT_ROWS):
+            part = batch.slice(i, PUT_ROWS)
+            texts, cells = part.column(1).to_pylist(), [part.column(c) for c in range(2, 5)]
+            pos, new = cells[0].flatten().to_pylist(), cells[2].flatten().to_pylist()
+            ends = np.cumsum(np.nan_to_num(cells[0].value_lengths().to_numpy(zero_copy_only=False))).astype(np.int64).tolist()
+            out = []
+            for row, (t, lo, hi) in enumerate(zip(texts, [0, *ends], ends)):
+                at, now = pos[lo:hi], new[lo:hi]
+                if len(t) == 1 and len(set(at)) == len(at):
+                    places = t[0].split(" ")
+                    for k, word in zip(at, now):
+                        places[k] = word
+                    out.append(" ".join(places))
+                else:
+                    gone = set(zip(at, cells[1][row].as_py() or []))
+                    stay = [c for x in t for c in enumerate(x.split(" ")) if c not in gone]
+                    out.append(" ".join(word for _, word in sorted([*stay, *zip(at, now)])))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.string())], names=[part.schema.names[0], "__text"])
+
+
 def augmented(df: DataFrame, text: str, row_id: str, kind: str, edits: WordEdits) -> DataFrame:
     """One new row per row with the edited text; column ``edit`` names the kind."""
     return _edited(df.withColumn("edit", F.lit(kind)), text, row_id, [kind], edits)
