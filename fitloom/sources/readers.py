@@ -12,6 +12,8 @@ from pyspark.sql.types import ArrayType, DoubleType, StructType
 from fitloom.functions.hashing import gaussian_vector
 from fitloom.operators.joins import attach_by_key, class_index
 
+TASKS_A_CORE = 4
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -51,8 +53,12 @@ def with_class_index(df: DataFrame, col: str, ids: list[str], out: str = "class_
 
 
 def read_images(spark: SparkSession, root: str) -> DataFrame:
-    """All files below ``root`` as struct ``image``; what cannot be decoded has height -1."""
-    return spark.read.format("image").option("dropInvalid", "false").option("recursiveFileLookup", "true").load(root)
+    """All files below ``root`` as struct ``image``; what cannot be decoded has height -1.
+
+    Spark counts every small file as 4 MB and would start a task for some thirty of them; a few tasks a core read them all in turn.
+    """
+    files = spark.read.format("image").option("dropInvalid", "false").option("recursiveFileLookup", "true").load(root)
+    return files.coalesce(TASKS_A_CORE * spark.sparkContext.defaultParallelism)
 
 
 @F.pandas_udf(ArrayType(DoubleType()))
