@@ -70,6 +70,11 @@ def lower_tokenize(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), BLANKS), lambda x: x != "")
 
 
+def letter_tokens(text: Column) -> Column:
+    """``lower_tokenize(letters_only(text))`` at less cost: a run of other characters is one blank, and words are cut at plain blanks."""
+    return F.filter(F.split(F.lower(F.regexp_replace(text, "[^a-zA-Z]+", " ")), " "), lambda x: x != "")
+
+
 def remove_stopwords(tokens: Column, stop: list[str] = STOP_WORDS) -> Column:
     return F.filter(tokens, lambda x: ~x.isin(stop))
 
@@ -80,7 +85,7 @@ def join_tokens(tokens: Column) -> Column:
 
 def content_words(markup: Column, stop: list[str] = STOP_WORDS) -> Column:
     """Markup -> lower-case words without stop words, as an array."""
-    return remove_stopwords(lower_tokenize(letters_only(html_to_text(markup))), stop)
+    return remove_stopwords(letter_tokens(html_to_text(markup)), stop)
 
 
 def review_to_words(markup: Column, stop: list[str] = STOP_WORDS) -> Column:

@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 import numpy as np
 import pyarrow as pa
 from pyspark import inheritable_thread_target
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import HashingTF, NGram, VectorAssembler
 from pyspark.ml.functions import array_to_vector, predict_batch_udf
@@ -78,14 +78,23 @@ def fit_bow_classifier(df: DataFrame, tokens: Column, label: str, ids: list[str]
     return words, fit_weighted_classifier(counted, "features", label, ids, rounds=rounds)
 
 
+def _pair_stages(tokens: str, buckets: int) -> list[Transformer]:
+    return [NGram(n=2, inputCol=tokens, outputCol="__pairs"), HashingTF(inputCol="__pairs", outputCol="features", numFeatures=buckets)]
+
+
+def with_word_pairs(df: DataFrame, tokens: str, buckets: int = 1 << 18) -> DataFrame:
+    """Counts of hashed word pairs as ``features``, the form that ``fit_text_linear`` fits on."""
+    return PipelineModel(_pair_stages(tokens, buckets)).transform(df).drop("__pairs")
+
+
 def fit_text_linear(df: DataFrame, tokens: str, label: str, buckets: int = 1 << 18, rounds: int = 50) -> PipelineModel:
-    """Linear model over hashed word pairs."""
-    stages = [
-        NGram(n=2, inputCol=tokens, outputCol="__pairs"),
-        HashingTF(inputCol="__pairs", outputCol="features", numFeatures=buckets),
-        LogisticRegression(labelCol=label, maxIter=rounds, family="multinomial"),
-    ]
-    return _fit_kept(Pipeline(stages=stages), df.select(tokens, label))
+    """Linear model over hashed word pairs.
+
+    The pairs are counted once, not in every pass of the fit; not at all where ``df`` has them as ``features``.
+    """
+    counted = df if "features" in df.columns else with_word_pairs(df.select(tokens, label), tokens, buckets)
+    linear = _fit_kept(LogisticRegression(labelCol=label, maxIter=rounds, family="multinomial"), counted.select("features", label))
+    return PipelineModel([*_pair_stages(tokens, buckets), linear])
 
 
 def _side_by_side(spark: SparkSession, jobs: list[Callable], at_once: int) -> list:

@@ -171,9 +171,10 @@ def fit_weighted_classifier(spark, d):
 
 
 def _rated_tokens(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "lang", "text").repartition("doc_id")
+    # a number is given, so that the costly steps after it keep that many tasks
+    docs = table(spark, d, "documents").select("doc_id", "lang", "text").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id")
     tokens = docs.select("doc_id", rating(F.col("lang")).alias("label"), tx.content_words(F.col("text")).alias("tokens"))
-    return kept(splits.holdout_split(tokens, ["doc_id"], 0.15))
+    return splits.holdout_split(tokens, ["doc_id"], 0.15)
 
 
 _SQL_RATED = f"SELECT split, ({SQL_RATING}) AS label FROM ({_sql_split('documents', ['doc_id'], 0.15, 'doc_id, lang')})"
@@ -181,7 +182,7 @@ _SQL_RATED = f"SELECT split, ({SQL_RATING}) AS label FROM ({_sql_split('document
 
 @query("fit_bow_classifier", _sql_majority(_SQL_RATED))
 def fit_bow_classifier(spark, d):
-    rows = _rated_tokens(spark, d)
+    rows = kept(_rated_tokens(spark, d))
     vocab, model = models.fit_bow_classifier(rows.where("split = 'train'"), F.col("tokens"), "label", ["doc_id"], rounds=20)
     scored = model.transform(words.bow_vector(rows, F.col("tokens"), vocab, "features"))
     return _beats(scored, F.col("label"), F.col("prediction"))
@@ -189,9 +190,10 @@ def fit_bow_classifier(spark, d):
 
 @query("fit_text_linear", _sql_majority(_SQL_RATED))
 def fit_text_linear(spark, d):
-    rows = _rated_tokens(spark, d)
-    model = models.fit_text_linear(rows.where("split = 'train'"), "tokens", "label", buckets=1 << 14, rounds=20)
-    return _beats(model.transform(rows), F.col("label"), F.col("prediction"))
+    buckets = 1 << 14
+    rows = kept(models.with_word_pairs(_rated_tokens(spark, d), "tokens", buckets).drop("tokens"))  # for the fit and the scores
+    model = models.fit_text_linear(rows.where("split = 'train'"), "tokens", "label", buckets=buckets, rounds=20)
+    return _beats(model.stages[-1].transform(rows), F.col("label"), F.col("prediction"))
 
 
 SWEEP = {"8": (8,), "16": (16,), "8-8": (8, 8)}
