@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -37,11 +38,13 @@ def bow_vector(df: DataFrame, tokens: Column, words: list[str], out: str = "coun
 def bow_counts(df: DataFrame, tokens: Column, words: list[str], ids: list[str]) -> DataFrame:
     """(ids, idx, n) for every vocabulary word that occurs in a row; unknown words are skipped.
 
-    Each word is looked up in its row and counts are combined before the shuffle, so only
-    occurring words are ever written; ``ids`` must name a row.
+    The vocabulary is broadcast, so each word is looked up where it stands, and counts are combined before the shuffle:
+    only occurring words are ever written; ``ids`` must name a row.
     """
-    lookup = hashed_lookup({w: i for i, w in enumerate(words)}, "int")
-    each = df.select(*ids, F.explode_outer(F.transform(tokens, lookup)).alias("idx")).where(F.col("idx").isNotNull())
+    places = {w: i for i, w in enumerate(words)}
+    cells = pa.table({"__word": pa.array(places.keys(), pa.string()), "idx": pa.array(places.values(), pa.int32())})
+    vocab = df.sparkSession.createDataFrame(cells)
+    each = df.select(*ids, F.explode_outer(tokens).alias("__word")).join(F.broadcast(vocab), "__word")
     return each.groupBy(*ids, "idx").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -50,6 +50,10 @@ def _tokens(col="text"):
     return tx.lower_tokenize(tx.letters_only(F.col(col)))
 
 
+def _content(col="text"):
+    return tx.remove_stopwords(tx.batch_letter_tokens(F.col(col)))
+
+
 @query("html_to_text", f"SELECT page_id, {_sql_html('html')} AS text FROM pages")
 def html_to_text(spark, d):
     return table(spark, d, "pages").select("page_id", "html").select("page_id", tx.html_to_text(F.col("html")).alias("text"))
@@ -93,7 +97,7 @@ def _sql_vocab(source: str, size: int = 1000) -> str:
 
 @query("bow_vocabulary", _sql_vocab("SELECT text FROM documents"))
 def bow_vocabulary(spark, d):
-    return words.bow_vocabulary(_docs(spark, d), tx.remove_stopwords(_tokens()))
+    return words.bow_vocabulary(_docs(spark, d), _content())
 
 
 def _sql_counts(vocab_of: str, counted: str) -> str:
@@ -105,7 +109,7 @@ def _sql_counts(vocab_of: str, counted: str) -> str:
 
 @query("bow_counts", _sql_counts("SELECT text FROM documents", "SELECT doc_id, text FROM documents"))
 def bow_counts(spark, d):
-    tokens = tx.remove_stopwords(_tokens())
+    tokens = _content()
     vocab = words.vocabulary_words(words.bow_vocabulary(_docs(spark, d), tokens))
     return words.bow_counts(_docs(spark, d), tokens, vocab, ["doc_id"])
 
@@ -115,7 +119,7 @@ def bow_counts(spark, d):
     _sql_counts(f"SELECT text FROM ({_SQL_HELD}) WHERE k > ceil(0.3::DOUBLE * n)", f"SELECT doc_id, text FROM ({_SQL_HELD}) WHERE k <= ceil(0.3::DOUBLE * n)"),
 )
 def bow_apply(spark, d):
-    tokens = tx.remove_stopwords(_tokens())
+    tokens = _content()
     parts = splits.holdout_split(_docs(spark, d), ["doc_id"], 0.3)
     vocab = words.vocabulary_words(words.bow_vocabulary(parts.where("split = 'train'"), tokens))
     return words.bow_counts(parts.where("split = 'holdout'"), tokens, vocab, ["doc_id"])
@@ -137,7 +141,7 @@ def label_prefix_format(spark, d):
     "array_to_string(list_concat(list_transform(ids, lambda x: 1), list_transform(range(64 - len(ids)), lambda x: 0)), ' ') AS attention_mask FROM a",
 )
 def tokenize_pad_truncate(spark, d):
-    tokens = tx.remove_stopwords(_tokens())
+    tokens = _content()
     vocab = words.bow_vocabulary(_docs(spark, d), tokens)
     coded = words.tokenize_pad_truncate(_docs(spark, d), tokens, vocab, 64, ["doc_id"])
     return coded.select("doc_id", F.array_join("input_ids", " ").alias("input_ids"), F.array_join("attention_mask", " ").alias("attention_mask"))
