@@ -93,7 +93,7 @@ class Tally:
     def _summed(keys, weights):
         if not len(keys):
             return keys, weights
-        at = np.argsort(keys)
+        at = np.argsort(keys, kind="stable")  # they come as sorted runs, which this only merges
         keys, weights = keys[at], weights[at]
         first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         return keys[first], np.add.reduceat(weights, first)
@@ -111,9 +111,11 @@ class Lookup:
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.shift = np.uint64(64 - max(8, len(keys).bit_length()))
         at = self._place(keys)
-        order = np.argsort(at, kind="stable")
+        order = np.argsort(at)
         self.keys, self.values = keys[order], values[order]
-        self.first = np.searchsorted(at[order], np.arange(1 << (64 - int(self.shift))))
+        self.first = np.cumsum(np.bincount(at, minlength=1 << (64 - int(self.shift)))) - 1
+        self.first[1:] = self.first[:-1] + 1
+        self.first[0] = 0
 
     def _place(self, keys: np.ndarray) -> np.ndarray:
         return (spread(keys) >> self.shift).astype(np.int64)
@@ -151,7 +153,7 @@ def _tallied(order: int, buckets: int):
         for kind, tally in ((GRAM, tallies[0]), (WORD, tallies[1])):
             keys, n = tally.total()
             bucket = buckets_of(keys, buckets)
-            order = np.lexsort((keys, bucket))
+            order = np.argsort(bucket.astype(np.uint16), kind="stable")  # by counting; keys are in order already
             keys, n, bucket = keys[order], n[order].astype(np.int32), bucket[order]
             edges = np.concatenate((np.searchsorted(bucket, np.arange(buckets)), [len(keys)]))
             for b in range(buckets):
