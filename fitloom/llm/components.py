@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fitloom.llm.store import saved
+from fitloom.llm.words import tidy
 
 LOCAL_LINKS = 500_000
 
@@ -15,6 +16,7 @@ def _state(edges: DataFrame):
     return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
 
 
+@tidy
 def _merged(batches):
     """(node, root) of all links of a task."""
     parent: dict[int, int] = {}

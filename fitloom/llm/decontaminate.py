@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from fitloom.llm.store import saved
 from fitloom.llm.words import mix
 from fitloom.llm.words import numbers as hash_numbers
+from fitloom.llm.words import tidy
 
 WINDOW = 10
 PART_BYTES = 8 << 20
@@ -140,6 +141,7 @@ def _scanned(docs: DataFrame, items: list[tuple[str, str | None]], text: str, ke
     shared = spark.sparkContext.broadcast(items)
     names = ["n_words", "n_hit", "items", "spans"]
 
+    @tidy
     def run(batches):
         automaton = build(shared.value, window)
         for batch in batches:
@@ -198,6 +200,7 @@ def _united(rows: DataFrame, names: dict[str, str]) -> DataFrame:
     spark = rows.sparkSession
     results = ["n_words", "n_hit", "items", "spans"]
 
+    @tidy
     def run(batches):
         for batch in batches:
             out = []

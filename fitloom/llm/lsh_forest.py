@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from fitloom.llm.components import components
 from fitloom.llm.store import saved
-from fitloom.llm.words import LOWER, WHITE, mix, numbers, worded
+from fitloom.llm.words import LOWER, WHITE, mix, numbers, tidy, worded
 
 SHINGLE = 5
 PERCENT = 85
@@ -91,6 +91,7 @@ def least_agreement(percent: int, shape: Forest) -> int:
 def profiles(docs: DataFrame, hashes: int) -> DataFrame:
     """(id, n, digest, sketch) per row of ``docs`` (id, text); digest and sketch are null without words."""
 
+    @tidy
     def run(batches):
         factor, shift = numbers(21, hashes)[:, None] | np.uint64(1), numbers(22, hashes)[:, None]
         for batch in batches:
@@ -110,6 +111,7 @@ def profiles(docs: DataFrame, hashes: int) -> DataFrame:
 def _entries(classes: DataFrame, shape: Forest) -> DataFrame:
     """(region, tree, rep) of each class in each tree; the region is a hash of the tree and the prefix."""
 
+    @tidy
     def run(batches):
         for batch in batches:
             reps = np.asarray(batch.column(0))
@@ -157,6 +159,7 @@ def _neighbours(members: DataFrame, shape: Forest, least: int, parts: int) -> Da
     inner = members.select("region", order.alias("path"), "tree", "rep", "n", "sketch")
     keys = ["region", "path", "rep"]
 
+    @tidy
     def run(batches):
         regions, reps = np.zeros(0, np.int64), np.zeros(0, np.int64)
         sketches = paths = np.zeros((0, shape.hashes), ">u4")
@@ -204,6 +207,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     left = texts.select(F.col("rep").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("rep").alias("b"), F.col("text").alias("tb"))
 
+    @tidy
     def run(batches):
         for batch in batches:
             keep = []
@@ -232,6 +236,7 @@ def _differences(groups: DataFrame, texts: DataFrame, percent: int) -> DataFrame
     towards sets linked with the pivot. A row without element says that the set is linked with the pivot.
     """
 
+    @tidy
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):

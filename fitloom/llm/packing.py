@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fitloom.llm.words import LOWER, WHITE, worded
+from fitloom.llm.words import LOWER, WHITE, tidy, worded
 
 CAPACITY = 2048
 MAX_OPEN = 1024
@@ -187,6 +187,7 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
     inner = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
+    @tidy
     def run(batches):
         number = TaskContext.get().partitionId() * TASK_SEQUENCES
         rows: list[tuple] = []

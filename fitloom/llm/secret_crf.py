@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fitloom.llm.words import Words, worded
+from fitloom.llm.words import Words, tidy, worded
 
 SAMPLE_ROWS = 20_000
 TRAIN_WINDOWS = 2_000
@@ -230,6 +230,7 @@ def find(data: bytes, shape, start, stop, field: Field, hopeful: np.ndarray) ->
 def _windows(docs: DataFrame) -> DataFrame:
     """Labelled windows: around each pattern span, and one in about every eighth text without any."""
 
+    @tidy
     def run(batches):
         for batch in batches:
             out = {"shape": [], "cue": [], "file": [], "tag": []}
@@ -340,6 +341,7 @@ _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("sto
 def _mapped(docs: DataFrame, text: str, field: Field, make, extra: str, keep: list[str]) -> DataFrame:
     hopeful = field.hopeful()
 
+    @tidy
     def run(batches):
         for batch in batches:
             arrays = make(_spans(batch.column(0), field, hopeful))

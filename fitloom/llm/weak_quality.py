@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from fitloom.llm.packing import KINDS
-from fitloom.llm.words import LOWER, WHITE, split, worded
+from fitloom.llm.words import LOWER, WHITE, split, tidy, worded
 
 SAMPLE_ROWS = 20_000
 MIN_ROWS = 5
@@ -202,6 +202,7 @@ _CODE = 3 ** np.arange(len(HEURISTICS))
 def _voted(rows: DataFrame) -> DataFrame:
     """(id, code of the heuristics' votes) per row."""
 
+    @tidy
     def run(batches):
         for batch in batches:
             codes = [votes(f) @ _CODE for _, _, _, f in described(batch.column(1))]
@@ -214,6 +215,7 @@ def _voted(rows: DataFrame) -> DataFrame:
 def _features(rows: DataFrame) -> DataFrame:
     """(h, t, code, rated, features) of the sampled rows (h, t, text, rated)."""
 
+    @tidy
     def run(batches):
         for batch in batches:
             codes, lists = [], []
@@ -320,6 +322,7 @@ def score(docs: DataFrame, model: Quality, text: str = "text") -> DataFrame:
     names = ["quality_score", "weak_score", "rejected"]
     keep = docs.drop(*names)
 
+    @tidy
     def run(batches):
         m = shared.value
         for batch in batches:

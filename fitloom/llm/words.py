@@ -1,20 +1,23 @@
 """Words of whole texts as arrays: split, hash and group without a loop over words.
 
 An Arrow column of texts is cut into slices of a few megabytes of whole rows, so memory stays
-level however many rows a batch has; one text larger than a slice is a slice of its own.
+level however many rows a batch has; one text larger than a slice is a slice of its own. The arrays
+made of its words take many times its bytes, in each of an executor's workers.
 """
 
 from __future__ import annotations
 
 import ctypes
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
+WORDED_BYTES = 1 << 18  # of the slices whose words are all held
 
 
 def numbers(seed: int, n: int) -> np.ndarray:
@@ -49,7 +52,7 @@ _powers: list[np.ndarray] = []
 def powers(n: int) -> list[np.ndarray]:
     """At least ``n`` powers of the base and of its inverse."""
     if not _powers or len(_powers[0]) < n:
-        n = max(n, SLICE_BYTES + 1)
+        n = max(n, WORDED_BYTES + 1)
         out = []
         for base in (BASE, BASE_INVERSE):
             steps = np.full(n, base, np.uint64)
@@ -143,7 +146,7 @@ def split(
 
 
 def worded(
-    column: pa.Array, gaps: np.ndarray = WHITE, fold: np.ndarray = SAME, kinds: np.ndarray | None = None, limit: int = SLICE_BYTES
+    column: pa.Array, gaps: np.ndarray = WHITE, fold: np.ndarray = SAME, kinds: np.ndarray | None = None, limit: int = WORDED_BYTES
 ) -> Iterator[Words]:
     for part in slices(column, limit):
         yield split(*part, gaps, fold, kinds)
@@ -152,7 +155,25 @@ def worded(
 def released() -> None:
     """Give freed memory back to the system at the end of a task: the worker lives on and may stand idle beside others."""
     gc.collect()
+    trimmed()
+
+
+def trimmed() -> None:
+    """``released`` without a search for cycles, for tasks that leave none."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
     if trim is not None:
         trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` of a mapInArrow; at the end of each task its worker gives freed memory back."""
+
+    @wraps(run)
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            trimmed()
+
+    return tidied
