@@ -55,16 +55,16 @@ def token_ids(column: pa.Array, path: str, last: int) -> Iterator[np.ndarray]:
         plain = not any(s in data for s in special)
         unique, at, back = np.unique(part.hashes, return_index=True, return_inverse=True)
         keys = unique.tolist()
-        new = [i for i, k in enumerate(keys) if k not in known]
+        ids = list(map(known.get, keys))
+        new = [i for i, e in enumerate(ids) if e is None]
         if new:
             if held[0] > CACHE_BYTES:
                 known.clear()
                 held[0], new = 0, range(len(keys))
             texts = [data[part.start[at[i]] : part.stop[at[i]]].decode() for i in new]
             for i, e in zip(new, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                known[keys[i]] = np.array(e.ids, np.int32).tobytes()
+                ids[i] = known[keys[i]] = np.array(e.ids, np.int32).tobytes()
                 held[0] += ENTRY_BYTES + 4 * len(e.ids)
-        ids = [known[k] for k in keys]
         flat = np.frombuffer(b"".join(ids), np.int32)
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         begin = np.cumsum(size) - size
