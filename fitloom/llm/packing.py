@@ -10,8 +10,10 @@ cut into sequences whose lengths are powers of two, which need no padding.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +25,9 @@ from fitloom.llm.words import LOWER, WHITE, tidy, worded
 
 CAPACITY = 2048
 MAX_OPEN = 1024
-CACHE_BYTES = 48 << 20
-ENTRY_BYTES = 150  # of a cached segment besides its ids
+SLOTS = 1 << 20  # for segments whose ids are kept
+ROOM = 1 << 22  # for their ids
+JOINED = 1000  # words tokenized as one text
 OUT_BYTES = 4 << 20
 TASK_SEQUENCES = 1 << 32
 
@@ -35,50 +38,132 @@ KINDS[39] = 0
 KINDS[48:58] = 3
 KINDS[65:91] = KINDS[97:123] = 1
 
-_cache: dict[str, tuple[dict[int, bytes], list[int]]] = {}  # per tokenizer the ids of segments, and their bytes
+LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+MARK = "."
 
+_known: dict[str, Known] = {}  # per tokenizer
 
-def token_ids(column: pa.Array, path: str, last: int) -> Iterator[np.ndarray]:
+
+def runs(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers ``begin``, ``begin + 1``, ... of each run of ``size``, one run after the other."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - size), size)
+
+
+class Known:
+    """Ids of the segments met lately, by the segments' hashes.
+
+    ``SLOTS`` segments and ``ROOM`` ids at most, 36 MB: a segment takes the older of two slots, and the room is written
+    round and round.
+    """
+
+    def __init__(self):
+        self.keys = np.zeros(SLOTS, np.uint64)
+        self.size = np.zeros(SLOTS, np.int32)
+        self.place = np.zeros(SLOTS, np.int64)  # counted in all ids ever written
+        self.ids = np.zeros(ROOM, np.int32)
+        self.written = ROOM + 1  # so that a place of 0 is one written over
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which of the keys are known, the number of ids of each that is, and their ids."""
+        one, two = self._slots(keys)
+        slot = np.where(self.keys[one] == keys, one, two)
+        known = (self.keys[slot] == keys) & (self.place[slot] >= self.written - ROOM)
+        slot = slot[known]
+        return known, self.size[slot], self.ids[runs(self.place[slot], self.size[slot]) % ROOM]
+
+    def add(self, keys: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        """Ids of unknown keys."""
+        if len(ids) > ROOM:
+            return
+        one, two = self._slots(keys)
+        slot = np.where(self.place[one] <= self.place[two], one, two)
+        self.keys[slot], self.size[slot], self.place[slot] = keys, size, self.written + np.cumsum(size) - size
+        self.ids[np.arange(self.written, self.written + len(ids)) % ROOM] = ids
+        self.written += len(ids)
+
+    @staticmethod
+    def _slots(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return (keys % SLOTS).astype(np.int64), ((keys >> np.uint64(32)) % SLOTS).astype(np.int64)
+
+
+class Segments:
+    """A tokenizer that drops white space, lower-cases and splits between letters, digits and marks, for segments without a gap.
+
+    Words of Latin letters alone are one pre-token whose normal form is its lower case, so they skip the steps
+    before the model and go many to a text, parted by a mark that no word's ids hold.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole = Tokenizer.from_file(path)
+        self.letters = Tokenizer(self.whole.model)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        (self.mark,) = self.letters.encode(MARK, add_special_tokens=False).ids
+        self.special = {t.content.encode() for t in self.whole.get_added_tokens_decoder().values()}
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.int32)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the texts in the order in which they are returned, the number of ids of each, and their ids."""
+        plain = np.fromiter((LETTERS(t) is not None for t in texts), bool, len(texts))
+        words, others = np.flatnonzero(plain), np.flatnonzero(~plain)
+        size, ids = [], []
+        for at in range(0, len(words), JOINED):
+            text = "".join(f"{texts[i]} {MARK} " for i in words[at : at + JOINED].tolist()).lower()
+            found = np.array(self.letters.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+            marks = found == self.mark
+            size.append(np.diff(np.flatnonzero(marks), prepend=-1) - 1)
+            ids.append(found[~marks])
+        if len(others):
+            found = [e.ids for e in self.whole.encode_batch_fast([texts[i] for i in others.tolist()], add_special_tokens=False)]
+            size.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter(chain.from_iterable(found), np.int32))
+        return np.concatenate((words, others)), np.concatenate(size), np.concatenate(ids)
+
+
+def token_ids(column: pa.Array, path: str, last: int, segments: Segments | None = None) -> Iterator[np.ndarray]:
     """Ids of each text, then ``last``; a null text is empty.
 
-    The tokenizer drops white space, lower-cases and splits between letters, digits and marks, so a
-    text's ids are those of its segments in turn, and each different segment is tokenized once.
+    A text's ids are those of its segments in turn, and a segment met lately is not tokenized again.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer, (known, held) = Tokenizer.from_file(path), _cache.setdefault(path, ({}, [0]))
+    segments = segments or Segments(path)
+    if path not in _known:
+        _known[path] = Known()
+    held = _known[path]
     end = np.array([last], np.int32)
-    special = {t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()}
     for part in worded(column, WHITE, LOWER, KINDS):
         data = part.data.tobytes()
-        plain = not any(s in data for s in special)
+        plain = not any(s in data for s in segments.special)
         unique, at, back = np.unique(part.hashes, return_index=True, return_inverse=True)
-        keys = unique.tolist()
-        ids = list(map(known.get, keys))
-        new = [i for i, e in enumerate(ids) if e is None]
-        if new:
-            if held[0] > CACHE_BYTES:
-                known.clear()
-                held[0], new = 0, range(len(keys))
-            texts = [data[part.start[at[i]] : part.stop[at[i]]].decode() for i in new]
-            for i, e in zip(new, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                ids[i] = known[keys[i]] = np.array(e.ids, np.int32).tobytes()
-                held[0] += ENTRY_BYTES + 4 * len(e.ids)
-        flat = np.frombuffer(b"".join(ids), np.int32)
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        begin = np.cumsum(size) - size
+        known, old, flat = held.find(unique)
+        size = np.zeros(len(unique), np.int64)
+        order = np.flatnonzero(known)
+        size[order] = old
+        new = np.flatnonzero(~known)
+        if len(new):
+            texts = [data[i:j].decode() for i, j in zip(part.start[at[new]].tolist(), part.stop[at[new]].tolist())]
+            turn, fresh, ids = segments.encode(texts)
+            new = new[turn]
+            held.add(unique[new], fresh, ids)
+            size[new] = fresh
+            order, flat = np.concatenate((order, new)), np.concatenate((flat, ids))
+        begin = np.zeros(len(unique), np.int64)
+        begin[order] = np.cumsum(size[order]) - size[order]
         lengths = size[back]
-        ends = np.concatenate(([0], np.cumsum(lengths)))
-        spread = np.arange(ends[-1]) + np.repeat(begin[back] - ends[:-1], lengths)
-        out = flat[spread]
-        bounds = ends[part.first]
+        out = flat[runs(begin[back], lengths)]
+        bounds = np.concatenate(([0], np.cumsum(lengths)))[part.first]
         offset = part.rows.start
         for row in part.rows:
             if plain:
                 yield np.concatenate((out[bounds[row - offset] : bounds[row - offset + 1]], end))
             else:  # a special token's own string crosses the segments
-                yield np.concatenate((np.array(tokenizer.encode(column[row].as_py() or "", add_special_tokens=False).ids, np.int32), end))
+                yield np.concatenate((segments.ids(column[row].as_py() or ""), end))
 
 
 class Packer:
@@ -182,7 +267,7 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
     Rows with equal ids are packed apiece. Documents are packed where they are read, without a
     shuffle; a task's sequences are numbered from its own block of ids, so a task that runs
     again on the same input gives the same rows. A task holds ``MAX_OPEN`` open windows at most, ``OUT_BYTES``
-    of finished ids and a cache of ``CACHE_BYTES``, or what one longest text needs beyond them.
+    of finished ids and the segments of one ``Known``, or what one longest text needs beyond them.
     """
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
     inner = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -214,10 +299,10 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
             held = 0
             return pa.RecordBatch.from_arrays(arrays, names=names)
 
-        packer, schema = Packer(emit, capacity), None
+        packer, schema, segments = Packer(emit, capacity), None, None
         for batch in batches:
-            schema = batch.schema.field(0).type
-            for doc, ids in zip(batch.column(0).to_pylist(), token_ids(batch.column(1), path, last)):
+            schema, segments = batch.schema.field(0).type, segments or Segments(path)
+            for doc, ids in zip(batch.column(0).to_pylist(), token_ids(batch.column(1), path, last, segments)):
                 packer.add((doc, len(ids)), ids)
                 if held >= OUT_BYTES:
                     yield out(schema)

@@ -3,9 +3,12 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import tokenizers
 from tokenizers import Tokenizer
 
+from fitloom.llm import packing
 from fitloom.llm.packing import Packer, pack
 from fitloom.llm.queries import QUERIES, tokenizer_path
 
@@ -46,6 +49,59 @@ def test_edge_texts(spark):
     assert pack(frame.limit(0), tokenizer_path()).count() == 0
 
 
+def random_texts(n):
+    rng = np.random.default_rng(2)
+    letters = np.array([*"aeiourstlnTHÉßçÿÀö"])
+    word = lambda: "".join(rng.choice(letters, rng.integers(1, 12)))
+    words = [word() for _ in range(n)]
+    marks = [" ", "  ", "\n", ", ", ". ", "'s ", "7", "-", " e\u0301 ", " × ", " . ", "ª"]
+    return ["".join(words[i] + marks[j] for i, j in zip(rng.integers(n, size=n // 10), rng.choice(len(marks), n // 10, p=[0.89, *[0.01] * 11]))) for _ in range(30)]
+
+
+def whole_ids(texts):
+    tok = Tokenizer.from_file(tokenizer_path())
+    return [[*tok.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+
+
+def test_words_of_letters_go_many_to_a_text(monkeypatch):
+    passed = []
+
+    class Spied:
+        def __init__(self, made):
+            vars(self)["made"] = made if isinstance(made, Tokenizer) else Tokenizer(made)
+
+        def __getattr__(self, name):
+            return getattr(self.made, name)
+
+        def __setattr__(self, name, value):
+            setattr(self.made, name, value)
+
+        @classmethod
+        def from_file(cls, path):
+            return cls(Tokenizer.from_file(path))
+
+        def encode_batch_fast(self, texts, **options):
+            passed.extend(texts)
+            return self.made.encode_batch_fast(texts, **options)
+
+    texts = random_texts(20000)
+    want = whole_ids(texts)
+    monkeypatch.setattr(tokenizers, "Tokenizer", Spied)
+    assert [x.tolist() for x in packing.token_ids(pa.array(texts), tokenizer_path(), 1)] == want
+    assert len({w for t in texts for w in t.split()}) > 15000 and len(passed) < 3000
+
+
+@pytest.mark.parametrize("slots, room", [(1, 1 << 14), (16, 1 << 14), (1 << 12, 40), (1 << 12, 1 << 14)])
+def test_ids_when_known_segments_lose_their_place(monkeypatch, slots, room):
+    monkeypatch.setattr(packing, "SLOTS", slots)
+    monkeypatch.setattr(packing, "ROOM", room)
+    monkeypatch.setattr(packing, "_known", {})
+    texts = random_texts(3000)
+    segments = packing.Segments(tokenizer_path())
+    rows = [x for t in texts * 2 for x in packing.token_ids(pa.array([t]), tokenizer_path(), 1, segments)]
+    assert [x.tolist() for x in rows] == whole_ids(texts) * 2
+
+
 @pytest.mark.parametrize("max_open", [3, 1000])
 def test_packer_rule(max_open):
     rng, done = np.random.default_rng(1), []
